@@ -223,7 +223,9 @@ def build_sessions(
     cut = cut or pageview_cut()
     scanned, names = _scan(logs, cut, mode, num_partitions)
     pieces = _pieces(scanned, names).persist(StorageLevel.MEMORY_AND_DISK)
-    info = _chunk_info(pieces, cut)
+    # Both branches below read the edge table; cache it (one row per chunk)
+    # so it is computed once.
+    info = _chunk_info(pieces, cut).persist(StorageLevel.MEMORY_AND_DISK)
     p = _with_seq(pieces, info)
     edge = ((F.col(PIECE) == 0) & F.col("merge")) | ((F.col(PIECE) == F.col("max_piece")) & F.col("next_merge"))
     cols = [COOKIE, SEQ, "first", "land", "pv", "clicks"]
