@@ -106,3 +106,15 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() == 193
     assert set(e.queries()) == set(e.oracle_sql())
+
+
+@pytest.mark.parametrize("batch", [1, 3, 50])
+def test_pieces_span_arrow_batches(spark, kept, batch):
+    """Pieces that continue over several Arrow batches of one partition."""
+    ref = _key(build_sessions(kept, time_gap_cut("6 hours"), num_partitions=1).collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        for parts in (1, 5):
+            assert _key(build_sessions(kept, time_gap_cut("6 hours"), num_partitions=parts).collect()) == ref
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -51,8 +51,10 @@ def test_text_lines_are_json(spark, inputs):
     d, visit, labels = inputs
     out = os.path.join(d, "out-json")
     run_session_etl(spark, visit, labels, out, "text")
-    part = [p for p in os.listdir(f"{out}/trackerSession") if p.startswith("part-")]
-    rec = json.loads(open(f"{out}/trackerSession/{part[0]}").readline())
+    parts = sorted(p for p in os.listdir(f"{out}/trackerSession") if p.startswith("part-"))
+    lines = [ln for p in parts for ln in open(f"{out}/trackerSession/{p}", encoding="utf-8") if ln.strip()]
+    assert len(lines) == len(EXPECTED_PAGEVIEW)
+    rec = json.loads(lines[0])
     assert list(rec) == [
         "session_id", "session_server_time", "cookie", "cookie_label", "ip",
         "landing_url", "pageview_count", "click_count", "domain", "domain_label",

@@ -33,16 +33,21 @@ def label_domains(
     *,
     mode: str = "FAILFAST",
     known_small: bool = False,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_rows: int | None = None,
 ) -> DataFrame:
     """Exact-host lookup of ``domain_label`` (``"-"`` when absent).
 
     The dimension is made unique on ``domain`` first (a lookup map has one
-    label per key).  ``known_small`` skips the size check for a dimension of
-    fixed size, such as the four default entries.
+    label per key).  ``known_small`` broadcasts a dimension of fixed size,
+    such as the four default entries.  Otherwise ``broadcast_max_rows`` asks
+    for a bounded row count first; without it the planner decides from the
+    measured size (AQE broadcasts under its threshold, else a shuffle join).
     """
     dim = domains.groupBy("domain").agg(F.max("domain_label").alias("domain_label"))
-    dim = F.broadcast(dim) if known_small else broadcast_if_small(dim, broadcast_max_rows)
+    if known_small:
+        dim = F.broadcast(dim)
+    elif broadcast_max_rows is not None:
+        dim = broadcast_if_small(dim, broadcast_max_rows)
     out = with_domain(sessions, mode).join(dim, "domain", "left")
     return out.withColumn("domain_label", or_missing(F.col("domain_label")))
 

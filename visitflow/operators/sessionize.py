@@ -10,7 +10,9 @@ Plan (one shuffle of the log rows, whatever the key skew):
    each row with the previous one and numbers the local *pieces*: runs of
    rows that belong to one session within one chunk.  A chunk's first row
    always opens a piece, since the scan cannot see the previous chunk.
-3. Pieces are summarised with partial aggregation (sessions-sized output).
+3. The same scan summarises each piece (first row, last row, first
+   pageview, counts).  Pieces never span partitions, so this needs no
+   aggregation exchange; the output is sessions-sized.
 4. Chunk edges: one row per chunk (head piece, tail piece) is stitched in
    time order with window functions over that small table: whether the
    head piece continues the previous chunk's tail session, and the session
@@ -58,53 +60,126 @@ class _Fields:
         return self._struct.getField(_IN + name)
 
 
-def _scan_fn(names: list[str], rule: CutRule):
-    """Per-partition scan over rows sorted by (cookie, time, order)."""
+def _cut_flags(batches, names: list[str], rule: CutRule):
+    """Walk the sorted rows of one partition batch by batch and number the
+    local pieces.  Yields (batch, start, piece, run, rpiece) with numpy arrays:
+    ``start`` marks a row that opens a piece, ``run`` numbers the cookies of
+    the partition (0 = the cookie the partition starts with) and ``rpiece``
+    numbers the pieces within a run from 1."""
+    carry = None  # last row of the previous batch
+    for pdf in batches:
+        n = len(pdf)
+        if n == 0:
+            continue
+        cookie = pdf[COOKIE].to_numpy()
+        cur = {k: pdf[_IN + k].to_numpy() for k in names}
+        prev = {}
+        for k, arr in cur.items():
+            p = np.empty_like(arr)
+            p[1:] = arr[:-1]
+            p[0] = arr[0] if carry is None else carry["inputs"][k]
+            prev[k] = p
+        new_cookie = np.empty(n, dtype=bool)
+        new_cookie[1:] = cookie[1:] != cookie[:-1]
+        new_cookie[0] = carry is None or cookie[0] != carry["cookie"]
+        cut = np.asarray(rule.starts(SimpleNamespace(**cur), SimpleNamespace(**prev)), dtype=bool)
+        start = new_cookie | cut
+        if carry is None:
+            start[0] = True  # partition head: provisional, settled at the edge stitch
+        piece = (0 if carry is None else carry["piece"] + 1) + np.cumsum(start) - 1
+        run = (0 if carry is None else carry["run"] + 1) + np.cumsum(new_cookie) - 1
+        idx = np.maximum.accumulate(np.where(new_cookie, np.arange(n), -1))
+        run_first = np.where(idx >= 0, piece[np.maximum(idx, 0)], -1 if carry is None else carry["run_first"])
+        carry = {
+            "cookie": cookie[-1],
+            "inputs": {k: arr[-1] for k, arr in cur.items()},
+            "piece": int(piece[-1]),
+            "run": int(run[-1]),
+            "run_first": int(run_first[-1]),
+        }
+        yield pdf, start, piece, run, piece - run_first + 1
+
+
+def _rows_fn(names: list[str], rule: CutRule):
+    """Scan emitting every row with its chunk, piece, run and rpiece."""
 
     def scan(batches):
         from pyspark import TaskContext
 
-        chunk = TaskContext.get().partitionId()
-        carry = None  # state of the last row of the previous batch
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            cookie = pdf[COOKIE].to_numpy()
-            cur = {k: pdf[_IN + k].to_numpy() for k in names}
-            prev = {}
-            for k, arr in cur.items():
-                p = np.empty_like(arr)
-                p[1:] = arr[:-1]
-                p[0] = arr[0] if carry is None else carry["inputs"][k]
-                prev[k] = p
-            new_cookie = np.empty(n, dtype=bool)
-            new_cookie[1:] = cookie[1:] != cookie[:-1]
-            new_cookie[0] = carry is None or cookie[0] != carry["cookie"]
-            cut = np.asarray(rule.starts(SimpleNamespace(**cur), SimpleNamespace(**prev)), dtype=bool)
-            start = new_cookie | cut
-            if carry is None:
-                start[0] = True  # chunk head: provisional, settled at the edge stitch
-            piece = (0 if carry is None else carry["piece"] + 1) + np.cumsum(start) - 1
-            run = (0 if carry is None else carry["run"] + 1) + np.cumsum(new_cookie) - 1
-            idx = np.maximum.accumulate(np.where(new_cookie, np.arange(n), -1))
-            run_first = np.where(idx >= 0, piece[np.maximum(idx, 0)], -1 if carry is None else carry["run_first"])
-            rpiece = piece - run_first + 1
-            carry = {
-                "cookie": cookie[-1],
-                "inputs": {k: arr[-1] for k, arr in cur.items()},
-                "piece": int(piece[-1]),
-                "run": int(run[-1]),
-                "run_first": int(run_first[-1]),
-            }
+        chunk = np.int32(TaskContext.get().partitionId())
+        for pdf, _, piece, run, rpiece in _cut_flags(batches, names, rule):
             yield pdf.assign(
-                **{
-                    CHUNK: np.int32(chunk),
-                    PIECE: piece.astype(np.int64),
-                    RUN: run.astype(np.int32),
-                    RPIECE: rpiece.astype(np.int32),
+                **{CHUNK: chunk, PIECE: piece.astype(np.int64), RUN: run.astype(np.int32), RPIECE: rpiece.astype(np.int32)}
+            )
+
+    return scan
+
+
+def _pieces_fn(names: list[str], rule: CutRule):
+    """Scan emitting one summary row per local piece: first row, last row,
+    first pageview and the pageview / click counts.  A piece may continue
+    over Arrow batches; its open summary is carried to the next batch."""
+
+    def scan(batches):
+        import pandas as pd
+        from pyspark import TaskContext
+
+        chunk = np.int32(TaskContext.get().partitionId())
+        open_piece = None  # one-row DataFrame of the piece still open
+        for pdf, start, piece, run, rpiece in _cut_flags(batches, names, rule):
+            n = len(pdf)
+            kind = pdf[LOG_TYPE].to_numpy()
+            is_pv, is_click = kind == PAGEVIEW, kind == CLICK
+            bounds = np.flatnonzero(start)
+            cont = open_piece is not None and (len(bounds) == 0 or bounds[0] != 0)
+            if cont:
+                bounds = np.concatenate([[0], bounds])
+            ends = np.append(bounds[1:], n) - 1
+            pv_at = np.minimum.reduceat(np.where(is_pv, np.arange(n), n), bounds)
+            has_pv = pv_at < n
+            pv_at = np.where(has_pv, pv_at, 0)
+            col = {c: pdf[c].to_numpy() for c in (LOG_TIME, ORDER, IP, URL)}
+            seg = pd.DataFrame(
+                {
+                    CHUNK: chunk,
+                    PIECE: piece[bounds].astype(np.int64),
+                    COOKIE: pdf[COOKIE].to_numpy()[bounds],
+                    RUN: run[bounds].astype(np.int32),
+                    RPIECE: rpiece[bounds].astype(np.int32),
+                    "f_t": col[LOG_TIME][bounds],
+                    "f_o": col[ORDER][bounds],
+                    "f_ip": col[IP][bounds],
+                    **{f"f{_IN}{k}": pdf[_IN + k].to_numpy()[bounds] for k in names},
+                    "l_t": col[LOG_TIME][ends],
+                    "l_o": col[ORDER][ends],
+                    **{f"l{_IN}{k}": pdf[_IN + k].to_numpy()[ends] for k in names},
+                    "p_t": np.where(has_pv, col[LOG_TIME][pv_at], None),
+                    "p_o": pd.array(np.where(has_pv, col[ORDER][pv_at], 0), dtype="Int64"),
+                    "p_url": np.where(has_pv, col[URL][pv_at], None),
+                    "pv": np.add.reduceat(is_pv.astype(np.int64), bounds),
+                    "clicks": np.add.reduceat(is_click.astype(np.int64), bounds),
                 }
             )
+            seg.loc[~has_pv, "p_o"] = pd.NA
+            if cont:
+                # the batch's first segment continues the open piece
+                head = open_piece.iloc[0].copy()
+                first = seg.iloc[0]
+                head["pv"] += first["pv"]
+                head["clicks"] += first["clicks"]
+                for c in [c for c in seg.columns if c.startswith("l_")]:
+                    head[c] = first[c]
+                if pd.isna(head["p_t"]) and not pd.isna(first["p_t"]):
+                    for c in ("p_t", "p_o", "p_url"):
+                        head[c] = first[c]
+                seg = pd.concat([head.to_frame().T.astype(seg.dtypes.to_dict()), seg.iloc[1:]], ignore_index=True)
+            elif open_piece is not None:
+                seg = pd.concat([open_piece, seg], ignore_index=True)
+            open_piece = seg.iloc[-1:].reset_index(drop=True)
+            if len(seg) > 1:
+                yield seg.iloc[:-1]
+        if open_piece is not None:
+            yield open_piece
 
     return scan
 
@@ -118,7 +193,8 @@ def _prepare(logs: DataFrame, rule: CutRule, mode: str) -> tuple[DataFrame, list
     return logs.select(*[F.col(c) for c in logs.columns], *[v.alias(_IN + k) for k, v in inputs.items()]), names
 
 
-def _scan(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int | None) -> tuple[DataFrame, list[str]]:
+def _ranged(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int | None) -> tuple[DataFrame, list[str]]:
+    """Range-partition on the unique order key and sort each partition."""
     prepared, names = _prepare(logs, rule, mode)
     keys = [COOKIE, LOG_TIME, ORDER]
     ranged = (
@@ -126,19 +202,26 @@ def _scan(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int | None)
         if num_partitions
         else prepared.repartitionByRange(*keys)
     ).sortWithinPartitions(*keys)
-    out_schema = T.StructType(
-        prepared.schema.fields
-        + [
-            T.StructField(CHUNK, T.IntegerType(), False),
-            T.StructField(PIECE, T.LongType(), False),
-            T.StructField(RUN, T.IntegerType(), False),
-            T.StructField(RPIECE, T.IntegerType(), False),
-        ]
-    )
-    return ranged.mapInPandas(_scan_fn(names, rule), out_schema), names
+    return ranged, names
+
+
+_POSITION = [
+    T.StructField(CHUNK, T.IntegerType(), False),
+    T.StructField(PIECE, T.LongType(), False),
+    T.StructField(RUN, T.IntegerType(), False),
+    T.StructField(RPIECE, T.IntegerType(), False),
+]
+
+
+def _scan(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int | None) -> tuple[DataFrame, list[str]]:
+    """Every log row plus its chunk / piece / run / rpiece."""
+    ranged, names = _ranged(logs, rule, mode, num_partitions)
+    out_schema = T.StructType(ranged.schema.fields + _POSITION)
+    return ranged.mapInPandas(_rows_fn(names, rule), out_schema), names
 
 
 def _pieces(scanned: DataFrame, names: list[str]) -> DataFrame:
+    """Piece summaries from scanned rows (used by the row-level path)."""
     ins = [_IN + k for k in names]
     is_pv = F.col(LOG_TYPE) == PAGEVIEW
     return scanned.groupBy(CHUNK, PIECE, COOKIE, RUN, RPIECE).agg(
@@ -150,6 +233,51 @@ def _pieces(scanned: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
+def _scan_pieces(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int | None) -> DataFrame:
+    """Piece summaries straight from the scan: pieces never span partitions,
+    so no aggregation exchange is needed.  Same columns as :func:`_pieces`."""
+    ranged, names = _ranged(logs, rule, mode, num_partitions)
+    types = {f.name: f.dataType for f in ranged.schema.fields}
+    fields = [
+        T.StructField(CHUNK, T.IntegerType(), False),
+        T.StructField(PIECE, T.LongType(), False),
+        T.StructField(COOKIE, types[COOKIE]),
+        T.StructField(RUN, T.IntegerType(), False),
+        T.StructField(RPIECE, T.IntegerType(), False),
+        T.StructField("f_t", types[LOG_TIME]),
+        T.StructField("f_o", types[ORDER]),
+        T.StructField("f_ip", types[IP]),
+        *[T.StructField(f"f{_IN}{k}", types[_IN + k]) for k in names],
+        T.StructField("l_t", types[LOG_TIME]),
+        T.StructField("l_o", types[ORDER]),
+        *[T.StructField(f"l{_IN}{k}", types[_IN + k]) for k in names],
+        T.StructField("p_t", types[LOG_TIME]),
+        T.StructField("p_o", types[ORDER]),
+        T.StructField("p_url", types[URL]),
+        T.StructField("pv", T.LongType(), False),
+        T.StructField("clicks", T.LongType(), False),
+    ]
+    raw = ranged.mapInPandas(_pieces_fn(names, rule), T.StructType(fields))
+    ins = [_IN + k for k in names]
+    return raw.select(
+        CHUNK,
+        PIECE,
+        COOKIE,
+        RUN,
+        RPIECE,
+        F.struct(
+            F.col("f_t").alias(LOG_TIME), F.col("f_o").alias(ORDER), F.col("f_ip").alias(IP), *[F.col(f"f{c}").alias(c) for c in ins]
+        ).alias("first"),
+        F.struct(F.col("l_t").alias(LOG_TIME), F.col("l_o").alias(ORDER), *[F.col(f"l{c}").alias(c) for c in ins]).alias("last"),
+        F.when(
+            F.col("p_t").isNotNull(),
+            F.struct(F.col("p_t").alias(LOG_TIME), F.col("p_o").alias(ORDER), F.col("p_url").alias(URL)),
+        ).alias("land"),
+        "pv",
+        "clicks",
+    )
+
+
 def _chunk_info(pieces: DataFrame, rule: CutRule) -> DataFrame:
     """One row per non-empty chunk: how its head piece joins the previous chunk
     and the session-number offset of its first cookie."""
@@ -221,8 +349,7 @@ def build_sessions(
 ) -> DataFrame:
     """One row per session: id, start, cookie, ip, landing url, counts, seq."""
     cut = cut or pageview_cut()
-    scanned, names = _scan(logs, cut, mode, num_partitions)
-    pieces = _pieces(scanned, names).persist(StorageLevel.MEMORY_AND_DISK)
+    pieces = _scan_pieces(logs, cut, mode, num_partitions).persist(StorageLevel.MEMORY_AND_DISK)
     # Both branches below read the edge table; cache it (one row per chunk)
     # so it is computed once.
     info = _chunk_info(pieces, cut).persist(StorageLevel.MEMORY_AND_DISK)

@@ -1,0 +1,2 @@
+"""No streaming operators: the sessionization job is a single batch run
+(see README, "Not built")."""
