@@ -76,3 +76,17 @@ def test_conf_paths_and_guards(spark, inputs):
         run_session_etl(spark, visit, labels, out, "csv")
     with pytest.raises(ValueError):
         run_session_etl(spark, visit, labels, d, "text")  # input under output
+
+
+def test_uuid_ids_and_unique_labels(spark, inputs):
+    d, visit, labels = inputs
+    out = os.path.join(d, "uuid-out")
+    res = run_session_etl(spark, visit, labels, out, "parquet", session_ids="uuid", unique_labels=True)
+    ids = [r.session_id for r in read_dataset(spark, f"{out}/trackerSession", "session", "parquet").collect()]
+    assert res.session_total == len(ids) == len(set(ids)) == len(EXPECTED_PAGEVIEW)
+    assert all(len(i) == 36 and i[14] == "4" for i in ids)  # UUID version 4
+    dup = os.path.join(d, "dup_labels.txt")
+    with open(dup, "w") as f:
+        f.write("cookie1|a\ncookie1|b\n")
+    with pytest.raises(ValueError):
+        run_session_etl(spark, visit, dup, os.path.join(d, "dup-out"), "text", unique_labels=True)

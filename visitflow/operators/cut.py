@@ -78,9 +78,10 @@ def pageview_cut() -> CutRule:
     """Every pageview opens a new session; leading clicks form their own session."""
 
     def starts(cur, prev):
-        return cur.log_type == PAGEVIEW
+        return cur.is_pageview
 
-    return CutRule(name="pageview", starts=starts, inputs={"log_type": lambda: F.col(LOG_TYPE)})
+    # A boolean input: one byte per row through the shuffle and the scan.
+    return CutRule(name="pageview", starts=starts, inputs={"is_pageview": lambda: F.col(LOG_TYPE) == PAGEVIEW})
 
 
 def day_change_cut() -> CutRule:

@@ -52,15 +52,32 @@ def label_domains(
     return out.withColumn("domain_label", or_missing(F.col("domain_label")))
 
 
-def label_cookies(sessions: DataFrame, labels: DataFrame, *, broadcast_max_rows: int | None = None) -> DataFrame:
+def check_unique_labels(labels: DataFrame) -> None:
+    """Raise when a cookie has more than one label row (reads until the first
+    duplicate key is found)."""
+    dup = labels.groupBy(COOKIE).count().where(F.col("count") > 1).limit(1).collect()
+    if dup:
+        raise ValueError(f"cookie {dup[0][COOKIE]!r} has {dup[0]['count']} label rows")
+
+
+def label_cookies(
+    sessions: DataFrame,
+    labels: DataFrame,
+    *,
+    broadcast_max_rows: int | None = None,
+    unique_labels: bool = False,
+) -> DataFrame:
     """Left join on cookie; ``"-"`` when the cookie has no label.  Duplicate
-    label rows multiply the session, as a left outer join does.
+    label rows multiply the session, as a left outer join does; with
+    ``unique_labels=True`` they are an error instead.
 
     Without ``broadcast_max_rows`` the choice is left to the planner: AQE
     broadcasts the labels when their measured size is under the threshold,
     otherwise both sides are shuffled on cookie and AQE splits a skewed
     (hot-cookie) partition of the sessions side.
     """
+    if unique_labels:
+        check_unique_labels(labels)
     if broadcast_max_rows is not None:
         labels = broadcast_if_small(labels, broadcast_max_rows)
     out = sessions.join(labels, COOKIE, "left")

@@ -346,8 +346,16 @@ def build_sessions(
     *,
     mode: str = "FAILFAST",
     num_partitions: int | None = None,
+    session_ids: str = "hash",
 ) -> DataFrame:
-    """One row per session: id, start, cookie, ip, landing url, counts, seq."""
+    """One row per session: id, start, cookie, ip, landing url, counts, seq.
+
+    ``session_ids="hash"`` (default) gives ``md5(cookie|start|seq)``, equal on
+    every run and retry; ``"uuid"`` gives a random UUID per session (persist
+    the result before using it in more than one action).
+    """
+    if session_ids not in ("hash", "uuid"):
+        raise ValueError(f"session_ids must be 'hash' or 'uuid', got {session_ids!r}")
     cut = cut or pageview_cut()
     pieces = _scan_pieces(logs, cut, mode, num_partitions).persist(StorageLevel.MEMORY_AND_DISK)
     # Both branches below read the edge table; cache it (one row per chunk)
@@ -371,7 +379,7 @@ def build_sessions(
     s = whole.unionByName(stitched)
     start = F.col("first").getField(LOG_TIME)
     return s.select(
-        session_hash_id(F.col(COOKIE), start, F.col(SEQ)).alias("session_id"),
+        (session_hash_id(F.col(COOKIE), start, F.col(SEQ)) if session_ids == "hash" else F.uuid()).alias("session_id"),
         start.alias("session_server_time"),
         F.col(COOKIE),
         F.col("first").getField(IP).alias(IP),

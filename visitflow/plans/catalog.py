@@ -87,6 +87,11 @@ def queries() -> dict[str, Query]:
     q["label_domains_default"] = lambda s, d: label_domains(_sessions(s, d), default_domain_labels(s), known_small=True)
     q["label_cookies"] = lambda s, d: label_cookies(_sessions(s, d), cookie_labels_from_customers(s, d))
     q["session_etl"] = lambda s, d: _etl(s, d)
+    q["session_etl_from_text"] = lambda s, d: session_etl(
+        parse_track_log(track_log_lines_from_events(s, d)),
+        parse_cookie_labels(cookie_label_lines_from_customers(s, d)),
+        domain_labels_from_pages(s, d),
+    )
     q["session_etl_time_gap"] = lambda s, d: _etl(s, d, "time_gap_30m")
     q["session_total"] = lambda s, d: _etl(s, d).agg(F.count(F.lit(1)).alias("session_total"))
     q["sink_text_sessions"] = _sink_roundtrip("text", "session")
@@ -182,6 +187,7 @@ LEFT JOIN default_domains d ON d.domain = s.domain"""
     o["label_cookies"] = f"""WITH {_sessions_cte('pageview')}
 SELECT s.*, coalesce(l.cookie_label, '-') AS cookie_label FROM sessions s LEFT JOIN labels l ON l.cookie = s.cookie"""
     o["session_etl"] = _etl_sql("pageview")
+    o["session_etl_from_text"] = _etl_sql("pageview")
     o["session_etl_time_gap"] = _etl_sql("time_gap_30m")
     o["session_total"] = f"SELECT count(*) AS session_total FROM ({_etl_sql('pageview')})"
     o["sink_text_sessions"] = _etl_sql("pageview")

@@ -34,14 +34,18 @@ def session_etl(
     types=LOG_TYPES,
     mode: str = "FAILFAST",
     num_partitions: int | None = None,
+    session_ids: str = "hash",
+    unique_labels: bool = False,
 ) -> DataFrame:
     """Labelled sessions (ten columns) from parsed logs, as one lazy plan."""
     known_small = domains is None
     if domains is None:
         domains = default_domain_labels(logs.sparkSession)
-    sessions = build_sessions(clean_log_types(logs, types), cut or pageview_cut(), mode=mode, num_partitions=num_partitions)
+    sessions = build_sessions(
+        clean_log_types(logs, types), cut or pageview_cut(), mode=mode, num_partitions=num_partitions, session_ids=session_ids
+    )
     sessions = label_domains(sessions, domains, mode=mode, known_small=known_small)
-    return session_record(label_cookies(sessions, labels))
+    return session_record(label_cookies(sessions, labels, unique_labels=unique_labels))
 
 
 @dataclass
@@ -66,6 +70,8 @@ def run_session_etl(
     cut: CutRule | None = None,
     domains: DataFrame | None = None,
     mode: str = "FAILFAST",
+    session_ids: str = "hash",
+    unique_labels: bool = False,
 ) -> EtlResult:
     """Run the whole job.  Paths not given come from the session conf keys
     ``spark.SessionCutEtl.*`` (then the defaults).  Each output dataset is
@@ -83,6 +89,10 @@ def run_session_etl(
     # a re-scan is cheaper than holding every parsed log in executor storage.
     parsed = read_track_log(spark, visit_log_path, mode)
     labels = read_cookie_labels(spark, cookie_label_path, mode)
-    sessions = session_etl(parsed, labels, domains, cut=cut, mode=mode)
+    sessions = session_etl(
+        parsed, labels, domains, cut=cut, mode=mode, session_ids=session_ids, unique_labels=unique_labels
+    )
+    # The count is observed during the single sessions write, so random
+    # (uuid) ids are generated once and the total matches what is written.
     total = write_outputs(parsed, sessions, output_path, fmt)
     return EtlResult(session_total=total, output_path=output_path, fmt=fmt)

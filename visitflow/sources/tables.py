@@ -24,8 +24,20 @@ from visitflow.functions.columns import URL_HOST_PATTERN
 from visitflow.schema import COOKIE, IP, LOG_TIME, LOG_TYPE, ORDER, TIME_FORMAT, URL
 
 
+# Columns the adapter reads.  Declaring them skips the schema-inference job
+# and prunes the scan to these columns by name.
+TABLE_COLUMNS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+    "pages": "page_id bigint, url string",
+    "customer": "c_custkey bigint, c_acctbal double, c_mktsegment string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_COLUMNS:
+        reader = reader.schema(TABLE_COLUMNS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def track_log_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
