@@ -216,8 +216,12 @@ _POSITION = [
 def _scan(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int | None) -> tuple[DataFrame, list[str]]:
     """Every log row plus its chunk / piece / run / rpiece."""
     ranged, names = _ranged(logs, rule, mode, num_partitions)
+    return _scan_rows(ranged, names, rule), names
+
+
+def _scan_rows(ranged: DataFrame, names: list[str], rule: CutRule) -> DataFrame:
     out_schema = T.StructType(ranged.schema.fields + _POSITION)
-    return ranged.mapInPandas(_rows_fn(names, rule), out_schema), names
+    return ranged.mapInPandas(_rows_fn(names, rule), out_schema)
 
 
 def _pieces(scanned: DataFrame, names: list[str]) -> DataFrame:
@@ -237,6 +241,10 @@ def _scan_pieces(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int
     """Piece summaries straight from the scan: pieces never span partitions,
     so no aggregation exchange is needed.  Same columns as :func:`_pieces`."""
     ranged, names = _ranged(logs, rule, mode, num_partitions)
+    return _summarise_pieces(ranged, names, rule)
+
+
+def _summarise_pieces(ranged: DataFrame, names: list[str], rule: CutRule) -> DataFrame:
     types = {f.name: f.dataType for f in ranged.schema.fields}
     fields = [
         T.StructField(CHUNK, T.IntegerType(), False),
@@ -333,10 +341,12 @@ def assign_sessions(
     (a unique tiebreak for equal times).
     """
     cut = cut or pageview_cut()
-    scanned, names = _scan(logs, cut, mode, num_partitions)
-    scanned = scanned.persist(StorageLevel.MEMORY_AND_DISK)
-    info = _chunk_info(_pieces(scanned, names), cut)
-    out = _with_seq(scanned, info)
+    ranged, names = _ranged(logs, cut, mode, num_partitions)
+    # Two scans over one range exchange (the planner reuses the shuffle): the
+    # piece scan feeds the small chunk table, the row scan gives the output.
+    # Nothing rows-sized is cached.
+    info = _chunk_info(_summarise_pieces(ranged, names, cut), cut)
+    out = _with_seq(_scan_rows(ranged, names, cut), info)
     return out.select(*logs.columns, SEQ)
 
 
