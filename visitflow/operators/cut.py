@@ -95,23 +95,3 @@ def day_change_cut() -> CutRule:
         starts=starts,
         inputs={"day": lambda: F.substring(F.col(LOG_TIME), 1, 10)},
     )
-
-
-def any_of(*rules: CutRule) -> CutRule:
-    """Cut where any of ``rules`` cuts (e.g. pageview or a 30-minute gap)."""
-    inputs: dict[str, Callable[[], Column]] = {}
-    for r in rules:
-        inputs.update(r.inputs)
-
-    def starts(cur, prev):
-        out = rules[0].starts(cur, prev)
-        for r in rules[1:]:
-            out = out | r.starts(cur, prev)
-        return out
-
-    return CutRule(
-        name="any_of(" + ",".join(r.name for r in rules) + ")",
-        starts=starts,
-        inputs=inputs,
-        parses_time=any(r.parses_time for r in rules),
-    )

@@ -30,7 +30,13 @@ from visitflow.sources.tables import (
     track_log_from_events,
     track_log_lines_from_events,
 )
-from visitflow.sources.text import default_domain_labels, parse_cookie_labels, parse_track_log
+from visitflow.sources.text import (
+    default_domain_labels,
+    parse_cookie_labels,
+    parse_track_log,
+    read_cookie_labels,
+    read_track_log,
+)
 from visitflow.spark import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,11 +79,28 @@ def _sink_roundtrip(fmt: str, kind: str) -> Query:
     return run
 
 
+def _text_file_roundtrip(kind: str) -> Query:
+    """Write the generated lines as text files, then read them with the text
+    sources (``spark.read.text`` + parse), as the job does with its inputs."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        path = shared_dir(spark, f"text-{kind}")
+        if kind == "log":
+            track_log_lines_from_events(spark, d).select("value").write.mode("overwrite").text(path)
+            return read_track_log(spark, path).select(*LOG_COLUMNS)
+        cookie_label_lines_from_customers(spark, d).write.mode("overwrite").text(path)
+        return read_cookie_labels(spark, path)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "parse_track_log": lambda s, d: parse_track_log(track_log_lines_from_events(s, d)),
         "parse_cookie_labels": lambda s, d: parse_cookie_labels(cookie_label_lines_from_customers(s, d)),
         "clean_log_types": lambda s, d: _kept(s, d),
+        "read_track_log_text": _text_file_roundtrip("log"),
+        "read_cookie_labels_text": _text_file_roundtrip("label"),
     }
     for name, make in CUTS.items():
         q[f"assign_sessions_{name}"] = lambda s, d, make=make: assign_sessions(_kept(s, d), make())
@@ -173,6 +196,8 @@ FROM lines WHERE NOT starts_with(value, '#')""",
         "parse_cookie_labels": f"""WITH lines AS (SELECT concat_ws('|', cookie, cookie_label) AS value FROM ({SQL_COOKIE_LABELS}))
 SELECT split_part(value, '|', 1) AS cookie, split_part(value, '|', 2) AS cookie_label FROM lines""",
         "clean_log_types": f"WITH {_LOGS}, {_KEPT} SELECT * FROM kept",
+        "read_track_log_text": f"WITH {_LOGS} SELECT {cols} FROM logs",
+        "read_cookie_labels_text": SQL_COOKIE_LABELS,
     }
     for cut in _STARTS:
         o[f"assign_sessions_{cut}"] = f"WITH {_assigned_cte(cut)} SELECT {cols}, {ORDER}, session_seq FROM assigned"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ from visitflow.sources.text import default_domain_labels, read_cookie_labels, re
 CONF_VISIT_LOG = "spark.SessionCutEtl.visitLogsInputPath"
 CONF_COOKIE_LABELS = "spark.SessionCutEtl.cookieLogsLabelPath"
 CONF_OUTPUT = "spark.SessionCutEtl.outputPath"
+log = logging.getLogger("visitflow.etl")
+
 DEFAULT_PATHS = {
     CONF_VISIT_LOG: "data/visit_log.txt",
     CONF_COOKIE_LABELS: "data/cookie_label.txt",
@@ -95,4 +98,5 @@ def run_session_etl(
     # The count is observed during the single sessions write, so random
     # (uuid) ids are generated once and the total matches what is written.
     total = write_outputs(parsed, sessions, output_path, fmt)
+    log.info("sessions written: %d (%s, %s)", total, output_path, fmt)
     return EtlResult(session_total=total, output_path=output_path, fmt=fmt)
