@@ -118,3 +118,35 @@ def test_pieces_span_arrow_batches(spark, kept, batch):
             assert _key(build_sessions(kept, time_gap_cut("6 hours"), num_partitions=parts).collect()) == ref
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_label_join_splits_hot_cookie(spark, kept):
+    """With the labels too big to broadcast, AQE splits the hot cookie's
+    partition of the session side in the left join."""
+    from visitflow.operators.enrich import label_cookies
+    from visitflow.sources.tables import cookie_labels_from_customers
+
+    hot = kept.withColumn(
+        "cookie", F.when(F.col("cookie").substr(7, 10).cast("int") % 3 == 0, F.lit("cookie3")).otherwise(F.col("cookie"))
+    )
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        sessions = build_sessions(hot)
+        out = label_cookies(sessions, cookie_labels_from_customers(spark, SF_MID))
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+        assert len(rows) == sessions.count()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
