@@ -224,22 +224,9 @@ def _scan_rows(ranged: DataFrame, names: list[str], rule: CutRule) -> DataFrame:
     return ranged.mapInPandas(_rows_fn(names, rule), out_schema)
 
 
-def _pieces(scanned: DataFrame, names: list[str]) -> DataFrame:
-    """Piece summaries from scanned rows (used by the row-level path)."""
-    ins = [_IN + k for k in names]
-    is_pv = F.col(LOG_TYPE) == PAGEVIEW
-    return scanned.groupBy(CHUNK, PIECE, COOKIE, RUN, RPIECE).agg(
-        F.min(F.struct(LOG_TIME, ORDER, IP, *ins)).alias("first"),
-        F.max(F.struct(LOG_TIME, ORDER, *ins)).alias("last"),
-        F.min(F.when(is_pv, F.struct(LOG_TIME, ORDER, URL))).alias("land"),
-        F.count_if(is_pv).alias("pv"),
-        F.count_if(F.col(LOG_TYPE) == CLICK).alias("clicks"),
-    )
-
-
 def _scan_pieces(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int | None) -> DataFrame:
     """Piece summaries straight from the scan: pieces never span partitions,
-    so no aggregation exchange is needed.  Same columns as :func:`_pieces`."""
+    so no aggregation exchange is needed."""
     ranged, names = _ranged(logs, rule, mode, num_partitions)
     return _summarise_pieces(ranged, names, rule)
 
@@ -310,6 +297,11 @@ def _chunk_info(pieces: DataFrame, rule: CutRule) -> DataFrame:
         .when(single, F.col("head_pieces"))
         .otherwise(F.col("tail").getField(RPIECE).cast("long"))
     )
+    # Session numbers of a cookie that spans chunks.  last_seq(c) is the number
+    # of the session open at the end of chunk c; a chunk holding one cookie
+    # that continues from c-1 adds its pieces (minus one if its head piece
+    # merges); any other chunk restarts the count.  "blk" groups each such
+    # chain, and base(c) is the offset of chunk c's first-cookie pieces.
     stop = (~(single & F.col("cont"))).cast("long")
     s = s.select("*", contrib.alias("contrib"), F.sum(stop).over(running).alias("blk"))
     s = s.select(
