@@ -6,7 +6,7 @@ Plan (one shuffle of the log rows, whatever the key skew):
    and sort within partitions.  Range bounds come from a sample of the full
    key, so a cookie that holds a third of all rows is spread over many
    partitions ("chunks") instead of landing in one task.
-2. A vectorized per-partition scan (numpy inside ``mapInPandas``) compares
+2. A vectorized per-partition scan (Arrow + numpy in ``mapInArrow``) compares
    each row with the previous one and numbers the local *pieces*: runs of
    rows that belong to one session within one chunk.  A chunk's first row
    always opens a piece, since the scan cannot see the previous chunk.
@@ -60,19 +60,27 @@ class _Fields:
         return self._struct.getField(_IN + name)
 
 
+def _numpy(col) -> np.ndarray:
+    """Arrow column → numpy (zero-copy for fixed-width types without nulls)."""
+    return col.to_numpy(zero_copy_only=False)
+
+
 def _cut_flags(batches, names: list[str], rule: CutRule):
-    """Walk the sorted rows of one partition batch by batch and number the
-    local pieces.  Yields (batch, start, piece, run, rpiece) with numpy arrays:
-    ``start`` marks a row that opens a piece, ``run`` numbers the cookies of
-    the partition (0 = the cookie the partition starts with) and ``rpiece``
-    numbers the pieces within a run from 1."""
+    """Walk the sorted rows of one partition batch by batch (Arrow record
+    batches) and number the local pieces.  Yields (batch, start, piece, run,
+    rpiece) with numpy arrays: ``start`` marks a row that opens a piece,
+    ``run`` numbers the cookies of the partition (0 = the cookie the
+    partition starts with) and ``rpiece`` numbers the pieces within a run
+    from 1."""
+    import pyarrow.compute as pc
+
     carry = None  # last row of the previous batch
-    for pdf in batches:
-        n = len(pdf)
+    for batch in batches:
+        n = batch.num_rows
         if n == 0:
             continue
-        cookie = pdf[COOKIE].to_numpy()
-        cur = {k: pdf[_IN + k].to_numpy() for k in names}
+        cookie = batch.column(COOKIE)
+        cur = {k: _numpy(batch.column(_IN + k)) for k in names}
         prev = {}
         for k, arr in cur.items():
             p = np.empty_like(arr)
@@ -80,8 +88,9 @@ def _cut_flags(batches, names: list[str], rule: CutRule):
             p[0] = arr[0] if carry is None else carry["inputs"][k]
             prev[k] = p
         new_cookie = np.empty(n, dtype=bool)
-        new_cookie[1:] = cookie[1:] != cookie[:-1]
-        new_cookie[0] = carry is None or cookie[0] != carry["cookie"]
+        new_cookie[1:] = _numpy(pc.not_equal(cookie.slice(1), cookie.slice(0, n - 1)))
+        first_cookie = cookie[0].as_py()
+        new_cookie[0] = carry is None or first_cookie != carry["cookie"]
         cut = np.asarray(rule.starts(SimpleNamespace(**cur), SimpleNamespace(**prev)), dtype=bool)
         start = new_cookie | cut
         if carry is None:
@@ -91,95 +100,99 @@ def _cut_flags(batches, names: list[str], rule: CutRule):
         idx = np.maximum.accumulate(np.where(new_cookie, np.arange(n), -1))
         run_first = np.where(idx >= 0, piece[np.maximum(idx, 0)], -1 if carry is None else carry["run_first"])
         carry = {
-            "cookie": cookie[-1],
+            "cookie": cookie[n - 1].as_py(),
             "inputs": {k: arr[-1] for k, arr in cur.items()},
             "piece": int(piece[-1]),
             "run": int(run[-1]),
             "run_first": int(run_first[-1]),
         }
-        yield pdf, start, piece, run, piece - run_first + 1
+        yield batch, start, piece, run, piece - run_first + 1
 
 
 def _rows_fn(names: list[str], rule: CutRule):
-    """Scan emitting every row with its chunk, piece, run and rpiece."""
+    """Scan emitting every row with its chunk, piece, run and rpiece (the
+    input columns pass through zero-copy)."""
 
     def scan(batches):
+        import pyarrow as pa
         from pyspark import TaskContext
 
-        chunk = np.int32(TaskContext.get().partitionId())
-        for pdf, _, piece, run, rpiece in _cut_flags(batches, names, rule):
-            yield pdf.assign(
-                **{CHUNK: chunk, PIECE: piece.astype(np.int64), RUN: run.astype(np.int32), RPIECE: rpiece.astype(np.int32)}
-            )
+        chunk = TaskContext.get().partitionId()
+        for batch, _, piece, run, rpiece in _cut_flags(batches, names, rule):
+            out = batch
+            for name, values, typ in (
+                (CHUNK, np.full(batch.num_rows, chunk, dtype=np.int32), pa.int32()),
+                (PIECE, piece.astype(np.int64), pa.int64()),
+                (RUN, run.astype(np.int32), pa.int32()),
+                (RPIECE, rpiece.astype(np.int32), pa.int32()),
+            ):
+                out = out.append_column(pa.field(name, typ, nullable=False), pa.array(values, type=typ))
+            yield out
 
     return scan
 
 
 def _pieces_fn(names: list[str], rule: CutRule):
     """Scan emitting one summary row per local piece: first row, last row,
-    first pageview and the pageview / click counts.  A piece may continue
-    over Arrow batches; its open summary is carried to the next batch."""
+    first pageview and the pageview / click counts.  Strings are gathered
+    with Arrow ``take``.  A piece may continue over batches; the open one is
+    held as a one-row batch and folded into the next batch's first segment."""
+    firsts = [("f_t", LOG_TIME), ("f_o", ORDER), ("f_ip", IP)] + [(f"f{_IN}{k}", _IN + k) for k in names]
+    lasts = [("l_t", LOG_TIME), ("l_o", ORDER)] + [(f"l{_IN}{k}", _IN + k) for k in names]
+    lands = [("p_t", LOG_TIME), ("p_o", ORDER), ("p_url", URL)]
 
     def scan(batches):
-        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
-        chunk = np.int32(TaskContext.get().partitionId())
-        open_piece = None  # one-row DataFrame of the piece still open
-        for pdf, start, piece, run, rpiece in _cut_flags(batches, names, rule):
-            n = len(pdf)
-            kind = pdf[LOG_TYPE].to_numpy()
-            is_pv, is_click = kind == PAGEVIEW, kind == CLICK
+        chunk = TaskContext.get().partitionId()
+        held = None  # one-row RecordBatch: the piece open at the end of the last batch
+        for batch, start, piece, run, rpiece in _cut_flags(batches, names, rule):
+            n = batch.num_rows
+            kind = batch.column(LOG_TYPE)
+            is_pv = _numpy(pc.fill_null(pc.equal(kind, PAGEVIEW), False))
+            is_click = _numpy(pc.fill_null(pc.equal(kind, CLICK), False))
             bounds = np.flatnonzero(start)
-            cont = open_piece is not None and (len(bounds) == 0 or bounds[0] != 0)
+            cont = held is not None and (len(bounds) == 0 or bounds[0] != 0)
             if cont:
                 bounds = np.concatenate([[0], bounds])
             ends = np.append(bounds[1:], n) - 1
             pv_at = np.minimum.reduceat(np.where(is_pv, np.arange(n), n), bounds)
             has_pv = pv_at < n
-            pv_at = np.where(has_pv, pv_at, 0)
-            col = {c: pdf[c].to_numpy() for c in (LOG_TIME, ORDER, IP, URL)}
-            seg = pd.DataFrame(
-                {
-                    CHUNK: chunk,
-                    PIECE: piece[bounds].astype(np.int64),
-                    COOKIE: pdf[COOKIE].to_numpy()[bounds],
-                    RUN: run[bounds].astype(np.int32),
-                    RPIECE: rpiece[bounds].astype(np.int32),
-                    "f_t": col[LOG_TIME][bounds],
-                    "f_o": col[ORDER][bounds],
-                    "f_ip": col[IP][bounds],
-                    **{f"f{_IN}{k}": pdf[_IN + k].to_numpy()[bounds] for k in names},
-                    "l_t": col[LOG_TIME][ends],
-                    "l_o": col[ORDER][ends],
-                    **{f"l{_IN}{k}": pdf[_IN + k].to_numpy()[ends] for k in names},
-                    "p_t": np.where(has_pv, col[LOG_TIME][pv_at], None),
-                    "p_o": pd.array(np.where(has_pv, col[ORDER][pv_at], 0), dtype="Int64"),
-                    "p_url": np.where(has_pv, col[URL][pv_at], None),
-                    "pv": np.add.reduceat(is_pv.astype(np.int64), bounds),
-                    "clicks": np.add.reduceat(is_click.astype(np.int64), bounds),
-                }
-            )
-            seg.loc[~has_pv, "p_o"] = pd.NA
+            pv_idx = pa.array(np.where(has_pv, pv_at, 0), mask=~has_pv)
+            first_idx, last_idx = pa.array(bounds), pa.array(ends)
+            pv = np.add.reduceat(is_pv.astype(np.int64), bounds)
+            clicks = np.add.reduceat(is_click.astype(np.int64), bounds)
+            cols = {
+                CHUNK: pa.array(np.full(len(bounds), chunk, dtype=np.int32)),
+                PIECE: pa.array(piece[bounds].astype(np.int64)),
+                COOKIE: batch.column(COOKIE).take(first_idx),
+                RUN: pa.array(run[bounds].astype(np.int32)),
+                RPIECE: pa.array(rpiece[bounds].astype(np.int32)),
+                **{name: batch.column(src).take(first_idx) for name, src in firsts},
+                **{name: batch.column(src).take(last_idx) for name, src in lasts},
+                **{name: batch.column(src).take(pv_idx) for name, src in lands},
+            }
             if cont:
-                # the batch's first segment continues the open piece
-                head = open_piece.iloc[0].copy()
-                first = seg.iloc[0]
-                head["pv"] += first["pv"]
-                head["clicks"] += first["clicks"]
-                for c in [c for c in seg.columns if c.startswith("l_")]:
-                    head[c] = first[c]
-                if pd.isna(head["p_t"]) and not pd.isna(first["p_t"]):
-                    for c in ("p_t", "p_o", "p_url"):
-                        head[c] = first[c]
-                seg = pd.concat([head.to_frame().T.astype(seg.dtypes.to_dict()), seg.iloc[1:]], ignore_index=True)
-            elif open_piece is not None:
-                seg = pd.concat([open_piece, seg], ignore_index=True)
-            open_piece = seg.iloc[-1:].reset_index(drop=True)
-            if len(seg) > 1:
-                yield seg.iloc[:-1]
-        if open_piece is not None:
-            yield open_piece
+                # the first segment continues the held piece: keep its first
+                # row, its landing page if it had one, and add its counts
+                pv[0] += held.column("pv")[0].as_py()
+                clicks[0] += held.column("clicks")[0].as_py()
+                keep = [name for name, _ in firsts]
+                if held.column("p_t").null_count == 0:
+                    keep += [name for name, _ in lands]
+                for name in keep:
+                    cols[name] = pa.concat_arrays([held.column(name), cols[name].slice(1)])
+            elif held is not None:
+                yield held
+            cols["pv"], cols["clicks"] = pa.array(pv), pa.array(clicks)
+            out = pa.RecordBatch.from_pydict(cols)
+            held = out.slice(out.num_rows - 1)
+            if out.num_rows > 1:
+                yield out.slice(0, out.num_rows - 1)
+        if held is not None:
+            yield held
 
     return scan
 
@@ -221,7 +234,7 @@ def _scan(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int | None)
 
 def _scan_rows(ranged: DataFrame, names: list[str], rule: CutRule) -> DataFrame:
     out_schema = T.StructType(ranged.schema.fields + _POSITION)
-    return ranged.mapInPandas(_rows_fn(names, rule), out_schema)
+    return ranged.mapInArrow(_rows_fn(names, rule), out_schema)
 
 
 def _scan_pieces(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int | None) -> DataFrame:
@@ -252,7 +265,7 @@ def _summarise_pieces(ranged: DataFrame, names: list[str], rule: CutRule) -> Dat
         T.StructField("pv", T.LongType(), False),
         T.StructField("clicks", T.LongType(), False),
     ]
-    raw = ranged.mapInPandas(_pieces_fn(names, rule), T.StructType(fields))
+    raw = ranged.mapInArrow(_pieces_fn(names, rule), T.StructType(fields))
     ins = [_IN + k for k in names]
     return raw.select(
         CHUNK,
