@@ -65,11 +65,6 @@ def or_missing(c: Column) -> Column:
     return F.coalesce(c, F.lit(MISSING))
 
 
-def session_hash_id(cookie: Column, start: Column, seq: Column) -> Column:
-    """Deterministic session id: md5 of ``cookie|start|seq``."""
-    return F.md5(F.concat_ws("|", cookie, start, seq.cast("string")))
-
-
 def json_line(*cols: str) -> Column:
     """One JSON object per row with the given columns in order."""
     return F.to_json(F.struct(*[F.col(c) for c in cols]))

@@ -30,12 +30,12 @@ from types import SimpleNamespace
 import numpy as np
 import visitflow
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from visitflow.functions.columns import DROPMALFORMED, check_mode, parsed_time, session_hash_id
+from visitflow.functions.columns import DROPMALFORMED, check_mode, parsed_time
 from visitflow.operators.cut import CutRule, pageview_cut
 from visitflow.schema import CLICK, COOKIE, IP, LOG_TIME, LOG_TYPE, MISSING, ORDER, PAGEVIEW, URL
 
@@ -203,7 +203,7 @@ def _prepare(logs: DataFrame, rule: CutRule, mode: str) -> tuple[DataFrame, list
         logs = logs.where(parsed_time(F.col(LOG_TIME)).isNotNull())
     inputs = rule.input_columns()
     names = list(inputs)
-    return logs.select(*[F.col(c) for c in logs.columns], *[v.alias(_IN + k) for k, v in inputs.items()]), names
+    return logs.select("*", *[v.alias(_IN + k) for k, v in inputs.items()]), names
 
 
 def _ranged(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int | None) -> tuple[DataFrame, list[str]]:
@@ -244,6 +244,11 @@ def _scan_pieces(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int
     return _summarise_pieces(ranged, names, rule)
 
 
+def _named(fields: list[tuple[str, str]]) -> str:
+    """SQL ``named_struct`` of (field name, column name) pairs."""
+    return "named_struct(" + ", ".join(f"'{name}', `{col}`" for name, col in fields) + ")"
+
+
 def _summarise_pieces(ranged: DataFrame, names: list[str], rule: CutRule) -> DataFrame:
     types = {f.name: f.dataType for f in ranged.schema.fields}
     fields = [
@@ -267,22 +272,15 @@ def _summarise_pieces(ranged: DataFrame, names: list[str], rule: CutRule) -> Dat
     ]
     raw = ranged.mapInArrow(_pieces_fn(names, rule), T.StructType(fields))
     ins = [_IN + k for k in names]
-    return raw.select(
-        CHUNK,
-        PIECE,
-        COOKIE,
-        RUN,
-        RPIECE,
-        F.struct(
-            F.col("f_t").alias(LOG_TIME), F.col("f_o").alias(ORDER), F.col("f_ip").alias(IP), *[F.col(f"f{c}").alias(c) for c in ins]
-        ).alias("first"),
-        F.struct(F.col("l_t").alias(LOG_TIME), F.col("l_o").alias(ORDER), *[F.col(f"l{c}").alias(c) for c in ins]).alias("last"),
-        F.when(
-            F.col("p_t").isNotNull(),
-            F.struct(F.col("p_t").alias(LOG_TIME), F.col("p_o").alias(ORDER), F.col("p_url").alias(URL)),
-        ).alias("land"),
-        "pv",
-        "clicks",
+    first = _named([(LOG_TIME, "f_t"), (ORDER, "f_o"), (IP, "f_ip")] + [(c, f"f{c}") for c in ins])
+    last = _named([(LOG_TIME, "l_t"), (ORDER, "l_o")] + [(c, f"l{c}") for c in ins])
+    land = _named([(LOG_TIME, "p_t"), (ORDER, "p_o"), (URL, "p_url")])
+    return raw.selectExpr(
+        CHUNK, PIECE, COOKIE, RUN, RPIECE,
+        f"{first} AS first",
+        f"{last} AS last",
+        f"CASE WHEN p_t IS NOT NULL THEN {land} END AS land",
+        "pv", "clicks",
     )
 
 
@@ -290,47 +288,50 @@ def _chunk_info(pieces: DataFrame, rule: CutRule) -> DataFrame:
     """One row per non-empty chunk: how its head piece joins the previous chunk
     and the session-number offset of its first cookie."""
     stats = pieces.groupBy(CHUNK).agg(
-        F.min_by(F.struct(COOKIE, "first"), F.col(PIECE)).alias("head"),
-        F.max_by(F.struct(COOKIE, "last", RPIECE), F.col(PIECE)).alias("tail"),
-        F.count_if(F.col(RUN) == 0).alias("head_pieces"),
-        F.max(RUN).alias("max_run"),
-        F.max(PIECE).alias("max_piece"),
-    )
-    # At most one row per partition of the range exchange: a bounded table.
-    by_chunk = Window.orderBy(CHUNK)
-    running = by_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev_tail = F.lag("tail").over(by_chunk)
-    cont = F.coalesce(prev_tail.getField(COOKIE) == F.col("head").getField(COOKIE), F.lit(False))
-    cut = rule.starts(_Fields(F.col("head.first")), _Fields(prev_tail.getField("last")))
-    merge = cont & ~F.coalesce(cut, F.lit(True))
-    s = stats.select("*", cont.alias("cont"), merge.alias("merge"))
-    single = F.col("max_run") == 0
-    contrib = (
-        F.when(single & F.col("cont"), F.col("head_pieces") - F.col("merge").cast("long"))
-        .when(single, F.col("head_pieces"))
-        .otherwise(F.col("tail").getField(RPIECE).cast("long"))
+        F.expr(f"min_by(named_struct('{COOKIE}', {COOKIE}, 'first', first), {PIECE}) AS head"),
+        F.expr(f"max_by(named_struct('{COOKIE}', {COOKIE}, 'last', last, '{RPIECE}', {RPIECE}), {PIECE}) AS tail"),
+        F.expr(f"count_if({RUN} = 0) AS head_pieces"),
+        F.expr(f"max({RUN}) AS max_run"),
+        F.expr(f"max({PIECE}) AS max_piece"),
     )
+    # At most one row per partition of the range exchange: a bounded table,
+    # ordered by chunk in one task.
+    order = f"OVER (ORDER BY {CHUNK})"
+    running = f"OVER (ORDER BY {CHUNK} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    s = stats.selectExpr("*", f"lag(tail) {order} AS prev_tail")
+    # the cut rule decides whether the head piece opens a session after the
+    # previous chunk's last log
+    cut = rule.starts(_Fields(F.col("head.first")), _Fields(F.col("prev_tail.last")))
+    cont = f"coalesce(prev_tail.{COOKIE} = head.{COOKIE}, false)"
+    s = s.select("*", cut.alias("cut")).selectExpr("*", f"{cont} AS cont", f"{cont} AND NOT coalesce(cut, true) AS merge")
     # Session numbers of a cookie that spans chunks.  last_seq(c) is the number
     # of the session open at the end of chunk c; a chunk holding one cookie
     # that continues from c-1 adds its pieces (minus one if its head piece
     # merges); any other chunk restarts the count.  "blk" groups each such
     # chain, and base(c) is the offset of chunk c's first-cookie pieces.
-    stop = (~(single & F.col("cont"))).cast("long")
-    s = s.select("*", contrib.alias("contrib"), F.sum(stop).over(running).alias("blk"))
-    s = s.select(
+    s = s.selectExpr(
         "*",
-        F.sum("contrib").over(Window.partitionBy("blk").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("last_seq"),
+        f"""CASE WHEN max_run = 0 AND cont THEN head_pieces - CAST(merge AS BIGINT)
+                 WHEN max_run = 0 THEN head_pieces
+                 ELSE CAST(tail.{RPIECE} AS BIGINT) END AS contrib""",
+        f"sum(CASE WHEN max_run = 0 AND cont THEN 0 ELSE 1 END) {running} AS blk",
     )
-    base = F.when(F.col("cont"), F.lag("last_seq").over(by_chunk) - F.col("merge").cast("long")).otherwise(F.lit(0))
-    next_merge = F.coalesce(F.lead("merge").over(by_chunk), F.lit(False))
-    return s.select(
-        CHUNK, base.alias("base"), F.col("merge").alias("merge"), next_merge.alias("next_merge"), "max_piece"
+    s = s.selectExpr(
+        "*", f"sum(contrib) OVER (PARTITION BY blk ORDER BY {CHUNK} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_seq"
+    )
+    return s.selectExpr(
+        CHUNK,
+        f"CASE WHEN cont THEN lag(last_seq) {order} - CAST(merge AS BIGINT) ELSE 0 END AS base",
+        "merge",
+        f"coalesce(lead(merge) {order}, false) AS next_merge",
+        "max_piece",
     )
 
 
 def _with_seq(df: DataFrame, info: DataFrame) -> DataFrame:
-    seq = F.when(F.col(RUN) == 0, F.col("base") + F.col(RPIECE)).otherwise(F.col(RPIECE)).cast("int")
-    return df.join(F.broadcast(info), CHUNK).withColumn(SEQ, seq)
+    return df.join(F.broadcast(info), CHUNK).selectExpr(
+        "*", f"CAST(CASE WHEN {RUN} = 0 THEN base + {RPIECE} ELSE {RPIECE} END AS INT) AS {SEQ}"
+    )
 
 
 def assign_sessions(
@@ -377,29 +378,25 @@ def build_sessions(
     # so it is computed once.
     info = _chunk_info(pieces, cut).persist(StorageLevel.MEMORY_AND_DISK)
     p = _with_seq(pieces, info)
-    edge = ((F.col(PIECE) == 0) & F.col("merge")) | ((F.col(PIECE) == F.col("max_piece")) & F.col("next_merge"))
+    edge = f"({PIECE} = 0 AND merge) OR ({PIECE} = max_piece AND next_merge)"
     cols = [COOKIE, SEQ, "first", "land", "pv", "clicks"]
-    whole = p.where(~edge).select(*cols)
+    whole = p.where(f"NOT ({edge})").select(*cols)
     stitched = (
         p.where(edge)
         .groupBy(COOKIE, SEQ)
-        .agg(
-            F.min("first").alias("first"),
-            F.min("land").alias("land"),
-            F.sum("pv").alias("pv"),
-            F.sum("clicks").alias("clicks"),
-        )
+        .agg(F.expr("min(first) AS first"), F.expr("min(land) AS land"), F.expr("sum(pv) AS pv"), F.expr("sum(clicks) AS clicks"))
         .select(*cols)
     )
-    s = whole.unionByName(stitched)
-    start = F.col("first").getField(LOG_TIME)
-    return s.select(
-        (session_hash_id(F.col(COOKIE), start, F.col(SEQ)) if session_ids == "hash" else F.uuid()).alias("session_id"),
-        start.alias("session_server_time"),
-        F.col(COOKIE),
-        F.col("first").getField(IP).alias(IP),
-        F.coalesce(F.col("land").getField(URL), F.lit(MISSING)).alias("landing_url"),
-        F.col("pv").cast("int").alias("pageview_count"),
-        F.col("clicks").cast("int").alias("click_count"),
-        F.col(SEQ),
+    session_id = (
+        f"md5(concat_ws('|', {COOKIE}, first.{LOG_TIME}, CAST({SEQ} AS STRING)))" if session_ids == "hash" else "uuid()"
+    )
+    return whole.unionByName(stitched).selectExpr(
+        f"{session_id} AS session_id",
+        f"first.{LOG_TIME} AS session_server_time",
+        COOKIE,
+        f"first.{IP} AS {IP}",
+        f"coalesce(land.{URL}, '{MISSING}') AS landing_url",
+        "CAST(pv AS INT) AS pageview_count",
+        "CAST(clicks AS INT) AS click_count",
+        SEQ,
     )
