@@ -16,9 +16,19 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Let AQE coalesce the partitions of a cached plan too (the session pieces
+    # are cached); otherwise small inputs run spark.sql.shuffle.partitions
+    # near-empty tasks.
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
 }
 
 
+def apply_job_conf(spark: SparkSession) -> None:
+    """Set the runtime (SQL) settings of JOB_CONF on an existing session."""
+    for k, v in JOB_CONF.items():
+        spark.conf.set(k, v)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "visitflow") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for k, v in JOB_CONF.items():
