@@ -210,11 +210,12 @@ def _ranged(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int | Non
     """Range-partition on the unique order key and sort each partition."""
     prepared, names = _prepare(logs, rule, mode)
     keys = [COOKIE, LOG_TIME, ORDER]
-    ranged = (
-        prepared.repartitionByRange(num_partitions, *keys)
-        if num_partitions
-        else prepared.repartitionByRange(*keys)
-    ).sortWithinPartitions(*keys)
+    if not num_partitions:
+        # As many chunks as input splits: chunk size follows the input split
+        # size (spark.sql.files.maxPartitionBytes), so it scales with the data,
+        # and a small input does not fan out into mostly empty chunks.
+        num_partitions = max(1, prepared.rdd.getNumPartitions())
+    ranged = prepared.repartitionByRange(num_partitions, *keys).sortWithinPartitions(*keys)
     return ranged, names
 
 

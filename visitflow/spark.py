@@ -16,10 +16,6 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Let AQE coalesce the partitions of a cached plan too (the session pieces
-    # are cached); otherwise small inputs run spark.sql.shuffle.partitions
-    # near-empty tasks.
-    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
 }
 
 
