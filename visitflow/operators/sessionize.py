@@ -211,10 +211,11 @@ def _ranged(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int | Non
     prepared, names = _prepare(logs, rule, mode)
     keys = [COOKIE, LOG_TIME, ORDER]
     if not num_partitions:
-        # As many chunks as input splits: chunk size follows the input split
-        # size (spark.sql.files.maxPartitionBytes), so it scales with the data,
-        # and a small input does not fan out into mostly empty chunks.
-        num_partitions = max(1, prepared.rdd.getNumPartitions())
+        # No more chunks than input splits (a small input does not fan out
+        # into mostly empty chunks) and no more than the session's shuffle
+        # partitions (the user's sizing of large shuffles).
+        shuffle_parts = int(logs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        num_partitions = max(1, min(prepared.rdd.getNumPartitions(), shuffle_parts))
     ranged = prepared.repartitionByRange(num_partitions, *keys).sortWithinPartitions(*keys)
     return ranged, names
 
