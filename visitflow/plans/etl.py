@@ -15,7 +15,8 @@ from visitflow.schema import LOG_TYPES
 from visitflow.sources.sinks import check_format, write_outputs
 from visitflow.sources.text import default_domain_labels, read_cookie_labels, read_track_log
 
-# Job configuration keys (with the defaults used when a key is unset).
+# The job's configuration keys and their defaults, kept equal
+# to the existing job's so the same spark-submit --conf settings work.
 CONF_VISIT_LOG = "spark.SessionCutEtl.visitLogsInputPath"
 CONF_COOKIE_LABELS = "spark.SessionCutEtl.cookieLogsLabelPath"
 CONF_OUTPUT = "spark.SessionCutEtl.outputPath"
