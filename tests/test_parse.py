@@ -89,3 +89,36 @@ def test_gap_parsing():
     assert _gap_ms("30 minutes") == 1_800_000
     assert _gap_ms("6 hours") == 21_600_000
     assert _gap_ms(5) == 5
+
+
+def _java_split(line):
+    """Java ``line.split("\\\\|")``: trailing empty strings removed; an empty
+    line gives one empty field; a line of pipes only gives no field."""
+    if line == "":
+        return [""]
+    parts = line.split("|")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_split_matches_java_semantics(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    from pyspark.sql import functions as F
+
+    from visitflow.functions.columns import split_fields
+
+    @settings(max_examples=4, deadline=None)
+    @given(st.lists(st.text(alphabet="ab|# ", max_size=12), min_size=1, max_size=300))
+    def check(lines):
+        df = spark.createDataFrame([(v,) for v in lines], "value string")
+        got = [r.f for r in df.select(split_fields(F.col("value")).alias("f")).collect()]
+        for line, fields in zip(lines, got):
+            exp = _java_split(line)
+            if exp == []:  # pipes only: malformed either way (1 field here, 0 in Java)
+                assert fields == [""]
+            else:
+                assert fields == exp, line
+
+    check()
