@@ -153,3 +153,14 @@ def test_label_join_splits_hot_cookie(spark, kept):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_scan_survives_task_retries():
+    """Every scan task fails once and is retried: results are unchanged."""
+    import os
+    import subprocess
+    import sys
+
+    helper = os.path.join(os.path.dirname(__file__), "helpers", "retry_run.py")
+    out = subprocess.run([sys.executable, helper, SF_SMALL], capture_output=True, text=True, timeout=600)
+    assert "RETRY_RESULT True" in out.stdout, out.stdout[-2000:] + out.stderr[-2000:]
