@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitflow.llm import lines, mixing, quality
+from visitflow.llm import lines, mixing, quality, secrets, urls
 
 
 def _over(table: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -15,6 +15,8 @@ def _over(table: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[Spar
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_url_filter": _over("pages", urls.query),
+        "op6_secret_scan": _over("documents", secrets.query),
         "op7_mixing": _over("documents", mixing.query),
         "op8_quality_rules": _over("documents", quality.query),
         "op10_line_dedup": _over("documents", lines.query),
