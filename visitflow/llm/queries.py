@@ -6,15 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitflow.llm import lines, mixing, quality, secrets, urls
+from visitflow.llm import decontaminate, lines, mixing, quality, secrets, urls
 
 
 def _over(table: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: query(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
+def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    return decontaminate.query(documents, benchmark)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": _decontamination,
         "op5_url_filter": _over("pages", urls.query),
         "op6_secret_scan": _over("documents", secrets.query),
         "op7_mixing": _over("documents", mixing.query),
