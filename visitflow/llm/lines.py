@@ -219,7 +219,7 @@ def line_dedup(documents: DataFrame, min_chars: int = MIN_CHARS, min_documents:
     )
     keyed = documents.drop("n_lines", "n_dropped")
     on = (F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)) == F.col("_l_doc")) & (_text_hash() == F.col("_l_th"))
-    joined = keyed.join(maps, on, "left")
+    joined = keyed.join(maps.hint("merge"), on, "left")  # one plan at every size
     past = F.octet_length("_l_keep")
 
     def kept(lines: Column) -> Column:
