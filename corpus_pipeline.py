@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitflow.llm import lines, mixing, quality
+from visitflow.llm import decontaminate, lines, mixing, ngram_join, quality
+from visitflow.llm.common import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -20,6 +21,17 @@ def apply_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return lines.line_dedup(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
 
 
+def apply_ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies, the one with the smallest id."""
+    return ngram_join.deduplicated(docs).select(COLUMNS)
+
+
+def apply_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that contain a benchmark passage."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.decontaminated(docs, benchmark).select(COLUMNS)
+
+
 def apply_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or leaves out documents until the sources meet their targets."""
     return mixing.mix(docs).select(COLUMNS)
@@ -28,6 +40,8 @@ def apply_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES = [
     ("quality_rules", apply_quality_rules),
     ("line_dedup", apply_line_dedup),
+    ("ngram_jaccard_join", apply_ngram_join),
+    ("benchmark_decontamination", apply_decontamination),
     ("mixing", apply_mixing),
 ]
 
@@ -37,7 +51,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each stage's rows are written and read again, as by the stage runner."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -129,7 +129,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, percent: int = PERC
     laid = written(windows(documents, items).groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "size")).alias("at")), "bench-windows")
     laid = laid.select(F.col("doc_id").alias("w_doc"), F.col("th").alias("w_th"), "at")
     texts = documents.select("doc_id", text_or_empty().alias("text")).withColumn("th", F.xxhash64("text"))
-    found = texts.join(laid, F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("th") == F.col("w_th")))
+    found = texts.join(laid.hint("merge"), F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("th") == F.col("w_th")))
     found = found.dropDuplicates(["doc_id", "th"]).select(
         "doc_id", "th", plain_words(F.col("text")).alias("w"), F.explode("at").alias("at")
     )
@@ -173,7 +173,7 @@ def decontaminated(documents: DataFrame, benchmark: DataFrame, percent: int = PE
     )
     found = written(found.distinct(), "bench-found")
     same = F.col("doc_id").eqNullSafe(F.col("_c_doc")) & (F.xxhash64(text_or_empty()) == F.col("_c_th"))
-    return documents.join(found, same, "left_anti")
+    return documents.join(found.hint("merge"), same, "left_anti")
 
 
 def query(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

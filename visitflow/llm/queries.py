@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitflow.llm import decontaminate, lines, mixing, quality, secrets, urls
+from visitflow.llm import decontaminate, lines, mixing, ngram_join, quality, secrets, urls
 
 
 def _over(table: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -21,6 +21,7 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": _decontamination,
+        "op4_ngram_jaccard_join": _over("documents", ngram_join.query),
         "op5_url_filter": _over("pages", urls.query),
         "op6_secret_scan": _over("documents", secrets.query),
         "op7_mixing": _over("documents", mixing.query),
