@@ -6,21 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitflow.llm import decontaminate, lines, mixing, ngram_join, quality, secrets, urls
+from visitflow.llm import decontaminate, lines, lm_score, mixing, ngram_join, quality, secrets, toxicity, urls
 
 
 def _over(table: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: query(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
-def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
-    return decontaminate.query(documents, benchmark)
+def _over_two(one: str, two: str, query: Callable[[DataFrame, DataFrame], DataFrame]):
+    return lambda spark, sf_dir: query(*(spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in (one, two)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "op1_decontamination": _decontamination,
+        "op1_decontamination": _over_two("documents", "benchmark", decontaminate.query),
+        "op2_lm_score": _over("documents", lm_score.query),
+        "op3_toxicity": _over_two("documents", "labels", toxicity.query),
         "op4_ngram_jaccard_join": _over("documents", ngram_join.query),
         "op5_url_filter": _over("pages", urls.query),
         "op6_secret_scan": _over("documents", secrets.query),

@@ -26,7 +26,7 @@ LOWER[65:91] += 32
 _powers: dict[int, np.ndarray] = {}
 
 
-def _power_table(base: int, size: int) -> np.ndarray:
+def power_table(base: int, size: int) -> np.ndarray:
     """``base**0 .. base**(size-1)`` modulo 2**64, kept and grown on demand."""
     table = _powers.get(base)
     if table is None or len(table) < size:
@@ -50,14 +50,14 @@ def range_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int
         return np.zeros(0, dtype=np.uint64)
     n = len(data)
     terms = np.zeros(n + 1, dtype=np.uint64)
-    np.multiply(data, _power_table(base, n + 1)[:n], out=terms[:n], dtype=np.uint64)
-    terms[:n] += _power_table(base, n + 1)[:n]  # so that zero bytes count
+    np.multiply(data, power_table(base, n + 1)[:n], out=terms[:n], dtype=np.uint64)
+    terms[:n] += power_table(base, n + 1)[:n]  # so that zero bytes count
     bounds = np.empty(2 * len(starts), dtype=np.int64)
     bounds[::2], bounds[1::2] = starts, ends
     sums = np.add.reduceat(terms, bounds)[::2]
     sums[starts == ends] = 0
     inverse = pow(base, -1, 1 << 64)
-    return mix(sums * _power_table(inverse, n + 1)[starts] + (ends - starts).astype(np.uint64))
+    return mix(sums * power_table(inverse, n + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
 def chunks(column: pa.Array):
