@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitflow.llm import decontaminate, lines, lm_score, mixing, ngram_join, quality, secrets, toxicity, urls
+from visitflow.llm import decontaminate, html_text, lines, lm_score, mixing, ngram_join, quality, secrets, toxicity, urls
 
 
 def _over(table: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -27,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_secret_scan": _over("documents", secrets.query),
         "op7_mixing": _over("documents", mixing.query),
         "op8_quality_rules": _over("documents", quality.query),
+        "op9_html_text": _over("pages", html_text.query),
         "op10_line_dedup": _over("documents", lines.query),
     }
 
@@ -35,5 +36,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op7_mixing": mixing.ORACLE,
         "op8_quality_rules": quality.oracle(),
+        "op9_html_text": _over("pages", html_text.query),
         "op10_line_dedup": lines.ORACLE,
     }
