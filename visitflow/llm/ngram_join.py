@@ -8,10 +8,13 @@ shingles (inverted lists); small sets once under each two-element subset of
 their first ``p + 1``; sets near the boundary under both.  The boundary is
 chosen by cost, from the measured lengths of the lists.
 
-* Order: shingles with hash under ``CUT`` by their counted number of documents,
-  then the rest by hash, then the heavy ones by hash.  Any fixed order gives
-  the same links; this one keeps frequent passages out of the prefixes.  Shingles
-  in one document only are dropped where they are counted.
+* Order: counted shingles by their number of documents, then uncounted ones by
+  hash, then the heavy ones by hash.  Any fixed order gives the same links; this
+  one keeps frequent passages out of the prefixes.  Shingles in one document only
+  are dropped where they are counted.  A first pass counts the shingles with hash
+  under ``FIRST_CUT`` and finds the documents that can have a partner; a second
+  pass counts all shingles of those documents, so that the ones of their own
+  bound what they can share with any other.
 * Heavy shingles (in a share of ``HEAVY`` of all documents of a task, and of all
   tasks together) are at most ``mean set size / HEAVY`` many, so that list is
   small at any corpus size and is broadcast; their inverted lists are split over
@@ -37,7 +40,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitflow.llm.common import shared_folder, text_or_empty, written
@@ -46,12 +49,16 @@ from visitflow.llm.vector import BASE2, LOWER, chunks, mix, range_hash, shingle_
 
 SIZE = 5
 PERCENT = 75
-CUT = 1 / 3
+FIRST_CUT = 1 / 3
 HEAVY = 0.01
 SALTS = 64
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 LONG_RUN = 1 << 20
-_CUT_AT = int(-(2**63) + CUT * 2**64)
+
+
+def _limit(cut: float) -> int:
+    """The hash value below which a share ``cut`` of all shingles lies."""
+    return min(int(-(2**63) + cut * 2**64), 2**63 - 1)
 
 
 def prefix_length(n, percent: int = PERCENT):
@@ -144,10 +151,10 @@ def _texts(documents: DataFrame) -> DataFrame:
 TOKENS = "token long, salt int, owner long, n int, m int"
 
 
-def _emitter(heavy):
-    """Per text the shingles that its prefix may hold: hash under CUT, or the first p + 1; heavy ones last.
+def _emitter(heavy, limit: int):
+    """Per text the shingles that its prefix may hold: hash under the limit, or the first p + 1; heavy ones last.
 
-    ``owner`` is the set's hash, ``n`` its size, ``m`` its shingles under CUT.
+    ``owner`` is the set's hash, ``n`` its size, ``m`` its plain shingles under the limit.
     """
 
     def emit(batches):
@@ -167,7 +174,7 @@ def _emitter(heavy):
                 is_hot = hot[np.minimum(np.searchsorted(hot, values), len(hot) - 1)] == values if len(hot) else np.zeros(len(values), bool)
                 plain, last = values[~is_hot], values[is_hot]
                 need = prefix_length(len(values)) + 1
-                under = int(np.searchsorted(plain, _CUT_AT))
+                under = int(np.searchsorted(plain, limit, side="right" if limit == 2**63 - 1 else "left"))
                 plain = plain[: max(need, under)]
                 last = last[: max(0, need - len(plain))]
                 owner = _prints(found)[0]
@@ -229,13 +236,29 @@ def _shared(batches):
         yield from flush(held, True)
 
 
-def _ranked(rows: DataFrame) -> DataFrame:
-    """Adds ``place``: the rank of a shingle under CUT in its set's order, for others the lowest rank possible."""
-    under = (F.col("salt") == 0) & (F.col("token") < _CUT_AT)
-    of_set = Window.partitionBy("owner")
-    in_order = of_set.orderBy(F.when(under, 0).otherwise(1), "count", "token")
-    single = F.col("m") - F.count_if(under).over(of_set)
-    return rows.withColumn("place", F.when(under, single + F.row_number().over(in_order)).otherwise(F.col("m")).cast("int"))
+def listed(texts: DataFrame, heavy: np.ndarray, cut: float, name: str) -> DataFrame:
+    """The shingles under the cut that two or more of the ``texts`` share, with their ``place`` in the order.
+
+    ``place`` is the rank of the shingle in its set, for those beyond the cut and
+    the heavy ones the lowest rank possible.
+    """
+    limit = _limit(cut)
+    hot = texts.sparkSession.sparkContext.broadcast(heavy)
+    rows = texts.select("text").mapInArrow(_emitter(hot, limit), TOKENS)
+    rows = rows.repartition("token", "salt").sortWithinPartitions("token", "salt", "owner")
+    rows = rows.mapInArrow(_shared, TOKENS + ", count long")
+    under = (F.col("salt") == 0) & (F.col("token") <= limit if cut >= 1 else F.col("token") < limit)
+    part = F.when(under, 0).when(F.col("salt") == 0, 1).otherwise(2)
+    of_part = Window.partitionBy("owner", part)
+    rank = F.row_number().over(of_part.orderBy(F.when(under, F.col("count")).otherwise(0), "token"))
+    single = F.col("m") - F.count("*").over(of_part)
+    place = F.when(part == 0, single + rank).when(part == 1, F.col("m")).otherwise(F.col("m") + rank)
+    return written(rows.withColumn("place", place.cast("int")), name)
+
+
+def in_prefix(extra: int = 0) -> Column:
+    p = F.col("n") + F.floor(-F.col("n") * PERCENT / 100) + 1
+    return (F.col("place") <= p + extra) | (F.col("salt") > 0)
 
 
 def boundary(rows: DataFrame) -> int:
@@ -253,18 +276,14 @@ def boundary(rows: DataFrame) -> int:
     return size
 
 
-def postings(documents: DataFrame, sets: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """``key, salt, node, n, place``; ``node`` is the smallest id of the documents with one set."""
-    hot = documents.sparkSession.sparkContext.broadcast(heavy)
-    rows = _texts(documents).where("doc_id is not null").select("text").mapInArrow(_emitter(hot), TOKENS)
-    rows = rows.repartition("token", "salt").sortWithinPartitions("token", "salt", "owner")
-    rows = written(_ranked(rows.mapInArrow(_shared, TOKENS + ", count long")), "shingle-lists")
+def postings(texts: DataFrame, nodes: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """``key, salt, node, n, place`` of the ``texts``, with all their shingles counted among them."""
+    rows = listed(texts, heavy, 1.0, "shingle-lists")
     small = boundary(rows)
-    p = F.col("n") + F.floor(-F.col("n") * PERCENT / 100) + 1
-    single = rows.where((100 * F.col("n") >= PERCENT * (small + 1)) & (F.col("place") <= p)).select(
+    single = rows.where((100 * F.col("n") >= PERCENT * (small + 1)) & in_prefix()).select(
         "owner", F.col("token").alias("key"), "salt", "n", "place"
     )
-    chosen = rows.where((F.col("n") <= small) & (F.col("place") <= p + 1))
+    chosen = rows.where((F.col("n") <= small) & in_prefix(1))
     first = chosen.groupBy("owner", "n").agg(F.sort_array(F.collect_set(F.struct("token", "salt"))).alias("t"))
     pairs = F.flatten(
         F.transform(
@@ -280,10 +299,6 @@ def postings(documents: DataFrame, sets: DataFrame, heavy: np.ndarray) -> DataFr
     subset = first.select("owner", "n", F.explode(pairs).alias("k")).select(
         "owner", "k.key", "k.salt", "n", F.lit(1).alias("place")
     )
-    nodes = written(
-        sets.where("n > 0 and doc_id is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("node")).select(F.col("f1").alias("owner"), "node"),
-        "shingle-nodes",
-    )
     keys = single.unionByName(subset)
     return written(keys.join(nodes, "owner").select("key", "salt", "node", "n", "place"), "shingle-postings")
 
@@ -299,7 +314,7 @@ def _possible(n1, n2, place1, place2):
     return alike & ((100 + PERCENT) * most >= PERCENT * (n1 + n2))
 
 
-def _lists(batches, by_salt: bool):
+def _lists(batches):
     """The lists of a partition sorted by key, each as arrays; the last one is held back until it ends."""
     held: pa.Table | None = None
 
@@ -308,8 +323,6 @@ def _lists(batches, by_salt: bool):
         part = {c: table.column(c).to_numpy() for c in table.column_names}
         new = np.ones(table.num_rows, dtype=bool)
         new[1:] = part["key"][1:] != part["key"][:-1]
-        if by_salt:
-            new[1:] |= part["salt"][1:] != part["salt"][:-1]
         bounds = np.append(np.flatnonzero(new), table.num_rows)
         held = table.slice(bounds[-2]) if not final else None
         for a, b in zip(bounds[: len(bounds) - 1 - (not final)].tolist(), bounds[1:].tolist()):
@@ -334,7 +347,7 @@ def _pair_batch(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
 def _star(batches):
     """Each member of a list with the list's first row (its center), if in another component."""
     a, b, held = [], [], 0
-    for x in _lists(batches, by_salt=True):
+    for x in _lists(batches):
         ok = (x["comp"] != x["comp"][0]) & _possible(x["n"], x["n"][0], x["place"], x["place"][0])
         a.append(x["node"][ok])
         b.append(np.full(int(ok.sum()), x["node"][0]))
@@ -349,7 +362,7 @@ def _star(batches):
 def _rest(batches):
     """All pairs of a list's members that are in different components and can reach the similarity."""
     a, b, held = [], [], 0
-    for x in _lists(batches, by_salt=False):
+    for x in _lists(batches):
         for i in range(len(x["node"]) - 1):
             y = slice(i + 1, None)
             ok = (x["comp"][y] != x["comp"][i]) & _possible(x["n"][y], x["n"][i], x["place"][y], x["place"][i])
@@ -363,14 +376,30 @@ def _rest(batches):
         yield _pair_batch(a, b)
 
 
-def _centers(live: DataFrame, turn: int) -> DataFrame:
-    """Pairs of the centers of one heavy list's parts with the first of them."""
-    order = F.xxhash64("node", F.lit(turn))
-    center = live.where("salt > 0").groupBy("key", "salt").agg(F.min_by(F.struct("node", "comp"), order).alias("c"))
-    center = center.select("key", "c.node", "c.comp")
-    first = center.groupBy("key").agg(F.min_by(F.struct("node", "comp"), order).alias("f"))
-    both = center.join(first, "key").where("comp <> f.comp")
-    return both.select(F.least("node", "f.node").alias("a"), F.greatest("node", "f.node").alias("b"))
+def _rank(turn: int) -> Column:
+    """Sort key of the center of a list: first the member with the fewest rare shingles, in later rounds others by hash.
+
+    The original of a group of near copies has none of the copies' own shingles,
+    so it comes first.
+    """
+    chance = F.xxhash64("node", F.lit(turn))
+    return F.struct(F.col("place"), chance) if turn == 0 else F.struct(chance)
+
+
+def star_pairs(live: DataFrame, turn: int) -> DataFrame:
+    """Each list member with its list's center, where they are in different components and can link."""
+    plain = live.where("salt = 0").repartition("key").sortWithinPartitions("key", _rank(turn))
+    pairs = plain.mapInArrow(_star, "a long, b long")
+    # Heavy lists lie in parts; their centers are found with map-side combine, one row per heavy key.
+    heavy = live.where("salt > 0")
+    center = heavy.groupBy("key").agg(F.min_by(F.struct("node", "n", "place", "comp"), _rank(turn)).alias("c"))
+    both = heavy.join(written(center, f"shingle-centers-{turn}"), "key").where("comp <> c.comp")
+    most = 1 + F.least(F.col("n") - F.col("place"), F.col("c.n") - F.col("c.place"))
+    both = both.where(
+        (100 * F.least("n", "c.n") >= PERCENT * F.greatest("n", "c.n"))
+        & ((100 + PERCENT) * most >= PERCENT * (F.col("n") + F.col("c.n")))
+    )
+    return pairs.union(both.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")))
 
 
 # ---------------------------------------------------------- verification
@@ -415,9 +444,7 @@ def links_of(posted: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
     tested = links = None
     for turn in range(STAR_ROUNDS + 1):
         if turn < STAR_ROUNDS:
-            order = F.xxhash64("node", F.lit(turn))
-            rows = live.repartition("key", "salt").sortWithinPartitions("key", "salt", order)
-            pairs = rows.mapInArrow(_star, "a long, b long").union(_centers(live, turn))
+            pairs = star_pairs(live, turn)
         else:
             rows = live.repartition("key").sortWithinPartitions("key", "node")
             pairs = rows.mapInArrow(_rest, "a long, b long")
@@ -439,19 +466,24 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
     """One row per document row: ``doc_id, n_shingles, component_id`` (the smallest id that links reach)."""
     shared_folder(documents.sparkSession)
     sets, heavy = shingle_summaries(documents)
-    posted = postings(documents, sets, heavy)
-    posted_nodes = posted.select(F.col("node").alias("doc_id")).distinct()
-    texts = written(_texts(documents).where("doc_id is not null").join(posted_nodes.hint("merge"), "doc_id", "left_semi"), "shingle-texts")
-    links = links_of(posted, texts, percent)
-    # documents with equal sets, and rows that repeat an id with other texts, belong together
     named = sets.where("n > 0 and doc_id is not null")
-    least = written(named.groupBy("f1", "f2").agg(F.min("doc_id").alias("b")), "shingle-equal")
-    equal = named.join(least, ["f1", "f2"]).select(F.col("doc_id").alias("a"), "b").where("a <> b")
-    labels = written(components(links.union(equal)), "shingle-labels")
-    rows = sets.join(labels, F.col("doc_id") == F.col("node"), "left")
-    return rows.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id")
-    )
+    nodes = named.groupBy("f1", "f2").agg(F.min("doc_id").alias("node"))
+    nodes = written(nodes.select(F.col("f1").alias("owner"), "node"), "shingle-nodes")
+    whole = _texts(documents).where("doc_id is not null")
+    # First pass: which documents have a shared shingle in their prefix at all, from a third of the shingles.
+    first = listed(whole, heavy, FIRST_CUT, "shingle-first").where(in_prefix(1)).select("owner").distinct()
+    able = first.join(nodes, "owner").select(F.col("node").alias("doc_id")).distinct()
+    texts = written(whole.join(able.hint("merge"), "doc_id", "left_semi"), "shingle-texts")
+    # Second pass: the lists of those documents, from all their shingles.
+    links = links_of(postings(texts, nodes, heavy), texts, percent)
+    least = written(named.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "shingle-equal")
+    placed = sets.join(least, ["f1", "f2"], "left").withColumn("rep", F.coalesce("rep", "doc_id"))
+    # rows that repeat an id with other texts belong together
+    several = placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"), F.collect_set("rep").alias("b"))
+    several = several.where("a <> z").select("a", F.explode("b").alias("b")).where("a <> b")
+    labels = written(components(links.union(several)), "shingle-labels")
+    rows = placed.join(labels, F.col("rep") == F.col("node"), "left")
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "rep").alias("component_id"))
 
 
 def deduplicated(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
