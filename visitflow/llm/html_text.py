@@ -28,7 +28,6 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -69,9 +68,10 @@ NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 SPLIT = re.compile(r"[^a-z]+")
 
 
-@lru_cache(maxsize=50_000)
 def kind(tag: str, attributes: str) -> tuple[str, bool]:
     """An element's name in the wrapper, and whether it is chrome."""
+    if not attributes.strip(" /"):
+        return tag, tag in CHROME or tag in HIDDEN
     names = sorted({w for m in NAMES.finditer(attributes) for w in SPLIT.split((m[1] or m[2] or m[3] or "").lower()) if w})
     # hidden or chrome by tag, or by a part of its names; a whole page or region is not chrome by its layout classes
     chrome = tag in CHROME or tag in HIDDEN or (tag not in ("html", "body", "main") and not CHROME_NAMES.isdisjoint(names))

@@ -23,7 +23,15 @@ IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_powers: dict[int, np.ndarray] = {}
+
+class _Tables(dict):
+    """A process's own cache: empty again wherever the code is shipped."""
+
+    def __reduce__(self):
+        return (_Tables, ())
+
+
+_powers = _Tables()
 
 
 def power_table(base: int, size: int) -> np.ndarray:
