@@ -36,6 +36,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op7_mixing": mixing.ORACLE,
         "op8_quality_rules": quality.oracle(),
-        "op9_html_text": _over("pages", html_text.query),
         "op10_line_dedup": lines.ORACLE,
     }
