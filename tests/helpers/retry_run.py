@@ -1,4 +1,4 @@
-"""Run sessionization where every scan task fails on its first attempt
+"""Run sessionization where every input task fails on its first attempt
 (Spark retries it) and print whether the result equals an undisturbed run."""
 
 from __future__ import annotations
@@ -11,21 +11,17 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 from pyspark.sql import SparkSession  # noqa: E402
 
 from visitflow.operators.clean import clean_log_types  # noqa: E402
-from visitflow.operators.cut import CutRule, time_gap_cut  # noqa: E402
+from visitflow.operators.cut import time_gap_cut  # noqa: E402
 from visitflow.operators.sessionize import assign_sessions, build_sessions  # noqa: E402
 from visitflow.sources.tables import track_log_from_events  # noqa: E402
 
 
-def flaky(rule: CutRule) -> CutRule:
-    def starts(cur, prev):
-        from pyspark import TaskContext
+def flaky(batches):
+    from pyspark import TaskContext
 
-        ctx = TaskContext.get()
-        if ctx is not None and ctx.attemptNumber() == 0:
-            raise RuntimeError("injected task failure")
-        return rule.starts(cur, prev)
-
-    return CutRule(name="flaky", starts=starts, inputs=rule.inputs, parses_time=rule.parses_time)
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("injected task failure")
+    yield from batches
 
 
 def main() -> None:
@@ -43,7 +39,7 @@ def main() -> None:
     ok = True
     for fn in (build_sessions, assign_sessions):
         expected = sorted(map(tuple, fn(logs, rule, num_partitions=7).collect()))
-        got = sorted(map(tuple, fn(logs, flaky(rule), num_partitions=7).collect()))
+        got = sorted(map(tuple, fn(logs.mapInArrow(flaky, logs.schema), rule, num_partitions=7).collect()))
         ok &= got == expected and len(got) > 0
     print("RETRY_RESULT", ok)
     spark.stop()

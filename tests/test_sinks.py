@@ -90,3 +90,25 @@ def test_uuid_ids_and_unique_labels(spark, inputs):
         f.write("cookie1|a\ncookie1|b\n")
     with pytest.raises(ValueError):
         run_session_etl(spark, visit, dup, os.path.join(d, "dup-out"), "text", unique_labels=True)
+
+
+def test_job_main_honours_conf_and_format(spark, tmp_path):
+    from visitflow.plans import etl
+
+    logs, labels, out = tmp_path / "log.txt", tmp_path / "label.txt", tmp_path / "out"
+    logs.write_text("#comment\npageview|2017-09-04 10:00:00|c1|1.1.1.1|http://jd.com/x\nclick|2017-09-04 10:00:05|c1|1.1.1.1|http://jd.com/y\n")
+    labels.write_text("c1|gold\n")
+    conf = {etl.CONF_VISIT_LOG: str(logs), etl.CONF_COOKIE_LABELS: f"file://{labels}", etl.CONF_OUTPUT: str(out)}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        for fmt in ("text", "parquet"):
+            result = etl.main([fmt])
+            assert (result.session_total, result.fmt) == (1, fmt)
+        assert spark.read.parquet(f"{out}/trackerSession").first().cookie_label == "gold"
+        spark.conf.set(etl.CONF_OUTPUT, f"file://{tmp_path}/")
+        with pytest.raises(ValueError, match="under the output path"):
+            etl.main([])
+    finally:
+        for k in conf:
+            spark.conf.unset(k)

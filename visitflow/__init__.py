@@ -1,3 +1 @@
 """visitflow: clickstream sessionization on Spark DataFrames."""
-
-__all__ = ["operators", "sources", "functions", "plans"]

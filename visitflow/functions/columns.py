@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from visitflow.schema import MISSING, TIME_FORMAT
+from visitflow.schema import MISSING
 
 # Fixed pattern: host of an http(s)/ftp URL, without userinfo and port,
 # case kept; IPv6 literals keep their brackets.
 URL_HOST_PATTERN = r"^(?i:https?|ftp)://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^:/?#]*)"
 URL_SCHEME_PATTERN = r"^(?i:https?|ftp)://"
+# Fixed pattern: the shape of a log time.
+TIME_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 FAILFAST = "FAILFAST"
 DROPMALFORMED = "DROPMALFORMED"
@@ -35,15 +37,18 @@ def field(fields: Column, i: int) -> Column:
     return F.get(fields, i)
 
 
-def parsed_time(t: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` → timestamp (session time zone), null if invalid."""
-    return F.try_to_timestamp(t, F.lit(TIME_FORMAT))
+def log_time_ms(t: Column, strict: bool = True) -> Column:
+    """Milliseconds of a ``yyyy-MM-dd HH:mm:ss`` wall-clock time, counted in UTC
+    whatever the session's zone.  ``strict`` raises on a value that does not
+    parse instead of yielding null."""
 
+    def part(start: int, below: int) -> Column:
+        value = F.substring(t, start, 2).try_cast("int")
+        return F.when(value < below, value)
 
-def log_time_ms(t: Column, strict: bool = True) -> Column:
-    """Epoch milliseconds of a log time string.  ``strict`` raises on a value
-    that does not parse instead of yielding null."""
-    ms = F.unix_millis(parsed_time(t))
+    day = F.to_date(F.try_to_timestamp(F.substring(t, 1, 10), F.lit("yyyy-MM-dd")))
+    seconds = F.unix_date(day).cast("long") * 86400 + part(12, 24) * 3600 + part(15, 60) * 60 + part(18, 60)
+    ms = F.when(t.rlike(TIME_SHAPE), seconds * 1000)
     if not strict:
         return ms
     return F.when(ms.isNull(), F.raise_error(F.concat(F.lit("unparseable log time: "), F.coalesce(t, F.lit("null"))))).otherwise(ms)

@@ -4,12 +4,11 @@ A rule decides, for two consecutive logs of the same cookie in time order,
 whether the later one opens a new session.  The first log of a cookie always
 opens one.  Rules are written once with plain operators (``-``, ``>=``,
 ``==``, ``!=``, ``&``, ``|``, ``~``) over attribute access, e.g.
-``lambda cur, prev: cur.ms - prev.ms >= gap``.  The same expression is
-evaluated on numpy arrays inside the per-partition scan and on Spark
-Columns when sessions are stitched across partition edges.
+``lambda cur, prev: cur.ms - prev.ms >= gap``.  Both arguments hold Spark
+Columns; the same expression cuts inside a chunk and at its edges.
 
 ``inputs`` names the columns the rule reads; each maps to a Column
-expression over the log row, computed once in Spark before the scan.
+expression over the log row.
 """
 
 from __future__ import annotations
@@ -80,7 +79,6 @@ def pageview_cut() -> CutRule:
     def starts(cur, prev):
         return cur.is_pageview
 
-    # A boolean input: one byte per row through the shuffle and the scan.
     return CutRule(name="pageview", starts=starts, inputs={"is_pageview": lambda: F.col(LOG_TYPE) == PAGEVIEW})
 
 
@@ -93,5 +91,6 @@ def day_change_cut() -> CutRule:
     return CutRule(
         name="day_change",
         starts=starts,
-        inputs={"day": lambda: F.substring(F.col(LOG_TIME), 1, 10)},
+        inputs={"day": lambda: F.floor(log_time_ms(F.col(LOG_TIME)) / 86_400_000)},
+        parses_time=True,
     )

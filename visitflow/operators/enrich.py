@@ -2,23 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitflow.functions.columns import or_missing, url_host
 from visitflow.schema import COOKIE, MISSING, SESSION_COLUMNS
+from visitflow.sources.text import default_domain_labels
 
-# A dimension is broadcast only when a bounded count proves it this small.
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``
-    unchanged (the planner then shuffles both sides, or AQE broadcasts it
-    when its measured size allows).  The check reads at most max_rows + 1 rows."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+# Sessions without a host cannot match a dimension row; their join keys are
+# spread over this many values, so that they do not meet in one task.
+_NO_HOST_KEYS = 4096
 
 
 def with_domain(sessions: DataFrame, mode: str = "FAILFAST") -> DataFrame:
@@ -27,59 +20,49 @@ def with_domain(sessions: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     return sessions.withColumn("domain", F.when(landing == MISSING, F.lit(MISSING)).otherwise(url_host(landing, mode)))
 
 
-def label_domains(
-    sessions: DataFrame,
-    domains: DataFrame,
-    *,
-    mode: str = "FAILFAST",
-    known_small: bool = False,
-    broadcast_max_rows: int | None = None,
-) -> DataFrame:
+def _host_key(domain: Column) -> Column:
+    return F.concat(F.lit("host:"), domain)
+
+
+def label_domains(sessions: DataFrame, domains: DataFrame | None = None, *, mode: str = "FAILFAST") -> DataFrame:
     """Exact-host lookup of ``domain_label`` (``"-"`` when absent).
 
-    The dimension is made unique on ``domain`` first (a lookup map has one
-    label per key).  ``known_small`` broadcasts a dimension of fixed size,
-    such as the four default entries.  Otherwise ``broadcast_max_rows`` asks
-    for a bounded row count first; without it the planner decides from the
-    measured size (AQE broadcasts under its threshold, else a shuffle join).
+    Without ``domains`` the four fixed entries are used, and broadcast.  Any
+    other dimension is made unique on ``domain`` (a lookup map has one label per
+    key) and left to the planner: broadcast if its measured size allows, else
+    a shuffle join whose hot hosts AQE can split (the join key is derived after
+    the grouping, so both sides have an exchange of their own).
     """
-    dim = domains.groupBy("domain").agg(F.max("domain_label").alias("domain_label"))
-    if known_small:
-        dim = F.broadcast(dim)
-    elif broadcast_max_rows is not None:
-        dim = broadcast_if_small(dim, broadcast_max_rows)
-    out = with_domain(sessions, mode).join(dim, "domain", "left")
-    return out.withColumn("domain_label", or_missing(F.col("domain_label")))
+    if domains is None:
+        dim = F.broadcast(default_domain_labels(sessions.sparkSession))  # four rows
+    else:
+        dim = domains.groupBy("domain").agg(F.max("domain_label").alias("domain_label"))
+    dim = dim.select(_host_key(F.col("domain")).alias("_key"), "domain_label")
+    found = with_domain(sessions, mode)
+    spread = F.concat(F.lit("none:"), F.pmod(F.xxhash64(COOKIE, "session_server_time"), F.lit(_NO_HOST_KEYS)).cast("string"))
+    none = F.col("domain").isin(MISSING, "")
+    out = found.withColumn("_key", F.when(none, spread).otherwise(_host_key(F.col("domain")))).join(dim, "_key", "left")
+    return out.drop("_key").withColumn("domain_label", or_missing(F.col("domain_label")))
 
 
 def check_unique_labels(labels: DataFrame) -> None:
-    """Raise when a cookie has more than one label row (reads until the first
-    duplicate key is found)."""
+    """Raise when a cookie has more than one label row (one grouping of all labels)."""
     dup = labels.groupBy(COOKIE).count().where(F.col("count") > 1).limit(1).collect()
     if dup:
         raise ValueError(f"cookie {dup[0][COOKIE]!r} has {dup[0]['count']} label rows")
 
 
-def label_cookies(
-    sessions: DataFrame,
-    labels: DataFrame,
-    *,
-    broadcast_max_rows: int | None = None,
-    unique_labels: bool = False,
-) -> DataFrame:
+def label_cookies(sessions: DataFrame, labels: DataFrame, *, unique_labels: bool = False) -> DataFrame:
     """Left join on cookie; ``"-"`` when the cookie has no label.  Duplicate
     label rows multiply the session, as a left outer join does; with
     ``unique_labels=True`` they are an error instead.
 
-    Without ``broadcast_max_rows`` the choice is left to the planner: AQE
-    broadcasts the labels when their measured size is under the threshold,
-    otherwise both sides are shuffled on cookie and AQE splits a skewed
-    (hot-cookie) partition of the sessions side.
+    The planner broadcasts the labels if their measured size allows; otherwise
+    both sides are shuffled on cookie and AQE splits a skewed (hot-cookie)
+    partition of the sessions side.
     """
     if unique_labels:
         check_unique_labels(labels)
-    if broadcast_max_rows is not None:
-        labels = broadcast_if_small(labels, broadcast_max_rows)
     out = sessions.join(labels, COOKIE, "left")
     return out.withColumn("cookie_label", or_missing(F.col("cookie_label")))
 

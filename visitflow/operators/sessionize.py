@@ -1,55 +1,43 @@
 """Sessionization: cut each cookie's time-ordered logs into sessions.
 
-Plan (one shuffle of the log rows, whatever the key skew):
-
-1. ``repartitionByRange`` on the unique order key ``(cookie, time, order)``
-   and sort within partitions.  Range bounds come from a sample of the full
-   key, so a cookie that holds a third of all rows is spread over many
-   partitions ("chunks") instead of landing in one task.
-2. A vectorized per-partition scan (Arrow + numpy in ``mapInArrow``) compares
-   each row with the previous one and numbers the local *pieces*: runs of
-   rows that belong to one session within one chunk.  A chunk's first row
-   always opens a piece, since the scan cannot see the previous chunk.
-3. The same scan summarises each piece (first row, last row, first
-   pageview, counts).  Pieces never span partitions, so this needs no
-   aggregation exchange; the output is sessions-sized.
-4. Chunk edges: one row per chunk (head piece, tail piece) is stitched in
-   time order with window functions over that small table: whether the
-   head piece continues the previous chunk's tail session, and the session
-   number offset for cookies that span chunks.  The table has at most one
-   row per partition, so broadcasting it back is bounded by the partition
-   count, not by the data.
-5. Pieces that continue across edges (at most two per chunk) are merged by
-   a tiny ``groupBy``; all other pieces already are whole sessions.
+One lazy plan of joins, windows and groups; nothing runs before an action and
+nothing is cached.
+
+1. Heavy cookies are found by a count per cookie (map-side combine).  A cookie
+   with more than ``rows_per_chunk`` rows is divided into equal slices of its
+   time range, about two for each ``rows_per_chunk`` rows; every other cookie is
+   one chunk.  The table of heavy cookies is broadcast: it holds the ``n`` most
+   frequent cookies at most (``n`` = number of shuffle partitions), and a
+   cookie beyond these has less than 1/n of all rows.
+2. The logs are shuffled once, by (cookie, chunk), and cut by a window over
+   each chunk in time order.  The chunk of a row is a function of the row and
+   of exact counts and time bounds, so every evaluation of the plan agrees,
+   whatever the planner reuses, coalesces or runs again.
+3. Chunk edges: one row per chunk of a heavy cookie (first log, last log,
+   sessions) is stitched in time order, to see whether a chunk's first session
+   continues the last one of the chunk before, and what its session numbers
+   start from.
+4. Sessions are summarised where their rows lie, without another shuffle; only
+   the sessions of heavy cookies are grouped again, by session number.
 """
 
 from __future__ import annotations
 
-from types import SimpleNamespace
-
-import numpy as np
-import visitflow
-from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
 
-from visitflow.functions.columns import DROPMALFORMED, check_mode, parsed_time
+from visitflow.functions.columns import DROPMALFORMED, check_mode, log_time_ms
 from visitflow.operators.cut import CutRule, pageview_cut
 from visitflow.schema import CLICK, COOKIE, IP, LOG_TIME, LOG_TYPE, MISSING, ORDER, PAGEVIEW, URL
 
-# Ship this package's code with the scan function itself, so Python workers
-# need no installed copy (same effect as --py-files on a cluster).
-cloudpickle.register_pickle_by_value(visitflow)
-
-_IN = "_cut_"  # prefix of the rule input columns carried through the scan
-CHUNK, PIECE, RUN, RPIECE = "_chunk", "_piece", "_run", "_rpiece"
+ROWS_PER_CHUNK = 1_000_000
+CHUNK = "_chunk"  # slice of a heavy cookie, -1 for a cookie that is one chunk
+_CUR, _LOCAL = "_cur", "_local"
 SEQ = "session_seq"
 
 
 class _Fields:
-    """Attribute access on a struct Column: ``ns.ms`` → ``struct._cut_ms``."""
+    """Attribute access on a struct Column: ``ns.ms`` → ``struct.ms``."""
 
     def __init__(self, struct: Column):
         self._struct = struct
@@ -57,283 +45,85 @@ class _Fields:
     def __getattr__(self, name: str) -> Column:
         if name.startswith("__"):
             raise AttributeError(name)
-        return self._struct.getField(_IN + name)
-
-
-def _numpy(col) -> np.ndarray:
-    """Arrow column → numpy (zero-copy for fixed-width types without nulls)."""
-    return col.to_numpy(zero_copy_only=False)
-
-
-def _cut_flags(batches, names: list[str], rule: CutRule):
-    """Walk the sorted rows of one partition batch by batch (Arrow record
-    batches) and number the local pieces.  Yields (batch, start, piece, run,
-    rpiece) with numpy arrays: ``start`` marks a row that opens a piece,
-    ``run`` numbers the cookies of the partition (0 = the cookie the
-    partition starts with) and ``rpiece`` numbers the pieces within a run
-    from 1."""
-    import pyarrow.compute as pc
-
-    carry = None  # last row of the previous batch
-    for batch in batches:
-        n = batch.num_rows
-        if n == 0:
-            continue
-        cookie = batch.column(COOKIE)
-        cur = {k: _numpy(batch.column(_IN + k)) for k in names}
-        prev = {}
-        for k, arr in cur.items():
-            p = np.empty_like(arr)
-            p[1:] = arr[:-1]
-            p[0] = arr[0] if carry is None else carry["inputs"][k]
-            prev[k] = p
-        new_cookie = np.empty(n, dtype=bool)
-        new_cookie[1:] = _numpy(pc.not_equal(cookie.slice(1), cookie.slice(0, n - 1)))
-        first_cookie = cookie[0].as_py()
-        new_cookie[0] = carry is None or first_cookie != carry["cookie"]
-        cut = np.asarray(rule.starts(SimpleNamespace(**cur), SimpleNamespace(**prev)), dtype=bool)
-        start = new_cookie | cut
-        if carry is None:
-            start[0] = True  # partition head: provisional, settled at the edge stitch
-        piece = (0 if carry is None else carry["piece"] + 1) + np.cumsum(start) - 1
-        run = (0 if carry is None else carry["run"] + 1) + np.cumsum(new_cookie) - 1
-        idx = np.maximum.accumulate(np.where(new_cookie, np.arange(n), -1))
-        run_first = np.where(idx >= 0, piece[np.maximum(idx, 0)], -1 if carry is None else carry["run_first"])
-        carry = {
-            "cookie": cookie[n - 1].as_py(),
-            "inputs": {k: arr[-1] for k, arr in cur.items()},
-            "piece": int(piece[-1]),
-            "run": int(run[-1]),
-            "run_first": int(run_first[-1]),
-        }
-        yield batch, start, piece, run, piece - run_first + 1
-
-
-def _rows_fn(names: list[str], rule: CutRule):
-    """Scan emitting every row with its chunk, piece, run and rpiece (the
-    input columns pass through zero-copy)."""
-
-    def scan(batches):
-        import pyarrow as pa
-        from pyspark import TaskContext
-
-        chunk = TaskContext.get().partitionId()
-        for batch, _, piece, run, rpiece in _cut_flags(batches, names, rule):
-            out = batch
-            for name, values, typ in (
-                (CHUNK, np.full(batch.num_rows, chunk, dtype=np.int32), pa.int32()),
-                (PIECE, piece.astype(np.int64), pa.int64()),
-                (RUN, run.astype(np.int32), pa.int32()),
-                (RPIECE, rpiece.astype(np.int32), pa.int32()),
-            ):
-                out = out.append_column(pa.field(name, typ, nullable=False), pa.array(values, type=typ))
-            yield out
-
-    return scan
-
-
-def _pieces_fn(names: list[str], rule: CutRule):
-    """Scan emitting one summary row per local piece: first row, last row,
-    first pageview and the pageview / click counts.  Strings are gathered
-    with Arrow ``take``.  A piece may continue over batches; the open one is
-    held as a one-row batch and folded into the next batch's first segment."""
-    firsts = [("f_t", LOG_TIME), ("f_o", ORDER), ("f_ip", IP)] + [(f"f{_IN}{k}", _IN + k) for k in names]
-    lasts = [("l_t", LOG_TIME), ("l_o", ORDER)] + [(f"l{_IN}{k}", _IN + k) for k in names]
-    lands = [("p_t", LOG_TIME), ("p_o", ORDER), ("p_url", URL)]
-
-    def scan(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        from pyspark import TaskContext
-
-        chunk = TaskContext.get().partitionId()
-        held = None  # one-row RecordBatch: the piece open at the end of the last batch
-        for batch, start, piece, run, rpiece in _cut_flags(batches, names, rule):
-            n = batch.num_rows
-            kind = batch.column(LOG_TYPE)
-            is_pv = _numpy(pc.fill_null(pc.equal(kind, PAGEVIEW), False))
-            is_click = _numpy(pc.fill_null(pc.equal(kind, CLICK), False))
-            bounds = np.flatnonzero(start)
-            cont = held is not None and (len(bounds) == 0 or bounds[0] != 0)
-            if cont:
-                bounds = np.concatenate([[0], bounds])
-            ends = np.append(bounds[1:], n) - 1
-            pv_at = np.minimum.reduceat(np.where(is_pv, np.arange(n), n), bounds)
-            has_pv = pv_at < n
-            pv_idx = pa.array(np.where(has_pv, pv_at, 0), mask=~has_pv)
-            first_idx, last_idx = pa.array(bounds), pa.array(ends)
-            pv = np.add.reduceat(is_pv.astype(np.int64), bounds)
-            clicks = np.add.reduceat(is_click.astype(np.int64), bounds)
-            cols = {
-                CHUNK: pa.array(np.full(len(bounds), chunk, dtype=np.int32)),
-                PIECE: pa.array(piece[bounds].astype(np.int64)),
-                COOKIE: batch.column(COOKIE).take(first_idx),
-                RUN: pa.array(run[bounds].astype(np.int32)),
-                RPIECE: pa.array(rpiece[bounds].astype(np.int32)),
-                **{name: batch.column(src).take(first_idx) for name, src in firsts},
-                **{name: batch.column(src).take(last_idx) for name, src in lasts},
-                **{name: batch.column(src).take(pv_idx) for name, src in lands},
-            }
-            if cont:
-                # the first segment continues the held piece: keep its first
-                # row, its landing page if it had one, and add its counts
-                pv[0] += held.column("pv")[0].as_py()
-                clicks[0] += held.column("clicks")[0].as_py()
-                keep = [name for name, _ in firsts]
-                if held.column("p_t").null_count == 0:
-                    keep += [name for name, _ in lands]
-                for name in keep:
-                    cols[name] = pa.concat_arrays([held.column(name), cols[name].slice(1)])
-            elif held is not None:
-                yield held
-            cols["pv"], cols["clicks"] = pa.array(pv), pa.array(clicks)
-            out = pa.RecordBatch.from_pydict(cols)
-            held = out.slice(out.num_rows - 1)
-            if out.num_rows > 1:
-                yield out.slice(0, out.num_rows - 1)
-        if held is not None:
-            yield held
-
-    return scan
-
-
-def _prepare(logs: DataFrame, rule: CutRule, mode: str) -> tuple[DataFrame, list[str]]:
-    mode = check_mode(mode)
-    if rule.parses_time and mode == DROPMALFORMED:
-        logs = logs.where(parsed_time(F.col(LOG_TIME)).isNotNull())
-    inputs = rule.input_columns()
-    names = list(inputs)
-    return logs.select("*", *[v.alias(_IN + k) for k, v in inputs.items()]), names
-
+        return self._struct.getField(name)
 
-def _ranged(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int | None) -> tuple[DataFrame, list[str]]:
-    """Range-partition on the unique order key and sort each partition."""
-    prepared, names = _prepare(logs, rule, mode)
-    keys = [COOKIE, LOG_TIME, ORDER]
-    if not num_partitions:
-        # No more chunks than input splits (a small input does not fan out
-        # into mostly empty chunks) and no more than the session's shuffle
-        # partitions (the user's sizing of large shuffles).
-        shuffle_parts = int(logs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        num_partitions = max(1, min(prepared.rdd.getNumPartitions(), shuffle_parts))
-    ranged = prepared.repartitionByRange(num_partitions, *keys).sortWithinPartitions(*keys)
-    return ranged, names
 
+def _checked(logs: DataFrame, rule: CutRule, mode: str) -> DataFrame:
+    """Drop (``DROPMALFORMED``) or refuse rows without cookie or time, or whose time the rule cannot read."""
+    ok = F.col(COOKIE).isNotNull() & F.col(LOG_TIME).isNotNull()
+    if rule.parses_time:
+        ok = ok & log_time_ms(F.col(LOG_TIME), strict=False).isNotNull()
+    if check_mode(mode) != DROPMALFORMED:
+        said = F.concat_ws("|", F.lit("log without cookie or readable time:"), COOKIE, LOG_TIME)
+        ok = F.when(ok, F.lit(True)).otherwise(F.raise_error(said))
+    return logs.where(ok)
 
-_POSITION = [
-    T.StructField(CHUNK, T.IntegerType(), False),
-    T.StructField(PIECE, T.LongType(), False),
-    T.StructField(RUN, T.IntegerType(), False),
-    T.StructField(RPIECE, T.IntegerType(), False),
-]
 
+def _heavy(logs: DataFrame, rows_per_chunk: int, most: int) -> DataFrame:
+    """``cookie, lo, hi, slices`` of the cookies to divide; at most ``most`` rows.
 
-def _scan(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int | None) -> tuple[DataFrame, list[str]]:
-    """Every log row plus its chunk / piece / run / rpiece."""
-    ranged, names = _ranged(logs, rule, mode, num_partitions)
-    return _scan_rows(ranged, names, rule), names
-
-
-def _scan_rows(ranged: DataFrame, names: list[str], rule: CutRule) -> DataFrame:
-    out_schema = T.StructType(ranged.schema.fields + _POSITION)
-    return ranged.mapInArrow(_rows_fn(names, rule), out_schema)
-
-
-def _scan_pieces(logs: DataFrame, rule: CutRule, mode: str, num_partitions: int | None) -> DataFrame:
-    """Piece summaries straight from the scan: pieces never span partitions,
-    so no aggregation exchange is needed."""
-    ranged, names = _ranged(logs, rule, mode, num_partitions)
-    return _summarise_pieces(ranged, names, rule)
-
-
-def _named(fields: list[tuple[str, str]]) -> str:
-    """SQL ``named_struct`` of (field name, column name) pairs."""
-    return "named_struct(" + ", ".join(f"'{name}', `{col}`" for name, col in fields) + ")"
-
-
-def _summarise_pieces(ranged: DataFrame, names: list[str], rule: CutRule) -> DataFrame:
-    types = {f.name: f.dataType for f in ranged.schema.fields}
-    fields = [
-        T.StructField(CHUNK, T.IntegerType(), False),
-        T.StructField(PIECE, T.LongType(), False),
-        T.StructField(COOKIE, types[COOKIE]),
-        T.StructField(RUN, T.IntegerType(), False),
-        T.StructField(RPIECE, T.IntegerType(), False),
-        T.StructField("f_t", types[LOG_TIME]),
-        T.StructField("f_o", types[ORDER]),
-        T.StructField("f_ip", types[IP]),
-        *[T.StructField(f"f{_IN}{k}", types[_IN + k]) for k in names],
-        T.StructField("l_t", types[LOG_TIME]),
-        T.StructField("l_o", types[ORDER]),
-        *[T.StructField(f"l{_IN}{k}", types[_IN + k]) for k in names],
-        T.StructField("p_t", types[LOG_TIME]),
-        T.StructField("p_o", types[ORDER]),
-        T.StructField("p_url", types[URL]),
-        T.StructField("pv", T.LongType(), False),
-        T.StructField("clicks", T.LongType(), False),
-    ]
-    raw = ranged.mapInArrow(_pieces_fn(names, rule), T.StructType(fields))
-    ins = [_IN + k for k in names]
-    first = _named([(LOG_TIME, "f_t"), (ORDER, "f_o"), (IP, "f_ip")] + [(c, f"f{c}") for c in ins])
-    last = _named([(LOG_TIME, "l_t"), (ORDER, "l_o")] + [(c, f"l{c}") for c in ins])
-    land = _named([(LOG_TIME, "p_t"), (ORDER, "p_o"), (URL, "p_url")])
-    return raw.selectExpr(
-        CHUNK, PIECE, COOKIE, RUN, RPIECE,
-        f"{first} AS first",
-        f"{last} AS last",
-        f"CASE WHEN p_t IS NOT NULL THEN {land} END AS land",
-        "pv", "clicks",
-    )
-
-
-def _chunk_info(pieces: DataFrame, rule: CutRule) -> DataFrame:
-    """One row per non-empty chunk: how its head piece joins the previous chunk
-    and the session-number offset of its first cookie."""
-    stats = pieces.groupBy(CHUNK).agg(
-        F.expr(f"min_by(named_struct('{COOKIE}', {COOKIE}, 'first', first), {PIECE}) AS head"),
-        F.expr(f"max_by(named_struct('{COOKIE}', {COOKIE}, 'last', last, '{RPIECE}', {RPIECE}), {PIECE}) AS tail"),
-        F.expr(f"count_if({RUN} = 0) AS head_pieces"),
-        F.expr(f"max({RUN}) AS max_run"),
-        F.expr(f"max({PIECE}) AS max_piece"),
-    )
-    # At most one row per partition of the range exchange: a bounded table,
-    # ordered by chunk in one task.
-    order = f"OVER (ORDER BY {CHUNK})"
-    running = f"OVER (ORDER BY {CHUNK} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    s = stats.selectExpr("*", f"lag(tail) {order} AS prev_tail")
-    # the cut rule decides whether the head piece opens a session after the
-    # previous chunk's last log
-    cut = rule.starts(_Fields(F.col("head.first")), _Fields(F.col("prev_tail.last")))
-    cont = f"coalesce(prev_tail.{COOKIE} = head.{COOKIE}, false)"
-    s = s.select("*", cut.alias("cut")).selectExpr("*", f"{cont} AS cont", f"{cont} AND NOT coalesce(cut, true) AS merge")
-    # Session numbers of a cookie that spans chunks.  last_seq(c) is the number
-    # of the session open at the end of chunk c; a chunk holding one cookie
-    # that continues from c-1 adds its pieces (minus one if its head piece
-    # merges); any other chunk restarts the count.  "blk" groups each such
-    # chain, and base(c) is the offset of chunk c's first-cookie pieces.
-    s = s.selectExpr(
-        "*",
-        f"""CASE WHEN max_run = 0 AND cont THEN head_pieces - CAST(merge AS BIGINT)
-                 WHEN max_run = 0 THEN head_pieces
-                 ELSE CAST(tail.{RPIECE} AS BIGINT) END AS contrib""",
-        f"sum(CASE WHEN max_run = 0 AND cont THEN 0 ELSE 1 END) {running} AS blk",
+    A cookie with an unreadable time is left whole, since time slices would
+    not follow its order.
+    """
+    ms = log_time_ms(F.col(LOG_TIME), strict=False)
+    per = logs.groupBy(COOKIE).agg(
+        F.count("*").alias("n"), F.count(ms).alias("timed"), F.min(ms).alias("lo"), F.max(ms).alias("hi")
     )
-    s = s.selectExpr(
-        "*", f"sum(contrib) OVER (PARTITION BY blk ORDER BY {CHUNK} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_seq"
+    heavy = per.where((F.col("n") > rows_per_chunk) & (F.col("timed") == F.col("n")))
+    heavy = heavy.orderBy(F.desc("n"), COOKIE).limit(most)
+    return heavy.select(F.col(COOKIE).alias("h_cookie"), "lo", "hi", (F.ceil(F.col("n") / rows_per_chunk) * 2).alias("slices"))
+
+
+def _chunked(logs: DataFrame, rule: CutRule, mode: str, rows_per_chunk: int, num_partitions: int | None) -> DataFrame:
+    """Logs with their chunk and, as one struct, the columns that the rule reads."""
+    # the count drops what the rows themselves refuse, so that an error has one place to come from
+    readable = _checked(logs, rule, DROPMALFORMED)
+    logs = _checked(logs, rule, mode)
+    most = num_partitions or int(logs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = F.broadcast(_heavy(readable, rows_per_chunk, most))  # at most `most` rows
+    share = (log_time_ms(F.col(LOG_TIME), strict=False) - F.col("lo")) / (F.col("hi") - F.col("lo") + 1)
+    chunk = F.when(F.col("h_cookie").isNull(), -1).otherwise(F.floor(share * F.col("slices"))).cast("int")
+    inputs = [c.alias(name) for name, c in rule.input_columns().items()] or [F.lit(0).alias("none")]
+    rows = logs.join(heavy, F.col(COOKIE) == F.col("h_cookie"), "left")
+    rows = rows.select(*logs.columns, F.struct(*inputs).alias(_CUR), chunk.alias(CHUNK))
+    return rows.repartition(num_partitions, COOKIE, CHUNK) if num_partitions else rows
+
+
+def _cut(rows: DataFrame, rule: CutRule) -> DataFrame:
+    """Adds the session number within the chunk; a chunk's first log always opens one."""
+    in_time = Window.partitionBy(COOKIE, CHUNK).orderBy(LOG_TIME, ORDER)
+    starts = F.coalesce(rule.starts(_Fields(F.col(_CUR)), _Fields(F.col("_prev"))), F.lit(False))
+    marked = rows.select("*", F.lag(_CUR).over(in_time).alias("_prev"), F.row_number().over(in_time).alias("_row"))
+    opens = F.when((F.col("_row") == 1) | starts, 1).otherwise(0)
+    marked = marked.withColumn("_opens", opens)
+    local = F.sum("_opens").over(in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return marked.withColumn(_LOCAL, local).drop("_prev", "_row", "_opens")
+
+
+def _edges(cut_rows: DataFrame, rule: CutRule) -> DataFrame:
+    """``e_cookie, e_chunk, base``: what to add to the session numbers of a heavy cookie's chunk."""
+    order = F.struct(LOG_TIME, ORDER)
+    ends = cut_rows.where(F.col(CHUNK) >= 0).groupBy(COOKIE, CHUNK).agg(
+        F.min_by(_CUR, order).alias("head"), F.max_by(_CUR, order).alias("tail"), F.max(_LOCAL).alias("n")
     )
-    return s.selectExpr(
-        CHUNK,
-        f"CASE WHEN cont THEN lag(last_seq) {order} - CAST(merge AS BIGINT) ELSE 0 END AS base",
-        "merge",
-        f"coalesce(lead(merge) {order}, false) AS next_merge",
-        "max_piece",
+    by_time = Window.partitionBy(COOKIE).orderBy(CHUNK)
+    before = F.lag("tail").over(by_time)
+    ends = ends.select("*", before.alias("before"), F.row_number().over(by_time).alias("place"))
+    opens = F.coalesce(rule.starts(_Fields(F.col("head")), _Fields(F.col("before"))), F.lit(False))
+    ends = ends.withColumn("joins", F.when((F.col("place") == 1) | opens, 0).otherwise(1))
+    so_far = F.sum(F.col("n") - F.col("joins")).over(by_time.rowsBetween(Window.unboundedPreceding, -1))
+    return ends.select(
+        F.col(COOKIE).alias("e_cookie"),
+        F.col(CHUNK).alias("e_chunk"),
+        (F.coalesce(so_far, F.lit(0)) - F.col("joins")).alias("base"),
     )
 
 
-def _with_seq(df: DataFrame, info: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(info), CHUNK).selectExpr(
-        "*", f"CAST(CASE WHEN {RUN} = 0 THEN base + {RPIECE} ELSE {RPIECE} END AS INT) AS {SEQ}"
-    )
+def _numbered(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """Adds ``session_seq``.  The rows stay where they are: both sides are dealt by (cookie, chunk)."""
+    same = (F.col(COOKIE) == F.col("e_cookie")) & (F.col(CHUNK) == F.col("e_chunk"))
+    joined = rows.join(edges, same, "left")
+    return joined.withColumn(SEQ, (F.col(_LOCAL) + F.coalesce("base", F.lit(0))).cast("int")).drop("e_cookie", "e_chunk", "base")
 
 
 def assign_sessions(
@@ -342,20 +132,23 @@ def assign_sessions(
     *,
     mode: str = "FAILFAST",
     num_partitions: int | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Input logs plus ``session_seq``: 1-based session number within the cookie.
 
     ``logs`` needs columns cookie, log_server_time, log_type and ``log_order``
-    (a unique tiebreak for equal times).
+    (a unique tiebreak for equal times, of any type that sorts).  Rows without
+    cookie or time raise, or are dropped under ``DROPMALFORMED``.
     """
-    cut = cut or pageview_cut()
-    ranged, names = _ranged(logs, cut, mode, num_partitions)
-    # Two scans over one range exchange (the planner reuses the shuffle): the
-    # piece scan feeds the small chunk table, the row scan gives the output.
-    # Nothing rows-sized is cached.
-    info = _chunk_info(_summarise_pieces(ranged, names, cut), cut)
-    out = _with_seq(_scan_rows(ranged, names, cut), info)
-    return out.select(*logs.columns, SEQ)
+    rule = cut or pageview_cut()
+    rows = _cut(_chunked(logs, rule, mode, rows_per_chunk, num_partitions), rule)
+    return _numbered(rows, _edges(rows, rule)).select(*logs.columns, SEQ)
+
+
+def _summary(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(
+        F.min("first").alias("first"), F.min("land").alias("land"), F.sum("pv").alias("pv"), F.sum("clicks").alias("clicks")
+    )
 
 
 def build_sessions(
@@ -364,41 +157,47 @@ def build_sessions(
     *,
     mode: str = "FAILFAST",
     num_partitions: int | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
     session_ids: str = "hash",
 ) -> DataFrame:
     """One row per session: id, start, cookie, ip, landing url, counts, seq.
 
     ``session_ids="hash"`` (default) gives ``md5(cookie|start|seq)``, equal on
-    every run and retry; ``"uuid"`` gives a random UUID per session (persist
-    the result before using it in more than one action).
+    every run and retry; ``"uuid"`` gives a random UUID per session (write the
+    result before using it in more than one action).
     """
     if session_ids not in ("hash", "uuid"):
         raise ValueError(f"session_ids must be 'hash' or 'uuid', got {session_ids!r}")
-    cut = cut or pageview_cut()
-    pieces = _scan_pieces(logs, cut, mode, num_partitions).persist(StorageLevel.MEMORY_AND_DISK)
-    # Both branches below read the edge table; cache it (one row per chunk)
-    # so it is computed once.
-    info = _chunk_info(pieces, cut).persist(StorageLevel.MEMORY_AND_DISK)
-    p = _with_seq(pieces, info)
-    edge = f"({PIECE} = 0 AND merge) OR ({PIECE} = max_piece AND next_merge)"
-    cols = [COOKIE, SEQ, "first", "land", "pv", "clicks"]
-    whole = p.where(f"NOT ({edge})").select(*cols)
-    stitched = (
-        p.where(edge)
-        .groupBy(COOKIE, SEQ)
-        .agg(F.expr("min(first) AS first"), F.expr("min(land) AS land"), F.expr("sum(pv) AS pv"), F.expr("sum(clicks) AS clicks"))
-        .select(*cols)
-    )
-    session_id = (
-        f"md5(concat_ws('|', {COOKIE}, first.{LOG_TIME}, CAST({SEQ} AS STRING)))" if session_ids == "hash" else "uuid()"
+    rule = cut or pageview_cut()
+    rows = _cut(_chunked(logs, rule, mode, rows_per_chunk, num_partitions), rule)
+    is_pageview = F.col(LOG_TYPE) == PAGEVIEW
+    pieces = _summary(
+        rows.select(
+            COOKIE,
+            CHUNK,
+            _LOCAL,
+            F.struct(LOG_TIME, ORDER, IP).alias("first"),
+            F.when(is_pageview, F.struct(LOG_TIME, ORDER, URL)).alias("land"),
+            F.when(is_pageview, 1).otherwise(0).alias("pv"),
+            F.when(F.col(LOG_TYPE) == CLICK, 1).otherwise(0).alias("clicks"),
+        ),
+        COOKIE,
+        CHUNK,
+        _LOCAL,
     )
-    return whole.unionByName(stitched).selectExpr(
-        f"{session_id} AS session_id",
-        f"first.{LOG_TIME} AS session_server_time",
+    numbered = _numbered(pieces, _edges(rows, rule))
+    columns = [COOKIE, SEQ, "first", "land", "pv", "clicks"]
+    whole = numbered.where(F.col(CHUNK) < 0).select(*columns)
+    joined = _summary(numbered.where(F.col(CHUNK) >= 0), COOKIE, SEQ).select(*columns)
+    start = F.col("first").getField(LOG_TIME)
+    session_id = F.md5(F.concat_ws("|", COOKIE, start, F.col(SEQ).cast("string"))) if session_ids == "hash" else F.uuid()
+    return whole.unionByName(joined).select(
+        session_id.alias("session_id"),
+        start.alias("session_server_time"),
         COOKIE,
-        f"first.{IP} AS {IP}",
-        f"coalesce(land.{URL}, '{MISSING}') AS landing_url",
-        "CAST(pv AS INT) AS pageview_count",
-        "CAST(clicks AS INT) AS click_count",
+        F.col("first").getField(IP).alias(IP),
+        F.coalesce(F.col("land").getField(URL), F.lit(MISSING)).alias("landing_url"),
+        F.col("pv").cast("int").alias("pageview_count"),
+        F.col("clicks").cast("int").alias("click_count"),
         SEQ,
     )

@@ -10,16 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from visitflow.operators.clean import clean_log_types
 from visitflow.operators.cut import CutRule, day_change_cut, pageview_cut, time_gap_cut
 from visitflow.operators.enrich import label_cookies, label_domains
 from visitflow.operators.sessionize import assign_sessions, build_sessions
-from visitflow.plans.etl import session_etl
-from visitflow.schema import LOG_COLUMNS, ORDER
-from visitflow.sources.sinks import LOG_DIR, SESSION_DIR, read_dataset, write_outputs
+from visitflow.plans.etl import run_session_etl, session_etl
+from visitflow.schema import COOKIE, LOG_COLUMNS, LOG_TIME, ORDER
+from visitflow.sources.sinks import LOG_DIR, SESSION_DIR, read_dataset, write_dataset, write_outputs
 from visitflow.sources.tables import (
     SQL_COOKIE_LABELS,
     SQL_DOMAIN_LABELS,
@@ -31,7 +31,6 @@ from visitflow.sources.tables import (
     track_log_lines_from_events,
 )
 from visitflow.sources.text import (
-    default_domain_labels,
     parse_cookie_labels,
     parse_track_log,
     read_cookie_labels,
@@ -43,6 +42,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ---------------------------------------------------------------- Spark side
 
+HOT_CHUNK = 100  # rows
+
 CUTS: dict[str, Callable[[], CutRule]] = {
     "pageview": pageview_cut,
     "time_gap_30m": lambda: time_gap_cut("30 minutes"),
@@ -79,17 +80,56 @@ def _sink_roundtrip(fmt: str, kind: str) -> Query:
     return run
 
 
+def _text_inputs(spark: SparkSession, d: str) -> tuple[str, str]:
+    """The two text inputs of the job, written in the shared folder; the log in the order of ``log_order``."""
+    logs, labels = shared_dir(spark, "text-log"), shared_dir(spark, "text-label")
+    lines = track_log_lines_from_events(spark, d).repartitionByRange(ORDER).sortWithinPartitions(ORDER)
+    lines.select("value").write.mode("overwrite").text(logs)
+    cookie_label_lines_from_customers(spark, d).write.mode("overwrite").text(labels)
+    return logs, labels
+
+
+def _job(fmt: str) -> Query:
+    """The whole job from text files to its two datasets; the sessions, read back."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        logs, labels = _text_inputs(spark, d)
+        base = shared_dir(spark, f"job-{fmt}")
+        run_session_etl(spark, logs, labels, base, fmt)
+        return read_dataset(spark, f"{base}/{SESSION_DIR}", "session", fmt)
+
+    return run
+
+
+def _overwritten(spark: SparkSession, d: str) -> DataFrame:
+    """The logs dataset written twice, first with all types, then cleaned; the second, read back."""
+    path = shared_dir(spark, "overwrite")
+    write_dataset(track_log_from_events(spark, d), path, LOG_COLUMNS, "parquet")
+    write_dataset(_kept(spark, d), path, LOG_COLUMNS, "parquet")
+    return read_dataset(spark, path, "log", "parquet")
+
+
+def _daily(spark: SparkSession, d: str) -> DataFrame:
+    """The kept logs with times cut to the day: nearly all rows of a cookie and day are ties."""
+    return _kept(spark, d).withColumn(LOG_TIME, F.concat(F.substring(LOG_TIME, 1, 10), F.lit(" 00:00:00")))
+
+
+def _hot(spark: SparkSession, d: str) -> DataFrame:
+    """The kept logs with a third of the users behind one cookie."""
+    number = F.regexp_extract(COOKIE, "([0-9]+)$", 1).cast("long")
+    return _kept(spark, d).withColumn(COOKIE, F.when(number % 3 == 0, F.lit("cookieHOT")).otherwise(F.col(COOKIE)))
+
+
 def _text_file_roundtrip(kind: str) -> Query:
     """Write the generated lines as text files, then read them with the text
     sources (``spark.read.text`` + parse), as the job does with its inputs."""
 
     def run(spark: SparkSession, d: str) -> DataFrame:
-        path = shared_dir(spark, f"text-{kind}")
-        if kind == "log":
-            track_log_lines_from_events(spark, d).select("value").write.mode("overwrite").text(path)
-            return read_track_log(spark, path).select(*LOG_COLUMNS)
-        cookie_label_lines_from_customers(spark, d).write.mode("overwrite").text(path)
-        return read_cookie_labels(spark, path)
+        logs, labels = _text_inputs(spark, d)
+        if kind == "label":
+            return read_cookie_labels(spark, labels)
+        place = F.row_number().over(Window.partitionBy(COOKIE).orderBy(ORDER))
+        return read_track_log(spark, logs).select(*LOG_COLUMNS, place.alias("place"))
 
     return run
 
@@ -107,7 +147,7 @@ def queries() -> dict[str, Query]:
     for name in ("pageview", "time_gap_30m"):
         q[f"build_sessions_{name}"] = lambda s, d, name=name: _sessions(s, d, name)
     q["label_domains"] = lambda s, d: label_domains(_sessions(s, d), domain_labels_from_pages(s, d))
-    q["label_domains_default"] = lambda s, d: label_domains(_sessions(s, d), default_domain_labels(s), known_small=True)
+    q["label_domains_default"] = lambda s, d: label_domains(_sessions(s, d))
     q["label_cookies"] = lambda s, d: label_cookies(_sessions(s, d), cookie_labels_from_customers(s, d))
     q["session_etl"] = lambda s, d: _etl(s, d)
     q["session_etl_from_text"] = lambda s, d: session_etl(
@@ -120,6 +160,16 @@ def queries() -> dict[str, Query]:
     q["sink_text_sessions"] = _sink_roundtrip("text", "session")
     q["sink_parquet_sessions"] = _sink_roundtrip("parquet", "session")
     q["sink_text_logs"] = _sink_roundtrip("text", "log")
+    q["sink_parquet_logs"] = _sink_roundtrip("parquet", "log")
+    q["sink_overwrite"] = _overwritten
+    q["etl_job_text"] = _job("text")
+    q["etl_job_parquet"] = _job("parquet")
+    q["assign_sessions_ties"] = lambda s, d: assign_sessions(_daily(s, d))
+    # chunks this small divide the hot cookie (and others) at every size of the tables
+    q["build_sessions_hot_cookie"] = lambda s, d: build_sessions(_hot(s, d), rows_per_chunk=HOT_CHUNK)
+    q["assign_sessions_hot_cookie"] = lambda s, d: assign_sessions(
+        _hot(s, d), time_gap_cut("6 hours"), rows_per_chunk=HOT_CHUNK
+    )
     return q
 
 
@@ -137,14 +187,18 @@ _STARTS = {
     "day_change": "substr(log_server_time, 1, 10) <> lag(substr(log_server_time, 1, 10)) OVER w",
 }
 
+_DAILY = """daily AS (SELECT * REPLACE (substr(log_server_time, 1, 10) || ' 00:00:00' AS log_server_time) FROM kept)"""
+_HOT = """hot AS (SELECT * REPLACE (CASE WHEN CAST(regexp_extract(cookie, '[0-9]+$') AS BIGINT) % 3 = 0
+                                  THEN 'cookieHOT' ELSE cookie END AS cookie) FROM kept)"""
+
 _HOST = r"regexp_extract(landing_url, '^(?i:https?|ftp)://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^:/?#]*)', 1)"
 
 
-def _assigned_cte(cut: str) -> str:
-    return f"""{_LOGS}, {_KEPT},
+def _assigned_cte(cut: str, table: str = "kept") -> str:
+    return f"""{_LOGS}, {_KEPT}, {_DAILY}, {_HOT},
 flagged AS (
   SELECT *, CASE WHEN lag(cookie) OVER w IS NULL OR ({_STARTS[cut]}) THEN 1 ELSE 0 END AS is_start
-  FROM (SELECT *, epoch_ms(strptime(log_server_time, '%Y-%m-%d %H:%M:%S')) AS ms FROM kept)
+  FROM (SELECT *, epoch_ms(strptime(log_server_time, '%Y-%m-%d %H:%M:%S')) AS ms FROM {table})
   WINDOW w AS (PARTITION BY cookie ORDER BY log_server_time, log_order)),
 assigned AS (
   SELECT *, CAST(sum(is_start) OVER (PARTITION BY cookie ORDER BY log_server_time, log_order
@@ -152,8 +206,8 @@ assigned AS (
   FROM flagged)"""
 
 
-def _sessions_cte(cut: str) -> str:
-    return f"""{_assigned_cte(cut)},
+def _sessions_cte(cut: str, table: str = "kept") -> str:
+    return f"""{_assigned_cte(cut, table)},
 sessions AS (
   SELECT md5(concat_ws('|', cookie, min(log_server_time), CAST(session_seq AS VARCHAR))) AS session_id,
          min(log_server_time) AS session_server_time,
@@ -172,13 +226,13 @@ with_domain AS (
   SELECT *, CASE WHEN landing_url = '-' THEN '-' ELSE {_HOST} END AS domain FROM sessions)"""
 
 
-def _etl_sql(cut: str) -> str:
+def _etl_sql(cut: str, domains: str = "domains") -> str:
     return f"""WITH {_sessions_cte(cut)}
 SELECT s.session_id, s.session_server_time, s.cookie, coalesce(l.cookie_label, '-') AS cookie_label,
        s.ip, s.landing_url, s.pageview_count, s.click_count, s.domain,
        coalesce(d.domain_label, '-') AS domain_label
 FROM with_domain s
-LEFT JOIN (SELECT domain, max(domain_label) AS domain_label FROM domains GROUP BY domain) d ON d.domain = s.domain
+LEFT JOIN (SELECT domain, max(domain_label) AS domain_label FROM {domains} GROUP BY domain) d ON d.domain = s.domain
 LEFT JOIN labels l ON l.cookie = s.cookie"""
 
 
@@ -196,7 +250,8 @@ FROM lines WHERE NOT starts_with(value, '#')""",
         "parse_cookie_labels": f"""WITH lines AS (SELECT concat_ws('|', cookie, cookie_label) AS value FROM ({SQL_COOKIE_LABELS}))
 SELECT split_part(value, '|', 1) AS cookie, split_part(value, '|', 2) AS cookie_label FROM lines""",
         "clean_log_types": f"WITH {_LOGS}, {_KEPT} SELECT * FROM kept",
-        "read_track_log_text": f"WITH {_LOGS} SELECT {cols} FROM logs",
+        "read_track_log_text": f"""WITH {_LOGS}
+SELECT {cols}, row_number() OVER (PARTITION BY cookie ORDER BY {ORDER}) AS place FROM logs""",
         "read_cookie_labels_text": SQL_COOKIE_LABELS,
     }
     for cut in _STARTS:
@@ -217,5 +272,14 @@ SELECT s.*, coalesce(l.cookie_label, '-') AS cookie_label FROM sessions s LEFT J
     o["session_total"] = f"SELECT count(*) AS session_total FROM ({_etl_sql('pageview')})"
     o["sink_text_sessions"] = _etl_sql("pageview")
     o["sink_parquet_sessions"] = _etl_sql("pageview")
-    o["sink_text_logs"] = f"WITH {_LOGS} SELECT {cols} FROM logs"
+    o["sink_text_logs"] = o["sink_parquet_logs"] = f"WITH {_LOGS} SELECT {cols} FROM logs"
+    o["sink_overwrite"] = f"WITH {_LOGS}, {_KEPT} SELECT {cols} FROM kept"
+    o["etl_job_text"] = o["etl_job_parquet"] = _etl_sql("pageview", "default_domains")
+    o["assign_sessions_ties"] = (
+        f"WITH {_assigned_cte('pageview', 'daily')} SELECT {cols}, {ORDER}, session_seq FROM assigned"
+    )
+    o["build_sessions_hot_cookie"] = f"WITH {_sessions_cte('pageview', 'hot')} SELECT * FROM sessions"
+    o["assign_sessions_hot_cookie"] = (
+        f"WITH {_assigned_cte('time_gap_6h', 'hot')} SELECT {cols}, {ORDER}, session_seq FROM assigned"
+    )
     return o

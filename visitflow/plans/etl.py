@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import sys
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from visitflow.operators.enrich import label_cookies, label_domains, session_rec
 from visitflow.operators.sessionize import build_sessions
 from visitflow.schema import LOG_TYPES
 from visitflow.sources.sinks import check_format, write_outputs
-from visitflow.sources.text import default_domain_labels, read_cookie_labels, read_track_log
+from visitflow.sources.text import read_cookie_labels, read_track_log
 
 # The job's configuration keys and their defaults, kept equal
 # to the existing job's so the same spark-submit --conf settings work.
@@ -42,13 +43,10 @@ def session_etl(
     unique_labels: bool = False,
 ) -> DataFrame:
     """Labelled sessions (ten columns) from parsed logs, as one lazy plan."""
-    known_small = domains is None
-    if domains is None:
-        domains = default_domain_labels(logs.sparkSession)
     sessions = build_sessions(
         clean_log_types(logs, types), cut or pageview_cut(), mode=mode, num_partitions=num_partitions, session_ids=session_ids
     )
-    sessions = label_domains(sessions, domains, mode=mode, known_small=known_small)
+    sessions = label_domains(sessions, domains, mode=mode)
     return session_record(label_cookies(sessions, labels, unique_labels=unique_labels))
 
 
@@ -59,9 +57,14 @@ class EtlResult:
     fmt: str
 
 
-def _under(child: str, parent: str) -> bool:
-    c, p = child.rstrip("/") + "/", parent.rstrip("/") + "/"
-    return c.startswith(p)
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system and without ``.``, as Hadoop writes it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString().rstrip("/") + "/"
+
+
+def _under(spark: SparkSession, child: str, parent: str) -> bool:
+    return _qualified(spark, child).startswith(_qualified(spark, parent))
 
 
 def run_session_etl(
@@ -86,7 +89,7 @@ def run_session_etl(
     output_path = output_path or conf.get(CONF_OUTPUT, DEFAULT_PATHS[CONF_OUTPUT])
     check_format(fmt)
     for p in (visit_log_path, cookie_label_path):
-        if _under(p, output_path):
+        if _under(spark, p, output_path):
             raise ValueError(f"input {p} lies under the output path {output_path}")
 
     # The text is read twice (log dataset and sessions) instead of cached:
@@ -101,3 +104,14 @@ def run_session_etl(
     total = write_outputs(parsed, sessions, output_path, fmt)
     log.info("sessions written: %d (%s, %s)", total, output_path, fmt)
     return EtlResult(session_total=total, output_path=output_path, fmt=fmt)
+
+
+def main(args: list[str] | None = None) -> EtlResult:
+    """``spark-submit run_etl.py [text|parquet]``; paths come from the conf keys."""
+    args = sys.argv[1:] if args is None else args
+    if len(args) > 1:
+        raise SystemExit("usage: run_etl.py [text|parquet]")
+    spark = SparkSession.builder.appName("visitflow-etl").getOrCreate()
+    result = run_session_etl(spark, fmt=check_format(args[0] if args else "text"))
+    print(f"{result.session_total} sessions written to {result.output_path} as {result.fmt}")
+    return result

@@ -9,6 +9,7 @@ from visitflow.functions.columns import json_line
 from visitflow.schema import LOG_COLUMNS, SESSION_COLUMNS, TRACKER_LOG, TRACKER_SESSION
 
 FORMATS = ("text", "parquet")
+# The dataset folders.
 LOG_DIR = "trackerlog"
 SESSION_DIR = "trackerSession"
 

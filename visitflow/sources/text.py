@@ -10,9 +10,14 @@ from visitflow.schema import COOKIE, DEFAULT_DOMAIN_LABELS, LOG_COLUMNS, ORDER
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines (``value``) plus ``log_order``: a unique, deterministic row
-    number (file split, position) that breaks ties between equal times."""
-    return spark.read.text(path).select("value", F.monotonically_increasing_id().alias(ORDER))
+    """Text lines (``value``) plus ``log_order``: file, split and place in the
+    split, which is the input's own order however Spark packs the files."""
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    return spark.read.text(path).select("value", place.alias(ORDER))
 
 
 def _require(ok, mode: str, what: str):
@@ -26,7 +31,9 @@ def parse_track_log(lines: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     fields 0-4 are log_type, log_server_time, cookie, ip, url (extra fields
     ignored); fewer than five fields is malformed (error or dropped)."""
     fields = split_fields(F.col("value"))
-    data = lines.where(~F.col("value").startswith("#")).where(_require(F.size(fields) >= 5, mode, "visit log"))
+    # one condition, so that a comment never reaches the check that raises
+    is_data = F.when(F.col("value").startswith("#"), F.lit(False)).otherwise(_require(F.size(fields) >= 5, mode, "visit log"))
+    data = lines.where(is_data)
     order = [F.col(ORDER)] if ORDER in lines.columns else [F.monotonically_increasing_id().alias(ORDER)]
     return data.select(*[field(fields, i).alias(name) for i, name in enumerate(LOG_COLUMNS)], *order)
 

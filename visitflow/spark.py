@@ -7,28 +7,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings the job relies on: AQE for runtime re-planning (partition
-# coalescing, skew-join splitting, broadcast of small join sides measured at
-# run time) and a pinned UTC session zone so gaps never move with DST.
-JOB_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
-}
-
-
-def apply_job_conf(spark: SparkSession) -> None:
-    """Set the runtime (SQL) settings of JOB_CONF on an existing session."""
-    for k, v in JOB_CONF.items():
-        spark.conf.set(k, v)
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "visitflow") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for k, v in JOB_CONF.items():
-        builder = builder.config(k, v)
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
@@ -42,14 +22,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a private temp folder only when
-    the session names none (local runs and tests)."""
+    """The cluster's shared checkpoint folder; a private temp folder only in
+    local mode, where the driver and the executors are one process."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="visitflow-ckpt-"))
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="visitflow-ckpt-")
+    sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
 
