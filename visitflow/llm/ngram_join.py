@@ -479,11 +479,12 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
     least = written(named.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "shingle-equal")
     placed = sets.join(least, ["f1", "f2"], "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     # rows that repeat an id with other texts belong together
-    several = placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"), F.collect_set("rep").alias("b"))
+    several = placed.where("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"), F.collect_set("rep").alias("b"))
     several = several.where("a <> z").select("a", F.explode("b").alias("b")).where("a <> b")
     labels = written(components(links.union(several)), "shingle-labels")
     rows = placed.join(labels, F.col("rep") == F.col("node"), "left")
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "rep").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "rep"))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def deduplicated(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
