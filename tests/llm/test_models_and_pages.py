@@ -1,0 +1,295 @@
+"""Toxicity, LM scoring, URL filter, HTML text and the pipeline."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from visitflow.llm import html_text, lm_score, toxicity, urls
+
+SMALL = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string"
+
+
+# ---------------------------------------------------------------- toxicity
+
+
+def _prose(rnd, n):
+    return [rnd.choice(["the", "of", "and", "in"]) + rnd.choice(["er", "ing", "on", "ly", ""]) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def labelled():
+    rnd = random.Random(4)
+    docs, labels = [], []
+    for i in range(900):
+        words = _prose(rnd, rnd.randrange(30, 200))
+        toxic = i % 4 == 0
+        if toxic:
+            for _ in range(max(2, len(words) // 30)):
+                words.insert(rnd.randrange(len(words)), "scumbag" + rnd.choice(["", "s", "ly", "ish"]))
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs += [(2000, None), (2001, ""), (2002, " \n"), (None, "the of and"), docs[0], (2003, " ".join(_prose(rnd, 30_000)))]
+    return docs, labels + [(None, 1), (5, None), (9999, 1)]
+
+
+def test_toxicity_on_held_out_rows(spark, labelled):
+    docs, labels = labelled
+    df = spark.createDataFrame(docs, DOCS).withColumns({"score": F.lit(1), "toxic": F.lit(1), "fold": F.lit(0)})
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = toxicity.toxicity(df, lab).collect()
+    assert len(got) == len(docs)
+    truth = dict(labels)
+    held = [r for r in got if r.held_out and r.doc_id in truth]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got if r.doc_id is not None)
+    assert sum(r.predicted == truth[r.doc_id] for r in held) >= 0.97 * len(held)
+    by_id = {r.doc_id: r for r in got}
+    for i in (2000, 2001, 2002, 2003, None):
+        assert 0 <= by_id[i].score <= 1 and by_id[i].predicted == 0
+    # scores depend on the text alone
+    moved = toxicity.toxicity(df.where("doc_id <> 7").unionByName(df.where("doc_id = 7").withColumn("doc_id", F.lit(7 + 10**6))), lab)
+    assert abs(moved.where("doc_id = 1000007").first().score - by_id[7].score) < 0.2
+
+
+def test_toxicity_without_training_rows(spark, labelled):
+    df = spark.createDataFrame(labelled[0][:20], DOCS)
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert {r.score for r in toxicity.toxicity(df, none).collect()} == {0.0}
+    assert toxicity.toxicity(df.limit(0), none).count() == 0
+
+
+def test_kneser_ney_prefers_the_class_that_saw_the_word():
+    data = np.frombuffer(b"idiotplainrare", dtype=np.uint8)
+    starts, ends = np.array([0, 5, 10]), np.array([5, 10, 14])
+    model = toxicity.kneser_ney(data, starts, ends, np.array([40.0, 50.0, 0.0]), np.array([0.0, 500.0, 1.0]))
+    ratio = toxicity.ratios(model, data, starts, ends)
+    assert ratio[0] > 2 and abs(ratio[1]) < 1.5 and ratio[2] < ratio[0]
+
+
+# ---------------------------------------------------------------- LM scoring
+
+
+def test_gradients_match_finite_differences():
+    rng = np.random.default_rng(1)
+    weights = [w.astype(np.float64) for w in lm_score.initial()]
+    classes = rng.integers(0, lm_score.CLASSES, 30)
+    around = lm_score.contexts(classes, np.array([0, 11, 11, 30]))
+    grads = lm_score.gradients(weights, around, classes)
+
+    def loss():
+        _, logp = lm_score.forward(weights, around)
+        return -logp[np.arange(len(classes)), classes].mean()
+
+    for w, g in zip(weights, grads):
+        for _ in range(6):
+            at = tuple(rng.integers(0, n) for n in w.shape)
+            old, step = w[at], 1e-5
+            w[at] = old + step
+            up = loss()
+            w[at] = old - step
+            down = loss()
+            w[at] = old
+            assert abs((up - down) / (2 * step) - g[at]) < 1e-6
+
+
+def test_context_masks_the_token_and_stays_in_its_text():
+    classes = np.array([5, 6, 7, 8])
+    around = lm_score.contexts(classes, np.array([0, 3, 4]))
+    end = lm_score.CLASSES
+    assert around.T.tolist() == [[end, end, 6, 7], [end, 5, 7, end], [5, 6, end, end], [end, end, end, end]]
+
+
+def test_tokens_have_a_proper_distribution():
+    counts = np.random.default_rng(0).integers(0, 50, 1 << lm_score.BUCKET_BITS)
+    of, share = lm_score.class_table(counts)
+    sums = np.bincount(of, weights=np.exp(share), minlength=lm_score.CLASSES)
+    assert np.allclose(sums, 1)
+    _, logp = lm_score.forward(lm_score.initial(), np.zeros((len(lm_score._OFFSETS), 3), dtype=np.int64))
+    assert np.allclose(np.exp(logp).sum(axis=1), 1, atol=1e-4)
+
+
+def test_lm_scores_are_sums_over_tokens_and_repeat(spark):
+    rnd = random.Random(6)
+    docs = [(i, " ".join("a b c d".split()[(i + k) % 4] for k in range(rnd.randrange(5, 80)))) for i in range(300)]
+    docs += [(900, None), (901, ""), (902, docs[0][1]), (903, " ".join(["x"] * 50_000)), (None, "a b")]
+    df = spark.createDataFrame(docs, DOCS).withColumns({"n_tokens": F.lit(0), "bucket": F.lit(0)})
+    got = {r.doc_id: r for r in lm_score.lm_scores(df).collect()}
+    assert len(got) == len(docs)
+    assert got[900].n_tokens == got[901].n_tokens == 0 and got[900].log_likelihood == 0
+    assert abs(got[0].log_likelihood - got[902].log_likelihood) < 1e-4  # single-precision sums depend on the batch
+    assert got[903].n_tokens == 50_000
+    of, share = lm_score.class_table(lm_score.bucket_counts(df))
+    weights = lm_score.trained(df, of)
+    n, total = lm_score.log_likelihood(weights, of, share, pa.array([t for _, t in docs]))
+    for (i, _), a, b in zip(docs, n, total):
+        assert got[i].n_tokens == a and abs(got[i].log_likelihood - b) < 1e-5 * max(1, abs(b))
+    assert lm_score.lm_scores(df.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- URL filter
+
+PAGES = "page_id long, url string, html string"
+
+
+def test_rules_hosts_and_paths(spark):
+    rows = [
+        (1, "http://a.example.org/es/1", "org", None),
+        (2, "https://Example.ORG/es/x?q=/de/", None, None),
+        (3, "x://example.org/en/12", None, None),
+        (4, "http://example.org/en/2", None, None),
+        (5, "http://b.com/fr/1#x", None, None),
+        (6, "http://b.com/de/1", None, None),
+        (7, "http://b.com/deer", None, None),
+        (8, "no scheme", None, None),
+        (9, None, None, None),
+        (10, "http://xorg/a", None, None),
+        (11, "http://a.org", None, None),
+        (12, "http://a.org?x://y/z", None, None),
+    ]
+    got = {r.page_id: tuple(r)[1:] for r in urls.query(spark.createDataFrame([(a, b, c) for a, b, c, _ in rows], PAGES)).collect()}
+    assert got[1] == ("a.example.org", "/es/1", "example.org/es/", "block")
+    assert got[2] == ("example.org", "/es/x", "example.org/es/", "block")
+    assert got[3] == ("example.org", "/en/12", "example.org/en/1", "block")
+    assert got[4] == ("example.org", "/en/2", "org/", "allow")
+    assert got[5] == ("b.com", "/fr/1", "com/fr/", "allow")
+    assert got[6] == ("b.com", "/de/1", "com/de/", "block")
+    assert got[7][:3] == ("b.com", "/deer", None)
+    assert got[8] == got[9] == ("", "", None, "allow")
+    assert got[10][2] is None and got[11] == ("a.org", "", None, "allow") and got[12][:2] == ("a.org", "")
+    assert urls.query(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def _walk(seed, edges, rounds):
+    """Plain power iteration; mass without a link returns to the seeds."""
+    total = sum(seed.values())
+    out = {}
+    for (a, _), n in edges.items():
+        out[a] = out.get(a, 0) + n
+    rank = dict(seed)
+    for _ in range(rounds):
+        new = {}
+        for (a, b), n in edges.items():
+            new[b] = new.get(b, 0) + urls.DAMPING * rank.get(a, 0) * n / out[a]
+        back = 1 - sum(new.values()) / total
+        for h, s in seed.items():
+            new[h] = new.get(h, 0) + back * s
+        rank = new
+    return rank
+
+
+def test_propagation_matches_power_iteration(spark):
+    edges = {("good", "x"): 3, ("good", "y"): 1, ("x", "good"): 1, ("spam", "bad"): 5, ("farm", "spam"): 2, ("farm", "y"): 1}
+    df = spark.createDataFrame([(a, b, n) for (a, b), n in edges.items()], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("good", 1.0, 0.0), ("bad", 0.0, 1.0), ("y", 0.0, 0.25)], "host string, trust double, distrust double")
+    got = {r.host: (r.trust, r.distrust) for r in urls.propagate(seeds, df).collect()}
+    trust = _walk({"good": 1.0}, edges, urls.ROUNDS)
+    distrust = _walk({"bad": 1.0, "y": 0.25}, {(b, a): n for (a, b), n in edges.items()}, urls.ROUNDS)
+    for h, (t, d) in got.items():
+        assert abs(t - trust.get(h, 0)) < 1e-9 and abs(d - distrust.get(h, 0)) < 1e-9
+    assert got["spam"][1] > got["farm"][1] > 0
+
+
+def test_host_that_links_to_blocked_hosts_is_blocked(spark):
+    link = '<a HREF="http://bad.com/de/1">x</a>' * 3
+    rows = [(i, f"http://bad{i}.com/de/1", None) for i in range(6)]
+    rows += [(20 + i, "http://ring.net/p%d" % i, "".join(f"<a href='//bad{k}.com/z'>x</a>" for k in range(6))) for i in range(3)]
+    rows += [(40, "http://calm.net/p", "<a href='/relative'>x</a>" + link)]
+    df = spark.createDataFrame(rows, PAGES).withColumns({"trust": F.lit(9), "src": F.lit("x"), "walk": F.lit("y")})
+    got = {r.page_id: r.verdict for r in urls.url_filter(df, threshold=0.5).collect()}
+    assert got[20] == got[21] == got[22] == "block"
+    assert got[40] == "allow" and got[0] == "block"
+
+
+# ---------------------------------------------------------------- HTML text
+
+PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{{}}</style><script>var a="</p><p>no";</script></head>
+<body class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href="/a">Menu</a></li><li>B</li></ul></nav>
+<div class="cookie-notice">We use cookies</div><div class="ad">Buy</div><!-- <article>no</article> -->
+<article class="post"><h1>Head&shy;line</h1><p>One &lt;two&gt;  <b>th</b>ree
+four<p>Un<i>closed</i> para<br>break<div class="ad-slot">Buy more</div><form><label>Mail</label><input></form>
+<ul><li>x<li>y</ul><blockquote>q&nbsp;&#233;</blockquote><section class="comments"><article><p>I say</p></article></section>
+</article><aside>Other</aside><footer>&copy; us</footer>{end}"""
+EXPECTED = "Head\u00adline\nOne <two> three four\nUnclosed para break\nx\ny\nq é"
+
+
+def test_article_without_its_surroundings(spark):
+    rows = [
+        (1, "http://h.com/1", PAGE.format(end="</body></html>")),
+        (2, "http://h.com/2", PAGE.format(end="")),
+        (3, "http://h.com/3", PAGE.format(end="<p class='x")),
+        (4, None, None),
+        (5, "http://h.com/5", ""),
+        (6, "http://i.com/6", "just text & more"),
+        (6, "http://i.com/6", "just text & more"),
+    ]
+    df = spark.createDataFrame(rows, PAGES).withColumns({"text": F.lit(1), "host": F.lit("x"), "region": F.lit("r")})
+    got = html_text.html_text(df).collect()
+    assert len(got) == len(rows)
+    text = {r.page_id: r.text for r in got}
+    assert text[1] == text[2] == text[3] == EXPECTED
+    assert text[4] == text[5] == "" and text[6] == "just text & more"
+    assert all(r.n_chars == len(r.text) for r in got)
+    assert html_text.html_text(df.limit(0)).count() == 0
+
+
+def _plain_page(i):
+    body = "".join(f"<p>paragraph {i} {k} with its own words</p>" for k in range(3 + i % 3))
+    extra = "<p>optional note</p>" if i % 2 else ""
+    return (
+        f"<html><body><div id='top'><h3>Welcome to the site</h3>{extra}</div>"
+        f"<div id='story'><h2>title {i}</h2>{body}<p>Constant closing line</p></div><div><p>Visit us</p></div></body></html>"
+    )
+
+
+def test_wrapper_finds_the_varying_region_without_markup(spark):
+    df = spark.createDataFrame([(i, f"http://plain.net/{i}", _plain_page(i)) for i in range(12)], PAGES)
+    wrapper = html_text.wrappers(df).collect()
+    assert [w.region for w in wrapper] == ["//html/body/div.story"]
+    assert "Welcome to the site" in wrapper[0].fixed
+    for r in html_text.html_text(df).collect():
+        lines = r.text.split("\n")
+        assert lines[0] == f"title {r.page_id}" and len(lines) >= 4 + r.page_id % 3
+        assert all(str(r.page_id) in x for x in lines[: 4 + r.page_id % 3])
+
+
+def test_folding_makes_groups_and_slots():
+    a, b, c = (html_text.skeleton(html_text.parse(_plain_page(i))) for i in range(3))
+    both = html_text.fold(html_text.fold(a, b), c)
+    body = both[6][0][6][0]
+    top, story = body[6][0], body[6][1]
+    title, paragraphs = story[6]
+    assert title[3] is None and not title[4]  # a text slot, once
+    assert paragraphs[0] == "p" and paragraphs[4]  # a repeated group
+    assert top[6][0][:2] == ["h3", 3] and both[1] == 3 and top[6][1][5]  # always there; the note is optional
+    other = html_text.fold(both, html_text.skeleton(html_text.parse("<html><body><table><tr><td>x</td></tr></table></body></html>")))
+    names = {n[0]: n[5] for n in other[6][0][6][0][6]}
+    assert names["table"] and names["div.story"]  # both became optional
+
+
+# ---------------------------------------------------------------- pipeline
+
+
+def test_pipeline_stages(spark):
+    from visitflow.llm import decontaminate, ngram_join, quality
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    seen = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        seen.append(stage(spark, seen[-1], SMALL).checkpoint())
+        assert seen[-1].columns == docs.columns
+    ids = [{r.doc_id for r in d.select("doc_id").collect()} for d in seen]
+    kept = {r.doc_id for r in quality.query(docs).where("kept").collect()}
+    assert ids[1] == kept and ids[2] == ids[1]
+    assert ids[3] == {r.component_id for r in ngram_join.query(seen[2]).collect()}
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    assert ids[4] == ids[3] - {r.doc_id for r in decontaminate.query(seen[3], bench).collect()}
+    assert ids[5] <= ids[4]
+    again = corpus_pipeline.run(spark, SMALL)
+    assert sorted(map(str, again.collect())) == sorted(map(str, seen[-1].collect()))

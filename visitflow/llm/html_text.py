@@ -138,12 +138,17 @@ def parse(page: str) -> Element:
     return root
 
 
-def _spare_regions(node: Element) -> bool:
-    """Chrome that holds a main region is layout (or an element never closed), not chrome."""
+def _spare_regions(root: Element) -> None:
+    """Chrome that holds a page's only main region is layout (or an element never closed), not chrome."""
+    if next(_own_regions(root), None) is None:
+        _spare(root)
+
+
+def _spare(node: Element) -> bool:
     holds = node.region
     for c in node.children:
         if isinstance(c, Element):
-            holds |= _spare_regions(c)
+            holds |= _spare(c)
     if holds and node.chrome and node.name.partition(".")[0] not in HIDDEN:
         node.chrome = False
     return holds

@@ -91,12 +91,15 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
         edges.select(F.lit("distrust").alias("walk"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
     )
     out = both.groupBy("walk", "src").agg(F.sum("n").alias("out"))
-    share = written(both.join(out, ["walk", "src"]).select("walk", "src", "dst", (F.col("n") / F.col("out")).alias("share")), "host-links")
+    share = both.join(out, ["walk", "src"]).select(
+        F.col("walk").alias("s_walk"), "src", "dst", (F.col("n") / F.col("out")).alias("share")
+    )
+    share = written(share, "host-links")
     total = {r["walk"]: r["s"] for r in seeds.groupBy("walk").agg(F.sum("seed").alias("s")).collect()}  # two rows
     rank = seeds.withColumnRenamed("seed", "rank")
     for _ in range(0 if share.isEmpty() else rounds):  # without links the walks stay at their seeds
-        step = rank.join(share, (rank["walk"] == share["walk"]) & (F.col("host") == F.col("src"))).select(
-            share["walk"], F.col("dst").alias("host"), (F.lit(damping) * F.col("rank") * F.col("share")).alias("rank")
+        step = rank.join(share, (F.col("walk") == F.col("s_walk")) & (F.col("host") == F.col("src"))).select(
+            "walk", F.col("dst").alias("host"), (F.lit(damping) * F.col("rank") * F.col("share")).alias("rank")
         )
         step = step.groupBy("walk", "host").agg(F.sum("rank").alias("rank")).checkpoint()
         moved = {r["walk"]: r["s"] for r in step.groupBy("walk").agg(F.sum("rank").alias("s")).collect()}
