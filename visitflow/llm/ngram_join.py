@@ -393,13 +393,39 @@ def star_pairs(live: DataFrame, turn: int) -> DataFrame:
     # Heavy lists lie in parts; their centers are found with map-side combine, one row per heavy key.
     heavy = live.where("salt > 0")
     center = heavy.groupBy("key").agg(F.min_by(F.struct("node", "n", "place", "comp"), _rank(turn)).alias("c"))
-    both = heavy.join(written(center, f"shingle-centers-{turn}"), "key").where("comp <> c.comp")
-    most = 1 + F.least(F.col("n") - F.col("place"), F.col("c.n") - F.col("c.place"))
-    both = both.where(
-        (100 * F.least("n", "c.n") >= PERCENT * F.greatest("n", "c.n"))
-        & ((100 + PERCENT) * most >= PERCENT * (F.col("n") + F.col("c.n")))
+    center = center.select("key", *[F.col(f"c.{c}").alias(f"o_{c}") for c in ("node", "n", "place", "comp")])
+    return pairs.union(_joined(heavy, written(center, f"shingle-centers-{turn}")))
+
+
+def _joined(members: DataFrame, others: DataFrame) -> DataFrame:
+    """Pairs of a key's members and others (``o_...``) in different components that can link.
+
+    Both sides are written tables, so that the planner measures them and can
+    split the members of a hot key.
+    """
+    most = 1 + F.least(F.col("n") - F.col("place"), F.col("o_n") - F.col("o_place"))
+    able = (
+        (F.col("comp") != F.col("o_comp"))
+        & (100 * F.least("n", "o_n") >= PERCENT * F.greatest("n", "o_n"))
+        & ((100 + PERCENT) * most >= PERCENT * (F.col("n") + F.col("o_n")))
     )
-    return pairs.union(both.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")))
+    both = members.join(others.withColumnRenamed("key", "o_key"), (F.col("key") == F.col("o_key")) & able)
+    return both.select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b"))
+
+
+def rest_pairs(live: DataFrame) -> DataFrame:
+    """All pairs of a list's members in different components that can link.
+
+    In a heavy list most members are in one component; the others are joined
+    with all members.
+    """
+    plain = live.where("salt = 0").repartition("key").sortWithinPartitions("key", "node")
+    heavy = live.where("salt > 0")
+    by_comp = heavy.groupBy("key", "comp").agg(F.count("*").alias("size"))
+    major = by_comp.groupBy("key").agg(F.max_by("comp", F.struct("size", "comp")).alias("major"))
+    out = heavy.join(major.withColumnRenamed("key", "m_key"), F.col("key") == F.col("m_key")).where("comp <> major")
+    out = out.select("key", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "place", "comp")])
+    return plain.mapInArrow(_rest, "a long, b long").union(_joined(heavy, written(out, "shingle-outside")))
 
 
 # ---------------------------------------------------------- verification
@@ -446,8 +472,7 @@ def links_of(posted: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
         if turn < STAR_ROUNDS:
             pairs = star_pairs(live, turn)
         else:
-            rows = live.repartition("key").sortWithinPartitions("key", "node")
-            pairs = rows.mapInArrow(_rest, "a long, b long")
+            pairs = rest_pairs(live)
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
