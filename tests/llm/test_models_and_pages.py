@@ -5,7 +5,9 @@ from __future__ import annotations
 import random
 import zlib
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -205,6 +207,11 @@ def test_host_that_links_to_blocked_hosts_is_blocked(spark):
     got = {r.page_id: r.verdict for r in urls.url_filter(df, threshold=0.5).collect()}
     assert got[20] == got[21] == got[22] == "block"
     assert got[40] == "allow" and got[0] == "block"
+    con = duckdb.connect()
+    con.register("pages", pd.DataFrame(rows, columns=["page_id", "url", "html"]))
+    exp = con.sql(urls.oracle()).df().sort_values("page_id")
+    same = urls.query(df).toPandas().sort_values("page_id")[list(exp.columns)]
+    assert same.astype(str).values.tolist() == exp.astype(str).values.tolist()
 
 
 # ---------------------------------------------------------------- HTML text

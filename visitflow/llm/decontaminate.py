@@ -182,3 +182,34 @@ def query(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", "b.similarity", (-F.col("b.start")).alias("start_word"), "b.n_words"
     )
+
+
+# Every aligned window against every item of its size, without fingerprints.
+ORACLE = r"""
+WITH i AS (
+  SELECT item_id, w, len(w) AS size
+  FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark) WHERE len(w) >= 5),
+ish AS (
+  SELECT item_id, size, pos - 1 AS at, array_to_string(w[pos : pos + 4], ' ') AS g
+  FROM (SELECT *, unnest(range(1, size - 3)) AS pos FROM i)),
+d AS (
+  SELECT doc_id, w, len(w) AS n
+  FROM (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents) WHERE len(w) >= 5),
+dsh AS (
+  SELECT doc_id, n, pos - 1 AS pos, array_to_string(w[pos : pos + 4], ' ') AS g
+  FROM (SELECT *, unnest(range(1, n - 3)) AS pos FROM d)),
+win AS (
+  SELECT DISTINCT doc_id, n, size, greatest(least(dsh.pos - ish.at, n - size), 0) AS start FROM dsh JOIN ish USING (g)),
+wsh AS (
+  SELECT win.doc_id, win.n, win.size, win.start, dsh.g, count(*) AS c
+  FROM win JOIN dsh ON dsh.doc_id = win.doc_id AND dsh.pos BETWEEN win.start AND win.start + least(win.size, win.n) - 5
+  GROUP BY ALL),
+ic AS (SELECT item_id, size, g, count(*) AS c FROM ish GROUP BY ALL),
+k AS (
+  SELECT w.doc_id, ic.item_id, w.size, w.start, sum(least(w.c, ic.c)) AS k, least(w.size, w.n) + w.size - 8 AS total
+  FROM wsh w JOIN ic ON w.size = ic.size AND w.g = ic.g GROUP BY ALL),
+hit AS (
+  SELECT *, k::DOUBLE / (total - k)::DOUBLE AS similarity FROM k WHERE 100 * k >= 75 * (total - k))
+SELECT doc_id, item_id, similarity, CAST(start AS INTEGER) AS start_word, CAST(size AS INTEGER) AS n_words
+FROM hit QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+"""

@@ -523,3 +523,28 @@ def deduplicated(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def query(documents: DataFrame) -> DataFrame:
     return jaccard_components(documents.select("doc_id", "text"))
+
+
+# All pairs that share a shingle, then all that links reach: for small tables.
+ORACLE = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[pos : pos + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS pos FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (
+  SELECT doc_id, doc_id AS reach FROM documents
+  UNION
+  SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reach)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+FROM documents d
+LEFT JOIN n ON n.doc_id = d.doc_id
+JOIN (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY doc_id) m ON m.doc_id = d.doc_id
+"""

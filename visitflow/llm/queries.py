@@ -34,6 +34,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_decontamination": decontaminate.ORACLE,
+        "op4_ngram_jaccard_join": ngram_join.ORACLE,
+        "op5_url_filter": urls.oracle(),
         "op7_mixing": mixing.ORACLE,
         "op8_quality_rules": quality.oracle(),
         "op10_line_dedup": lines.ORACLE,

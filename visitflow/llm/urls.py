@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitflow.llm.common import lower_ascii, written
+from visitflow.llm.common import LOWER, UPPER, lower_ascii, written
 
 # The rules of the registered query.
 RULES = (
@@ -136,3 +136,56 @@ def url_filter(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> D
 
 def query(pages: DataFrame) -> DataFrame:
     return url_filter(pages.select("page_id", "url", "html")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def oracle(rules=RULES, threshold: float = THRESHOLD) -> str:
+    """DuckDB SQL for :func:`query`, with the rounds of both walks written out."""
+    link = LINK.replace("'", "''")
+    longest_first = sorted(rules, key=lambda r: (len(r[1]), r[0] == "block"), reverse=True)
+
+    def fits(text: str) -> str:
+        name, _, rest = text.partition("/")
+        return f"(host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '/{rest}')"
+
+    rule = " ".join(f"WHEN {fits(text)} THEN '{text}'" for _, text in longest_first)
+    verdict = " ".join(f"WHEN '{text}' THEN '{kind}'" for kind, text in longest_first)
+    lower = f"'{UPPER}', '{LOWER}'"
+    rounds = []
+    for k in range(ROUNDS):
+        rounds.append(f"""
+s{k} AS (
+  SELECT r.walk, sh.dst AS host, sum({DAMPING}::DOUBLE * r.rank * sh.share) AS rank
+  FROM r{k} r JOIN sh ON sh.walk = r.walk AND sh.src = r.host GROUP BY ALL),
+b{k} AS (
+  SELECT walk, 1 - coalesce((SELECT sum(rank) FROM s{k} WHERE s{k}.walk = seed.walk), 0) / sum(seed) AS back
+  FROM seed GROUP BY walk),
+r{k + 1} AS (
+  SELECT walk, host, sum(rank) AS rank
+  FROM (SELECT * FROM s{k} UNION ALL SELECT walk, host, seed * back FROM seed JOIN b{k} USING (walk)) GROUP BY ALL)""")
+    return rf"""
+WITH p AS (
+  SELECT page_id, html, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), {lower}) AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+ruled AS (SELECT *, CASE {rule} END AS rule FROM p),
+judged AS (SELECT *, CASE rule {verdict} END AS said FROM ruled),
+hosts AS (
+  SELECT host, count(*) FILTER (said = 'allow') / count(*)::DOUBLE AS t, count(*) FILTER (said = 'block') / count(*)::DOUBLE AS d
+  FROM judged WHERE host <> '' GROUP BY host),
+seed AS (
+  SELECT 'trust' AS walk, host, t AS seed FROM hosts WHERE t > 0
+  UNION ALL SELECT 'distrust', host, d FROM hosts WHERE d > 0),
+edges AS (
+  SELECT src, dst, count(*) AS n
+  FROM (SELECT host AS src, translate(unnest(regexp_extract_all(html, '{link}', 1)), {lower}) AS dst FROM p)
+  WHERE src <> '' AND src <> dst GROUP BY ALL),
+both_ways AS (
+  SELECT 'trust' AS walk, src, dst, n FROM edges UNION ALL SELECT 'distrust', dst, src, n FROM edges),
+sh AS (SELECT walk, src, dst, n / (sum(n) OVER (PARTITION BY walk, src))::DOUBLE AS share FROM both_ways),
+r0 AS (SELECT walk, host, seed AS rank FROM seed),{",".join(rounds)},
+score AS (
+  SELECT host, coalesce(sum(rank) FILTER (walk = 'distrust'), 0) - coalesce(sum(rank) FILTER (walk = 'trust'), 0) AS bad
+  FROM r{ROUNDS} GROUP BY host)
+SELECT page_id, host, path, rule,
+       coalesce(said, CASE WHEN coalesce(bad, 0) > {threshold} THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged LEFT JOIN score USING (host)
+"""
