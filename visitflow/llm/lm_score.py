@@ -10,10 +10,10 @@ conditional log-probabilities of its tokens.
   of their own, the others are dealt over the remaining classes; within a class
   a token has its share of the corpus counts.  Both parts together are a proper
   distribution over all buckets.
-* Training is data-parallel: in each round every task runs Adam over its share
-  of the documents (a different hash-chosen 1 in ``EVERY`` each round), and the
-  weights are averaged by tokens in Spark, in fixed point, so that the sum does
-  not depend on the order.  What it reads and gathers grows with the corpus.
+* Training is data-parallel and reads every document once: a hash deals the
+  documents over the rounds, in each round every task runs Adam over its share
+  of them, and the weights are averaged by tokens in Spark, in fixed point, so
+  that the sum does not depend on the order.
 
 Defined results: a null or empty text has no tokens and log-likelihood 0;
 repeated rows are scored one by one; without any token in the corpus all scores
@@ -36,7 +36,6 @@ OWN = 96  # classes of a single bucket
 HIDDEN = 24
 REACH = 2  # tokens seen on each side
 ROUNDS = 3
-EVERY = 16
 BATCH = 2048
 BLOCK = 16384
 RATE = 0.01
@@ -179,7 +178,7 @@ def trained(documents: DataFrame, of: np.ndarray) -> list[np.ndarray]:
     text = text_or_empty()
     for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast((weights, of))
-        part = documents.where(F.pmod(F.xxhash64("doc_id", text), F.lit(EVERY)) == turn).select(text.alias("text"))
+        part = documents.where(F.pmod(F.xxhash64("doc_id", text), F.lit(ROUNDS)) == turn).select(text.alias("text"))
         sums = part.mapInArrow(_trainer(shared), "place int, value long").groupBy("place").agg(F.sum("value").alias("value"))
         rows = {r["place"]: r["value"] for r in sums.collect()}  # one row per weight of the network
         size = sum(w.size for w in weights)
