@@ -101,24 +101,30 @@ def _parts(kind: str, part: str, spans: Column, weak: bool) -> Column:
 def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     """The weak ones of ``parts`` (key, kind, class, start, end, weak) that have a complement within ``scope``.
 
-    Interval join: a part lies in cell ``start / scope``; a complement is looked
-    up in its own cell and the two beside it, and the gap is tested exactly.
+    Interval join: a weak part lies in every cell of ``scope`` code points that
+    it touches, a complement in every cell within ``scope`` of it, and the gap
+    from the end of the one to the start of the other is tested exactly.
     """
-    cell = F.floor(F.col("start") / scope)
-    weak = parts.where("weak").withColumn("cell", cell)
+
+    def cells(first: Column, last: Column) -> Column:
+        return F.explode(F.sequence(F.floor(first / scope), F.floor(last / scope)))
+
+    start, end = F.col("start"), F.col("end")
+    weak = parts.where("weak").withColumn("cell", cells(start, end))
     other = parts.select(
         F.col("key").alias("o_key"),
         F.col("class").alias("o_class"),
-        F.col("start").alias("o_start"),
-        F.explode(F.array(cell - 1, cell, cell + 1)).alias("o_cell"),
+        start.alias("o_start"),
+        end.alias("o_end"),
+        cells(start - scope, end + scope).alias("o_cell"),
     )
     near = (
         (F.col("key") == F.col("o_key"))
         & (F.col("cell") == F.col("o_cell"))
-        & (F.abs(F.col("start") - F.col("o_start")) <= scope)
+        & (F.greatest(start, F.col("o_start")) - F.least(end, F.col("o_end")) <= scope)
         & ((F.col("class") == "secret") != (F.col("o_class") == "secret"))
     )
-    return weak.join(other, near, "left_semi").drop("cell")
+    return weak.join(other, near, "left_semi").drop("cell").distinct()
 
 
 def secret_scan(documents: DataFrame, scope: int = SCOPE) -> DataFrame:
