@@ -1,13 +1,15 @@
 """URL filter: path rules, and link-graph propagation for what no rule decides (DataFrame operations only).
 
 A rule ``host/path`` fits its host and all subdomains if the url's path starts
-with the rule's path; the longest fitting rule decides.  Hosts are judged by
-two walks over the host link graph, counted from the pages' absolute links:
-personalised PageRank from the hosts whose pages rules allow, along the links,
-and the same from the hosts whose pages rules block, against the links (a host
-that links to a blocked host is distrusted).  A host's seed is the share of its
-pages that rules allow (or block).  A page without a rule is blocked if its
-host's distrust exceeds its trust by more than ``threshold``.
+with the rule's path; the longest fitting rule decides.  Hosts are judged
+over the host link graph, counted from the pages' absolute links.  Trust is
+personalised PageRank from the hosts whose pages rules allow, along the links.
+Distrust goes against the links: of a damped walk that starts at the host and
+follows its links, it is the share that reaches a blocked page.  A host divides
+only its own links, so its distrust does not depend on how many others link to
+the same blocked host.  A host's seed is the share of its pages that rules allow
+(or block).  A page without a rule is blocked if its host's distrust exceeds its
+trust by more than ``threshold``.  Both are iterated to ``TOLERANCE``.
 
 Defined results: a null url, or one without ``://``, has empty host and path,
 fits no rule and is allowed; null html has no links; repeated rows count as
@@ -18,6 +20,8 @@ added column is replaced.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +38,7 @@ RULES = (
 DAMPING = 0.85
 ROUNDS = 12
 THRESHOLD = 0.5
+TOLERANCE = 1e-4
 ADDED = ("host", "path", "rule", "verdict", "trust", "distrust")
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)href\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
@@ -71,12 +76,16 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.where("src <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """``host, trust, distrust`` after ``rounds`` steps of both walks.
+def propagate(
+    seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float | None = None
+) -> DataFrame:
+    """``host, trust, distrust`` after ``rounds`` steps of both walks, or when a step moves at most ``tolerance`` of their mass.
 
     ``seeds`` has ``host, trust, distrust``; ``edges`` has ``src, dst, n``.
     Both walks run in one loop, as rows of different ``walk``.  Mass that has
     no link to follow returns to the seeds.  Every round is checkpointed.
+    A step shrinks the difference to the limit by ``damping`` at least, so the
+    tolerance is reached.
     """
     seeds = written(
         seeds.select(
@@ -97,7 +106,8 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
     share = written(share, "host-links")
     total = {r["walk"]: r["s"] for r in seeds.groupBy("walk").agg(F.sum("seed").alias("s")).collect()}  # two rows
     rank = seeds.withColumnRenamed("seed", "rank")
-    for _ in range(0 if share.isEmpty() else rounds):  # without links the walks stay at their seeds
+    steps = itertools.count() if tolerance is not None else range(rounds)
+    for _ in steps if total and not share.isEmpty() else ():  # without links the walks stay at their seeds
         step = rank.join(share, (F.col("walk") == F.col("s_walk")) & (F.col("host") == F.col("src"))).select(
             "walk", F.col("dst").alias("host"), (F.lit(damping) * F.col("rank") * F.col("share")).alias("rank")
         )
@@ -107,7 +117,12 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
         for walk, mass in total.items():
             back = F.when(F.col("walk") == walk, F.lit(1 - moved.get(walk, 0.0) / mass)).otherwise(back)
         rank = step.unionByName(seeds.select("walk", "host", (F.col("seed") * back).alias("rank")))
-        rank = rank.groupBy("walk", "host").agg(F.sum("rank").alias("rank")).checkpoint()
+        old, rank = rank, rank.groupBy("walk", "host").agg(F.sum("rank").alias("rank")).checkpoint()
+        if tolerance is not None:
+            change = rank.unionByName(old.withColumn("rank", -F.col("rank"))).groupBy("walk", "host").agg(F.sum("rank").alias("by"))
+            by = {r["walk"]: r["s"] for r in change.groupBy("walk").agg(F.sum(F.abs("by")).alias("s")).collect()}
+            if all(by[walk] <= tolerance * mass for walk, mass in total.items()):
+                break
 
     def of(walk: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("walk") == walk, F.col("rank"))), F.lit(0.0)).alias(walk)
@@ -115,6 +130,30 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
     return rank.groupBy("host").agg(of("trust"), of("distrust"))
 
 
+def reach(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """``host, distrust``: the share of a damped walk along the links from the host that reaches a blocked page.
+
+    ``seeds`` has ``host, distrust``, the share of the host's pages that are
+    blocked; ``edges`` has ``src, dst, n``.  Steps until no host changes by more
+    than ``tolerance``, which ``damping`` ensures; each is checkpointed.
+    """
+    seeds = written(seeds.where("distrust > 0").select("host", F.col("distrust").alias("seed")), "host-blocked")
+    out = edges.groupBy(F.col("src").alias("o_src")).agg(F.sum("n").alias("out"))
+    share = edges.join(out, F.col("src") == F.col("o_src")).select("src", "dst", (F.col("n") / F.col("out")).alias("share"))
+    share = written(share, "host-shares")
+    now = seeds.select("host", F.col("seed").alias("distrust"))
+    change = 0.0 if seeds.isEmpty() or share.isEmpty() else 1.0
+    while change > tolerance:
+        met = now.join(share, F.col("host") == F.col("dst")).select(F.col("src").alias("host"), (F.col("distrust") * F.col("share")).alias("met"))
+        met = met.groupBy("host").agg((damping * F.sum("met")).alias("met"))
+        seed, met_share = F.coalesce("seed", F.lit(0.0)), F.coalesce("met", F.lit(0.0))
+        new = seeds.join(met, "host", "full").select("host", (seed + (1 - seed) * met_share).alias("distrust")).checkpoint()
+        both = new.unionByName(now.withColumn("distrust", -F.col("distrust"))).groupBy("host").agg(F.sum("distrust").alias("by"))
+        change = both.agg(F.max(F.abs("by")).alias("c")).first()["c"]
+        now = new
+    return now
+
+
 def url_filter(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFrame:
     """``pages`` with ``host, path, rule, verdict, trust, distrust``."""
     url = F.col("url")
@@ -126,7 +165,10 @@ def url_filter(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> D
         return (F.count_if(F.col("verdict") == verdict) / F.count("*")).alias({"allow": "trust", "block": "distrust"}[verdict])
 
     seeds = ruled.where("host <> ''").groupBy("host").agg(pages_with("allow"), pages_with("block"))
-    judged = written(propagate(seeds, host_edges(ruled)), "host-trust").withColumnRenamed("host", "_u_host")
+    seeds = written(seeds, "host-rules")
+    edges = written(host_edges(ruled), "host-edges")
+    trust = propagate(seeds.withColumn("distrust", F.lit(0.0)), edges, tolerance=TOLERANCE).select("host", "trust")
+    judged = written(trust.join(reach(seeds, edges), "host", "full"), "host-trust").withColumnRenamed("host", "_u_host")
     joined = ruled.join(judged, F.col("host") == F.col("_u_host"), "left").drop("_u_host")
     zero = F.lit(0.0)
     joined = joined.withColumns({c: F.coalesce(F.col(c), zero) for c in ("trust", "distrust")})
