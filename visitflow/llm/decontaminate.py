@@ -8,9 +8,11 @@ multi-index finds the items of that size within ``RADIUS`` bits: with
 misses none.  Candidates are then verified by exact weighted Jaccard similarity
 of the five-word shingles (weight: number of occurrences).
 
-Only windows that can reach the similarity are laid out: a window and an item
-that are similar share a shingle, which also aligns them.  This drops no pair;
-it replaces a window at every position by one at every shared shingle.
+Only windows that can reach the similarity are laid out: those at any position
+that hold as many shingles of items of their size as the similarity needs.  The
+sentences of a passage may stand in another order than in the item.  Of equally
+similar windows, one that a shared shingle aligns with the item is reported,
+then the first.
 
 The item tables are broadcast only up to ``BROADCAST_ROWS`` rows, counted
 first; a larger benchmark is joined by shuffle.
@@ -106,18 +108,39 @@ def prepared_items(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def windows(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id, th, size, start`` of the item-sized windows that share a shingle with an item of that size."""
+def windows(documents: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, th, at``: the item-sized windows (start, size, aligned) that can reach the similarity.
+
+    A window of ``width`` shingles needs ``need`` of an item.  It holds that many
+    shared shingles if, for some i, it reaches from the i-th shared place or
+    before to the place ``need - 1`` shared ones on.
+    """
     aligned = written(
         items.select(F.posexplode("s").alias("at", "h"), "size").distinct(), "bench-shingles"
     )
     placed = documents.select(
         "doc_id", F.xxhash64(text_or_empty()).alias("th"), plain_words(text_or_empty()).alias("w")
     ).select("doc_id", "th", F.size("w").alias("n"), F.posexplode(shingles(F.col("w"))).alias("pos", "h"))
-    hits = placed.join(_guarded(aligned), "h")
     last = F.greatest(F.col("n") - F.col("size"), F.lit(0))
     start = F.greatest(F.least(F.col("pos") - F.col("at"), last), F.lit(0)).alias("start")
-    return hits.select("doc_id", "th", "size", start).distinct()
+    hits = placed.join(_guarded(aligned), "h").select("doc_id", "th", "n", "size", "pos", start)
+    by_size = hits.groupBy("doc_id", "th", "n", "size").agg(
+        F.sort_array(F.collect_set("pos")).alias("p"), F.collect_set("start").alias("fit")
+    )
+    width = F.least("n", "size") - (SHINGLE - 1)
+    need = F.ceil(percent * (width + F.col("size") - (SHINGLE - 1)) / (100 + percent)).cast("int")
+    by_size = by_size.select("*", width.alias("width"), need.alias("need"), last.alias("last")).where(F.size("p") >= F.col("need"))
+
+    def around(i: Column) -> Column:
+        low = F.greatest(F.get("p", i + F.col("need") - 1) - F.col("width") + 1, F.lit(0))
+        high = F.least(F.get("p", i), F.col("last"))
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    starts = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size("p") - F.col("need")), around)))
+    laid = F.transform(
+        starts, lambda x: F.struct(x.alias("start"), F.col("size").alias("size"), F.array_contains("fit", x).alias("aligned"))
+    )
+    return by_size.select("doc_id", "th", laid.alias("at")).groupBy("doc_id", "th").agg(F.flatten(F.collect_list("at")).alias("at"))
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -126,7 +149,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, percent: int = PERC
     ``th`` is the hash of the document's text.
     """
     items = prepared_items(benchmark)
-    laid = written(windows(documents, items).groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "size")).alias("at")), "bench-windows")
+    laid = written(windows(documents, items, percent), "bench-windows")
     laid = laid.select(F.col("doc_id").alias("w_doc"), F.col("th").alias("w_th"), "at")
     texts = documents.select("doc_id", text_or_empty().alias("text")).withColumn("th", F.xxhash64("text"))
     found = texts.join(laid.hint("merge"), F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("th") == F.col("w_th")))
@@ -134,11 +157,11 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, percent: int = PERC
         "doc_id", "th", plain_words(F.col("text")).alias("w"), F.explode("at").alias("at")
     )
     found = found.select(
-        "doc_id", "th", "at.start", "at.size", F.slice("w", F.col("at.start") + 1, F.col("at.size")).alias("w")
+        "doc_id", "th", "at.start", "at.size", "at.aligned", F.slice("w", F.col("at.start") + 1, F.col("at.size")).alias("w")
     )
     prints = written(
         found.select(
-            "doc_id", "th", "start", "size", occurrences(shingles(F.col("w"))).alias("keys"), simhash(F.col("w")).alias("print")
+            "doc_id", "th", "start", "size", "aligned", occurrences(shingles(F.col("w"))).alias("keys"), simhash(F.col("w")).alias("print")
         ),
         "bench-prints",
     )
@@ -160,7 +183,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, percent: int = PERC
     shared = F.size(F.array_intersect("keys", "item_keys"))
     scored = near.withColumn("shared", shared).withColumn("all", F.size("keys") + F.size("item_keys") - F.col("shared"))
     scored = scored.where(100 * F.col("shared") >= percent * F.col("all"))
-    best = F.max(F.struct((F.col("shared") / F.col("all")).alias("similarity"), (-F.col("start")).alias("start"), "size"))
+    best = F.max(F.struct((F.col("shared") / F.col("all")).alias("similarity"), "aligned", (-F.col("start")).alias("start"), "size"))
     return scored.groupBy("doc_id", "th", "item_id").agg(best.alias("b")).select(
         "doc_id", "th", "item_id", "b.similarity", (-F.col("b.start")).alias("start_word"), F.col("b.size").alias("n_words")
     )
