@@ -28,7 +28,7 @@ class CutRule:
     name: str
     starts: Callable[[object, object], object]
     inputs: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
-    # True when the rule needs a valid parsed time (drives malformed-row handling).
+    # True when the rule needs a readable time: a log with a null input is malformed.
     parses_time: bool = False
 
     def input_columns(self) -> dict[str, Column]:
@@ -68,7 +68,7 @@ def time_gap_cut(gap=DEFAULT_GAP_MS) -> CutRule:
     return CutRule(
         name=f"time_gap_{gap_ms}ms",
         starts=starts,
-        inputs={"ms": lambda: log_time_ms(F.col(LOG_TIME))},
+        inputs={"ms": lambda: log_time_ms(F.col(LOG_TIME), strict=False)},
         parses_time=True,
     )
 
@@ -91,6 +91,6 @@ def day_change_cut() -> CutRule:
     return CutRule(
         name="day_change",
         starts=starts,
-        inputs={"day": lambda: F.floor(log_time_ms(F.col(LOG_TIME)) / 86_400_000)},
+        inputs={"day": lambda: F.floor(log_time_ms(F.col(LOG_TIME), strict=False) / 86_400_000)},
         parses_time=True,
     )
