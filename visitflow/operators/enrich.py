@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitflow.functions.columns import or_missing, url_host
@@ -12,6 +12,7 @@ from visitflow.sources.text import default_domain_labels
 # Sessions without a host cannot match a dimension row; their join keys are
 # spread over this many values, so that they do not meet in one task.
 _NO_HOST_KEYS = 4096
+_MOST_LABELS = 100  # label rows of one heavy cookie that are broadcast
 
 
 def with_domain(sessions: DataFrame, mode: str = "FAILFAST") -> DataFrame:
@@ -52,19 +53,47 @@ def check_unique_labels(labels: DataFrame) -> None:
         raise ValueError(f"cookie {dup[0][COOKIE]!r} has {dup[0]['count']} label rows")
 
 
-def label_cookies(sessions: DataFrame, labels: DataFrame, *, unique_labels: bool = False) -> DataFrame:
+def _labels_of_heavy(labels: DataFrame, heavy: DataFrame) -> DataFrame:
+    """``h_cookie, h_label``: the labels of heavy cookies, null for one without.
+
+    Heavy cookies with more than ``_MOST_LABELS`` label rows are left to the
+    shuffle join, so that the table has at most ``_MOST_LABELS`` rows a cookie.
+    """
+    heavy = heavy.select(F.col(COOKIE).alias("h_cookie"))
+    found = labels.join(F.broadcast(heavy), F.col(COOKIE) == F.col("h_cookie"), "left_semi").select(COOKIE, F.col("cookie_label").alias("h_label"))
+    rows = F.count("*").over(Window.partitionBy("h_cookie"))
+    joined = heavy.join(found, F.col("h_cookie") == F.col(COOKIE), "left").select("h_cookie", "h_label")
+    return joined.select("*", rows.alias("rows")).where(F.col("rows") <= _MOST_LABELS).select("h_cookie", "h_label")
+
+
+def label_cookies(
+    sessions: DataFrame, labels: DataFrame, *, unique_labels: bool = False, heavy: DataFrame | None = None
+) -> DataFrame:
     """Left join on cookie; ``"-"`` when the cookie has no label.  Duplicate
     label rows multiply the session, as a left outer join does; with
     ``unique_labels=True`` they are an error instead.
 
-    The planner broadcasts the labels if their measured size allows; otherwise
-    both sides are shuffled on cookie and AQE splits a skewed (hot-cookie)
-    partition of the sessions side.
+    ``heavy`` names the cookies with very many sessions (``cookie``, a bounded
+    table, as :func:`~visitflow.operators.sessionize.heavy_cookies` gives):
+    their labels are broadcast, and their sessions get spread keys in the join
+    of the rest, where they match nothing.  Without it the sessions are first
+    dealt by cookie and start, so that a hot cookie's come from many tasks and
+    AQE can split them; the planner broadcasts labels of a small measured size.
     """
     if unique_labels:
         check_unique_labels(labels)
-    out = sessions.join(labels, COOKIE, "left")
-    return out.withColumn("cookie_label", or_missing(F.col("cookie_label")))
+    if heavy is None:
+        tasks = int(sessions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = sessions.repartition(tasks, COOKIE, "session_server_time")
+        out = dealt.join(labels, COOKIE, "left").select(*sessions.columns, "cookie_label")
+        return out.withColumn("cookie_label", or_missing(F.col("cookie_label")))
+    of_heavy = F.broadcast(_labels_of_heavy(labels, heavy))
+    out = sessions.join(of_heavy, F.col(COOKIE) == F.col("h_cookie"), "left")
+    spread = F.concat(F.lit("heavy:"), F.pmod(F.xxhash64(COOKIE, "session_server_time", "session_seq"), F.lit(_NO_HOST_KEYS)).cast("string"))
+    key = F.when(F.col("h_cookie").isNotNull(), spread).otherwise(F.concat(F.lit("cookie:"), F.col(COOKIE)))
+    rest = labels.select(F.concat(F.lit("cookie:"), F.col(COOKIE)).alias("_key"), "cookie_label")
+    out = out.withColumn("_key", key).join(rest, "_key", "left").drop("_key", "h_cookie")
+    return out.withColumn("cookie_label", or_missing(F.coalesce("h_label", "cookie_label"))).drop("h_label")
 
 
 def session_record(sessions: DataFrame) -> DataFrame:

@@ -59,19 +59,26 @@ def _starts(rule: CutRule, cur: str, prev: str) -> Column:
 def _with_inputs(logs: DataFrame, rule: CutRule, mode: str) -> DataFrame:
     """Logs and, as one struct, the columns that the rule reads, each computed once.
 
-    Rows without cookie or time, or whose time the rule cannot read, go
-    (``DROPMALFORMED``) or raise when their struct is made.
+    Rows without cookie or time, or whose time the rule cannot read, go under
+    ``DROPMALFORMED``.  Otherwise their struct says why they are refused, and
+    ``_refused`` raises it in one place, after the exchange: a stage that several
+    branches read would report its failure once for each of them.
     """
     made = rule.input_columns()
     ok = F.col(COOKIE).isNotNull() & F.col(LOG_TIME).isNotNull()
     if rule.parses_time:
         for c in made.values():
             ok = ok & c.isNotNull()
-    inputs = F.struct(*([c.alias(name) for name, c in made.items()] or [F.lit(0).alias("none")]))
+    inputs = [c.alias(name) for name, c in made.items()]
     if check_mode(mode) == DROPMALFORMED:
-        return logs.where(ok).withColumn(_CUR, inputs)
+        return logs.where(ok).withColumn(_CUR, F.struct(*inputs, F.lit(None).cast("string").alias("refused")))
     said = F.concat_ws("|", F.lit("log without cookie or readable time:"), COOKIE, LOG_TIME)
-    return logs.withColumn(_CUR, F.when(ok, inputs).otherwise(F.raise_error(said)))
+    return logs.withColumn(_CUR, F.struct(*inputs, F.when(~ok, said).alias("refused")))
+
+
+def _refused(rows: DataFrame) -> DataFrame:
+    why = F.col(_CUR).getField("refused")
+    return rows.withColumn(_CUR, F.when(why.isNull(), F.col(_CUR)).otherwise(F.raise_error(why)))
 
 
 def _heavy(logs: DataFrame, rows_per_chunk: int) -> DataFrame:
@@ -110,13 +117,15 @@ def _slice(borders: Column, row: Column) -> Column:
     return F.aggregate(F.array(*[F.lit(j) for j in _SEARCH]), F.lit(0), step)
 
 
-def _chunked(logs: DataFrame, rule: CutRule, mode: str, rows_per_chunk: int, num_partitions: int | None) -> DataFrame:
+def _chunked(
+    logs: DataFrame, rule: CutRule, mode: str, rows_per_chunk: int, num_partitions: int | None, columns: list[str] | None = None
+) -> DataFrame:
     """Logs with their slice and the rule's inputs, dealt by (cookie, slice)."""
     heavy = F.broadcast(_heavy(logs, rows_per_chunk))
     row = F.struct(F.col(LOG_TIME).alias("t"), F.col(ORDER).alias("o"))
     chunk = F.when(F.col("h_cookie").isNull(), -1).otherwise(_slice(F.col("borders"), row))
     rows = _with_inputs(logs, rule, mode).join(heavy, F.col(COOKIE) == F.col("h_cookie"), "left")
-    rows = rows.withColumn(CHUNK, chunk).drop("h_cookie", "borders")
+    rows = rows.select(*(columns or logs.columns), _CUR, chunk.alias(CHUNK))
     return rows.repartition(num_partitions, COOKIE, CHUNK) if num_partitions else rows.repartition(COOKIE, CHUNK)
 
 
@@ -128,7 +137,7 @@ def _divided(rows: DataFrame, logs: DataFrame, rows_per_chunk: int) -> DataFrame
     Without heavy cookies the semi join is empty and reads nothing.
     """
     all_columns = [F.size(f.name) if isinstance(f.dataType, MapType) else F.col(f.name) for f in rows.schema.fields]
-    stay = F.when(F.rand(0) >= 0, F.col(CHUNK) >= 0).otherwise(F.xxhash64(*all_columns) == 0)
+    stay = F.when(F.spark_partition_id() >= 0, F.col(CHUNK) >= 0).otherwise(F.xxhash64(*all_columns) == 0)
     heavy = F.broadcast(_heavy(logs, rows_per_chunk).select("h_cookie"))
     return rows.where(stay).join(heavy, F.col(COOKIE) == F.col("h_cookie"), "left_semi")
 
@@ -207,7 +216,7 @@ def assign_sessions(
     edges = _stitched(
         ends.select(COOKIE, CHUNK, F.col("_head").alias("head"), F.col(_CUR).alias("tail"), F.col(_LOCAL).alias("n"), *nothing), rule
     ).select("e_cookie", "e_chunk", "base")
-    return _numbered(_cut(rows, rule), edges).select(*logs.columns, SEQ)
+    return _numbered(_cut(_refused(rows), rule), edges).select(*logs.columns, SEQ)
 
 
 def _pieces(rows: DataFrame, rule: CutRule) -> DataFrame:
@@ -266,9 +275,9 @@ def build_sessions(
     if session_ids not in ("hash", "uuid"):
         raise ValueError(f"session_ids must be 'hash' or 'uuid', got {session_ids!r}")
     rule = cut or pageview_cut()
-    rows = _chunked(logs, rule, mode, rows_per_chunk, num_partitions)
+    rows = _chunked(logs, rule, mode, rows_per_chunk, num_partitions, [COOKIE, LOG_TIME, ORDER, LOG_TYPE, IP, URL])
     edges = _stitched(_pieces(_divided(rows, logs, rows_per_chunk), rule).where(F.col(_LOCAL) == 1), rule)
-    pieces = _pieces(rows, rule).drop("head", "tail")
+    pieces = _pieces(_refused(rows), rule).drop("head", "tail")
     found = _numbered(pieces, edges).where(~((F.col(_LOCAL) == 1) & (F.coalesce("joins", F.lit(0)) == 1)))
     ends = F.col(_LOCAL) == F.col("n")
 

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from visitflow.operators.clean import clean_log_types
 from visitflow.operators.cut import CutRule, day_change_cut, pageview_cut, time_gap_cut
 from visitflow.operators.enrich import label_cookies, label_domains
-from visitflow.operators.sessionize import assign_sessions, build_sessions
-from visitflow.plans.etl import run_session_etl, session_etl
+from visitflow.operators.sessionize import assign_sessions, build_sessions, heavy_cookies
+from visitflow.plans.etl import CONF_COOKIE_LABELS, CONF_OUTPUT, CONF_VISIT_LOG, main, run_session_etl, session_etl
 from visitflow.schema import COOKIE, LOG_COLUMNS, LOG_TIME, ORDER
 from visitflow.sources.sinks import LOG_DIR, SESSION_DIR, read_dataset, write_dataset, write_outputs
+from visitflow.sources.staging import staged
 from visitflow.sources.tables import (
     SQL_COOKIE_LABELS,
     SQL_DOMAIN_LABELS,
@@ -101,6 +102,58 @@ def _job(fmt: str) -> Query:
     return run
 
 
+def _hot_labels(spark: SparkSession, d: str) -> DataFrame:
+    """The customers' labels, and two labels of the hot cookie."""
+    two = spark.createDataFrame([("cookieHOT", "hot"), ("cookieHOT", "twice")], "cookie string, cookie_label string")
+    return cookie_labels_from_customers(spark, d).unionByName(two)
+
+
+def _job_by_conf(spark: SparkSession, d: str) -> DataFrame:
+    """The submitted job, its three paths taken from the session's conf keys; the sessions, read back."""
+    logs, labels = _text_inputs(spark, d)
+    base = shared_dir(spark, "job-conf")
+    conf = {CONF_VISIT_LOG: logs, CONF_COOKIE_LABELS: labels, CONF_OUTPUT: base}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        main(["parquet"])
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return read_dataset(spark, f"{base}/{SESSION_DIR}", "session", "parquet")
+
+
+def _staged_twice(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions with random ids, staged; two actions over the same handle must see equal ids."""
+    kept = _kept(spark, d)
+    held = staged(build_sessions(kept, session_ids="uuid"), "sessions")
+    total = held.df.count()
+    again = held.df.withColumnRenamed("session_id", "id")
+    same = held.df.join(again, (F.col("session_id") == F.col("id")) & F.col("id").rlike("^[0-9a-f-]{36}$")).count()
+    held.release()
+    return spark.range(1).select(F.lit(total).alias("sessions"), F.lit(same).alias("same_ids"))
+
+
+def _bursty(spark: SparkSession, d: str) -> DataFrame:
+    """The kept logs with a third of the users behind one cookie whose logs lie in the first minutes
+    of one hour, but for one log years before."""
+    hot = _hot(spark, d)
+    second = F.pmod(F.col(ORDER), F.lit(600))
+    burst = F.concat(F.lit("2024-05-01 10:"), F.lpad((second / 60).cast("int").cast("string"), 2, "0"),
+                     F.lit(":"), F.lpad((second % 60).cast("string"), 2, "0"))
+    early = F.when(F.col(ORDER) < 10, F.lit("2019-01-01 00:00:00")).otherwise(burst)
+    return hot.withColumn(LOG_TIME, F.when(F.col(COOKIE) == "cookieHOT", early).otherwise(F.col(LOG_TIME)))
+
+
+def _one_second(spark: SparkSession, d: str) -> DataFrame:
+    """The kept logs with a third of the users behind one cookie, all its logs in one second."""
+    hot = _hot(spark, d)
+    return hot.withColumn(
+        LOG_TIME, F.when(F.col(COOKIE) == "cookieHOT", F.lit("2024-05-01 10:00:00")).otherwise(F.col(LOG_TIME))
+    )
+
+
 def _overwritten(spark: SparkSession, d: str) -> DataFrame:
     """The logs dataset written twice, first with all types, then cleaned; the second, read back."""
     path = shared_dir(spark, "overwrite")
@@ -148,7 +201,9 @@ def queries() -> dict[str, Query]:
         q[f"build_sessions_{name}"] = lambda s, d, name=name: _sessions(s, d, name)
     q["label_domains"] = lambda s, d: label_domains(_sessions(s, d), domain_labels_from_pages(s, d))
     q["label_domains_default"] = lambda s, d: label_domains(_sessions(s, d))
-    q["label_cookies"] = lambda s, d: label_cookies(_sessions(s, d), cookie_labels_from_customers(s, d))
+    q["label_cookies"] = lambda s, d: label_cookies(
+        _sessions(s, d), cookie_labels_from_customers(s, d), heavy=heavy_cookies(_kept(s, d))
+    )
     q["session_etl"] = lambda s, d: _etl(s, d)
     q["session_etl_from_text"] = lambda s, d: session_etl(
         parse_track_log(track_log_lines_from_events(s, d)),
@@ -170,6 +225,15 @@ def queries() -> dict[str, Query]:
     q["assign_sessions_hot_cookie"] = lambda s, d: assign_sessions(
         _hot(s, d), time_gap_cut("6 hours"), rows_per_chunk=HOT_CHUNK
     )
+    q["build_sessions_bursty_cookie"] = lambda s, d: build_sessions(
+        _bursty(s, d), time_gap_cut("1 second"), rows_per_chunk=HOT_CHUNK
+    )
+    q["build_sessions_one_second"] = lambda s, d: build_sessions(_one_second(s, d), rows_per_chunk=HOT_CHUNK)
+    q["session_etl_hot_cookie"] = lambda s, d: session_etl(
+        _hot(s, d), _hot_labels(s, d), domain_labels_from_pages(s, d), rows_per_chunk=HOT_CHUNK
+    )
+    q["etl_job_conf"] = _job_by_conf
+    q["staged_sessions"] = _staged_twice
     return q
 
 
@@ -181,6 +245,7 @@ _KEPT = "kept AS (SELECT * FROM logs WHERE log_type IN ('click', 'pageview'))"
 # New-session condition against the previous log of the cookie (window w).
 _STARTS = {
     "pageview": "log_type = 'pageview'",
+    "time_gap_1s": "ms - lag(ms) OVER w >= 1000",
     "time_gap_30m": "ms - lag(ms) OVER w >= 1800000",
     "time_gap_6h": "ms - lag(ms) OVER w >= 21600000",
     "time_gap_24h": "ms - lag(ms) OVER w >= 86400000",
@@ -191,11 +256,18 @@ _DAILY = """daily AS (SELECT * REPLACE (substr(log_server_time, 1, 10) || ' 00:0
 _HOT = """hot AS (SELECT * REPLACE (CASE WHEN CAST(regexp_extract(cookie, '[0-9]+$') AS BIGINT) % 3 = 0
                                   THEN 'cookieHOT' ELSE cookie END AS cookie) FROM kept)"""
 
+_BURSTY = """bursty AS (SELECT * REPLACE (CASE WHEN cookie <> 'cookieHOT' THEN log_server_time
+                                        WHEN log_order < 10 THEN '2019-01-01 00:00:00'
+                                        ELSE strftime(TIMESTAMP '2024-05-01 10:00:00' + to_seconds(log_order % 600),
+                                                      '%Y-%m-%d %H:%M:%S') END AS log_server_time) FROM hot)"""
+_ONE_SECOND = """one_second AS (SELECT * REPLACE (CASE WHEN cookie = 'cookieHOT' THEN '2024-05-01 10:00:00'
+                                                 ELSE log_server_time END AS log_server_time) FROM hot)"""
+
 _HOST = r"regexp_extract(landing_url, '^(?i:https?|ftp)://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^:/?#]*)', 1)"
 
 
 def _assigned_cte(cut: str, table: str = "kept") -> str:
-    return f"""{_LOGS}, {_KEPT}, {_DAILY}, {_HOT},
+    return f"""{_LOGS}, {_KEPT}, {_DAILY}, {_HOT}, {_BURSTY}, {_ONE_SECOND},
 flagged AS (
   SELECT *, CASE WHEN lag(cookie) OVER w IS NULL OR ({_STARTS[cut]}) THEN 1 ELSE 0 END AS is_start
   FROM (SELECT *, epoch_ms(strptime(log_server_time, '%Y-%m-%d %H:%M:%S')) AS ms FROM {table})
@@ -226,14 +298,14 @@ with_domain AS (
   SELECT *, CASE WHEN landing_url = '-' THEN '-' ELSE {_HOST} END AS domain FROM sessions)"""
 
 
-def _etl_sql(cut: str, domains: str = "domains") -> str:
-    return f"""WITH {_sessions_cte(cut)}
+def _etl_sql(cut: str, domains: str = "domains", table: str = "kept", labels: str = "SELECT * FROM labels") -> str:
+    return f"""WITH {_sessions_cte(cut, table)}
 SELECT s.session_id, s.session_server_time, s.cookie, coalesce(l.cookie_label, '-') AS cookie_label,
        s.ip, s.landing_url, s.pageview_count, s.click_count, s.domain,
        coalesce(d.domain_label, '-') AS domain_label
 FROM with_domain s
 LEFT JOIN (SELECT domain, max(domain_label) AS domain_label FROM {domains} GROUP BY domain) d ON d.domain = s.domain
-LEFT JOIN labels l ON l.cookie = s.cookie"""
+LEFT JOIN ({labels}) l ON l.cookie = s.cookie"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -254,7 +326,7 @@ SELECT split_part(value, '|', 1) AS cookie, split_part(value, '|', 2) AS cookie_
 SELECT {cols}, row_number() OVER (PARTITION BY cookie ORDER BY {ORDER}) AS place FROM logs""",
         "read_cookie_labels_text": SQL_COOKIE_LABELS,
     }
-    for cut in _STARTS:
+    for cut in CUTS:
         o[f"assign_sessions_{cut}"] = f"WITH {_assigned_cte(cut)} SELECT {cols}, {ORDER}, session_seq FROM assigned"
     for cut in ("pageview", "time_gap_30m"):
         o[f"build_sessions_{cut}"] = f"WITH {_sessions_cte(cut)} SELECT * FROM sessions"
@@ -282,4 +354,11 @@ SELECT s.*, coalesce(l.cookie_label, '-') AS cookie_label FROM sessions s LEFT J
     o["assign_sessions_hot_cookie"] = (
         f"WITH {_assigned_cte('time_gap_6h', 'hot')} SELECT {cols}, {ORDER}, session_seq FROM assigned"
     )
+    o["build_sessions_bursty_cookie"] = f"WITH {_sessions_cte('time_gap_1s', 'bursty')} SELECT * FROM sessions"
+    o["build_sessions_one_second"] = f"WITH {_sessions_cte('pageview', 'one_second')} SELECT * FROM sessions"
+    two = "SELECT * FROM labels UNION ALL SELECT 'cookieHOT', 'hot' UNION ALL SELECT 'cookieHOT', 'twice'"
+    o["session_etl_hot_cookie"] = _etl_sql("pageview", table="hot", labels=two)
+    o["etl_job_conf"] = o["etl_job_text"]
+    o["staged_sessions"] = f"""WITH {_sessions_cte('pageview')}
+SELECT count(*) AS sessions, count(*) AS same_ids FROM sessions"""
     return o

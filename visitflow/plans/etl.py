@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from visitflow.operators.clean import clean_log_types
 from visitflow.operators.cut import CutRule, pageview_cut
 from visitflow.operators.enrich import label_cookies, label_domains, session_record
-from visitflow.operators.sessionize import build_sessions
+from visitflow.operators.sessionize import ROWS_PER_CHUNK, build_sessions, heavy_cookies
 from visitflow.schema import LOG_TYPES
 from visitflow.sources.sinks import check_format, write_outputs
+from visitflow.sources.staging import staged
 from visitflow.sources.text import read_cookie_labels, read_track_log
 
 # The job's configuration keys and their defaults, kept equal
@@ -39,15 +40,18 @@ def session_etl(
     types=LOG_TYPES,
     mode: str = "FAILFAST",
     num_partitions: int | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
     session_ids: str = "hash",
     unique_labels: bool = False,
 ) -> DataFrame:
     """Labelled sessions (ten columns) from parsed logs, as one lazy plan."""
+    kept = clean_log_types(logs, types)
     sessions = build_sessions(
-        clean_log_types(logs, types), cut or pageview_cut(), mode=mode, num_partitions=num_partitions, session_ids=session_ids
+        kept, cut or pageview_cut(), mode=mode, num_partitions=num_partitions, rows_per_chunk=rows_per_chunk, session_ids=session_ids
     )
     sessions = label_domains(sessions, domains, mode=mode)
-    return session_record(label_cookies(sessions, labels, unique_labels=unique_labels))
+    heavy = heavy_cookies(kept, rows_per_chunk)
+    return session_record(label_cookies(sessions, labels, unique_labels=unique_labels, heavy=heavy))
 
 
 @dataclass
@@ -92,16 +96,15 @@ def run_session_etl(
         if _under(spark, p, output_path):
             raise ValueError(f"input {p} lies under the output path {output_path}")
 
-    # The text is read twice (log dataset and sessions) instead of cached:
-    # a re-scan is cheaper than holding every parsed log in executor storage.
-    parsed = read_track_log(spark, visit_log_path, mode)
     labels = read_cookie_labels(spark, cookie_label_path, mode)
-    sessions = session_etl(
-        parsed, labels, domains, cut=cut, mode=mode, session_ids=session_ids, unique_labels=unique_labels
-    )
-    # The count is observed during the single sessions write, so random
-    # (uuid) ids are generated once and the total matches what is written.
-    total = write_outputs(parsed, sessions, output_path, fmt)
+    # The text is read once; the log dataset and the sessions read the staged rows.
+    with staged(read_track_log(spark, visit_log_path, mode), "parsed-logs") as parsed:
+        sessions = session_etl(
+            parsed.df, labels, domains, cut=cut, mode=mode, session_ids=session_ids, unique_labels=unique_labels
+        )
+        # The count is observed during the single sessions write, so random
+        # (uuid) ids are generated once and the total matches what is written.
+        total = write_outputs(parsed.df, sessions, output_path, fmt)
     log.info("sessions written: %d (%s, %s)", total, output_path, fmt)
     return EtlResult(session_total=total, output_path=output_path, fmt=fmt)
 
