@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitflow.llm import decontaminate, html_text, lines, lm_score, mixing, ngram_join, quality, secrets, toxicity, urls
+from visitflow.llm import (
+    decontaminate,
+    html_text,
+    lines,
+    lm_score,
+    mixing,
+    ngram_join,
+    quality,
+    secrets,
+    spelling,
+    toxicity,
+    urls,
+)
 
 
 def _over(table: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -29,6 +41,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": _over("documents", quality.query),
         "op9_html_text": _over("pages", html_text.query),
         "op10_line_dedup": _over("documents", lines.query),
+        "op12_spelling_variants": _over("documents", spelling.query),
     }
 
 
