@@ -12,6 +12,7 @@ from visitflow.llm import (
     lines,
     lm_score,
     mixing,
+    negatives,
     ngram_join,
     quality,
     secrets,
@@ -42,6 +43,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_html_text": _over("pages", html_text.query),
         "op10_line_dedup": _over("documents", lines.query),
         "op12_spelling_variants": _over("documents", spelling.query),
+        "op13_hard_negatives": _over("embeddings", negatives.query),
     }
 
 
@@ -53,4 +55,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_mixing": mixing.ORACLE,
         "op8_quality_rules": quality.oracle(),
         "op10_line_dedup": lines.ORACLE,
+        "op13_hard_negatives": negatives.ORACLE,
     }
