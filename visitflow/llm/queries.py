@@ -17,6 +17,7 @@ from visitflow.llm import (
     quality,
     secrets,
     spelling,
+    suffixes,
     toxicity,
     urls,
 )
@@ -42,6 +43,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": _over("documents", quality.query),
         "op9_html_text": _over("pages", html_text.query),
         "op10_line_dedup": _over("documents", lines.query),
+        "op11_suffix_dedup": _over("documents", suffixes.query),
         "op12_spelling_variants": _over("documents", spelling.query),
         "op13_hard_negatives": _over("embeddings", negatives.query),
     }
