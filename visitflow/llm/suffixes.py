@@ -41,11 +41,11 @@ from visitflow.llm.vector import BASE, BASE2, MIX1, MIX2, mix, power_table
 
 SPAN = 50  # bytes of a string that must not repeat
 GRAM = 16  # bytes hashed for a minimizer
-SHARD = 8 << 20  # bytes of a shard; one longer text is a shard of its own
-BLOCK = 1 << 20  # window starts worked on at once
+SHARD = 4 << 20  # bytes of a shard; one longer text is a shard of its own
+BLOCK = 1 << 17  # window starts worked on at once
 LONGEST = 64  # windows of a passage
-HOT = 20_000  # passages of a minimizer, counted once per shard, that one task may get
-GROUP = 2 << 20  # bytes of passages in a suffix array
+HOT = 20_000  # passages of a minimizer that one task may get
+GROUP = 1 << 20  # bytes of passages in a suffix array
 RANGE = 32 << 20  # bytes of minimizers merged by one task
 NULL_ID = -(2**63)
 SEPARATOR = 0xFF  # no byte of UTF-8
@@ -63,8 +63,8 @@ def _words(data: np.ndarray) -> np.ndarray:
     return x
 
 
-def _block_passages(data: np.ndarray, valid: np.ndarray):
-    """Passages of a block: start, stop (window starts), minimizer and two hashes of the bytes."""
+def _block_passages(data: np.ndarray, valid: np.ndarray, contents: bool):
+    """Passages of a block: start, stop (window starts), minimizer and, if asked, two hashes of the bytes."""
     n = len(valid)
     x = _words(data)
     gram = mix(x[:-8] * MIX1 + mix(x[8:] * MIX2))
@@ -86,7 +86,7 @@ def _block_passages(data: np.ndarray, valid: np.ndarray):
         first, last = np.repeat(start, pieces) + place * LONGEST, np.repeat(stop, pieces)
         start, stop = first, np.minimum(first + LONGEST, last)
     hashes = [mix(least[start])]
-    for base in (BASE, BASE2):
+    for base in (BASE, BASE2) if contents else ():
         sums = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power_table(base, len(data) + 1)[: len(data)], out=sums[1:])
         inverse = power_table(pow(base, -1, 1 << 64), len(data) + 1)
@@ -94,8 +94,8 @@ def _block_passages(data: np.ndarray, valid: np.ndarray):
     return start, stop, *hashes
 
 
-def passages(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
-    """All passages of a shard: ``start, stop`` (window starts in ``data``), ``doc`` (index), ``h, u1, u2``."""
+def passages(data: np.ndarray, offsets: np.ndarray, contents: bool = True) -> dict[str, np.ndarray]:
+    """All passages of a shard: ``start, stop`` (window starts in ``data``), ``doc`` (index), ``h`` and, for their ``contents``, ``u1, u2``."""
     n = len(data)
     change = np.zeros(n + 1, dtype=np.int32)
     starts, ends = offsets[:-1], offsets[1:]
@@ -103,7 +103,8 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     np.add.at(change, np.maximum(starts[some], ends[some] - SPAN + 1), 1)
     np.add.at(change, ends[some], -1)
     valid = np.cumsum(change[:-1]) == 0
-    found = [[], [], [], [], []]
+    names = ["start", "stop", "h", "u1", "u2"][: 5 if contents else 3]
+    found: list[list] = [[] for _ in names]
     for at in range(0, n, BLOCK):
         part = valid[at : at + BLOCK]
         if not part.any():
@@ -111,13 +112,11 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         block = data[at : at + BLOCK + SPAN - 1]
         missing = len(part) + SPAN - 1 - len(block)
         block = np.pad(block, (0, missing)) if missing else block
-        start, stop, *hashes = _block_passages(block, part)
+        start, stop, *hashes = _block_passages(block, part, contents)
         for held, values in zip(found, (start + at, stop + at, *hashes)):
             held.append(values)
-    kinds = [np.int64, np.int64] + [np.uint64] * 3
-    start, stop, h, u1, u2 = (np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(found, kinds))
-    doc = np.searchsorted(offsets, start, side="right") - 1
-    return {"start": start, "stop": stop, "doc": doc, "h": h.view(np.int64), "u1": u1.view(np.int64), "u2": u2.view(np.int64)}
+    held = {name: np.concatenate(x).view(np.int64) if x else np.zeros(0, np.int64) for name, x in zip(names, found)}
+    return held | {"doc": np.searchsorted(offsets, held["start"], side="right") - 1}
 
 
 # ------------------------------------------------------------------ suffix array
@@ -192,12 +191,8 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, starts: np.ndarray, end
     return shared
 
 
-def window_minima(strings: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
-    """For each passage, the smallest document of each of its windows among all passages."""
-    lengths = np.array([len(s) for s in strings], dtype=np.int64)
-    data = np.frombuffer(bytes([SEPARATOR]).join(strings) + bytes([SEPARATOR]), dtype=np.uint8)
-    ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
+def window_minima(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """For the place of each window of the passages, the smallest document of equal ones; the largest long elsewhere."""
     order = suffix_array(data, ends)
     shared = common_prefixes(data, order, starts, ends, SPAN)
     passage = np.searchsorted(ends, order)
@@ -205,11 +200,20 @@ def window_minima(strings: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     order, passage = order[whole], passage[whole]
     first = shared[order] < SPAN
     first[:1] = True
-    group = np.cumsum(first) - 1
     least = np.minimum.reduceat(docs[passage], np.flatnonzero(first))
-    by_place = np.empty(len(data), dtype=np.int64)
-    by_place[order] = least[group]
-    return [by_place[a : b - SPAN + 1] for a, b in zip(starts, ends)]
+    by_place = np.full(len(data), np.iinfo(np.int64).max)
+    by_place[order] = least[np.cumsum(first) - 1]
+    return by_place
+
+
+def gathered(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, room: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The byte ranges one after the other, each followed by ``room`` separators, and their offsets (with an end)."""
+    offsets = np.concatenate([[0], np.cumsum(lengths + room)])
+    at = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - starts, lengths + room)
+    out = data[np.minimum(at, len(data) - 1)]
+    for k in range(room):
+        out[offsets[1:] - 1 - k] = SEPARATOR
+    return out, offsets
 
 
 # ------------------------------------------------------------------ shards
@@ -293,12 +297,12 @@ def _minimizers(ranges: int):
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_py() for c in ("shard", "docs", "offsets", "data")}
                 data, offsets, docs = _shard(row)
-                found = passages(data, offsets)
-                order, at, low, high = _distinct(found, docs)
-                h = found["h"][order][at]
-                first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else at
+                found = passages(data, offsets, contents=False)
+                order = np.argsort(found["h"])
+                h, doc = found["h"][order], docs[found["doc"][order]]
+                first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else order
                 count = np.diff(np.append(first, len(h)))
-                many = np.minimum.reduceat(low, first) < np.maximum.reduceat(high, first) if len(h) else first > 0
+                many = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first) if len(h) else first > 0
                 h = h[first]
                 place = ((h.view(np.uint64) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
                 by = np.lexsort((h, place))
@@ -376,8 +380,8 @@ def _passages_of(column: str):
         found = {c: v[hit] for c, v in found.items()}
         order, first, low, high = _distinct(found, docs)
         one = order[first]
-        blob = row["data"]
-        body = [blob[a : b + SPAN - 1] for a, b in zip(found["start"][one].tolist(), found["stop"][one].tolist())]
+        body, ends = gathered(data, found["start"][one], found["stop"][one] - found["start"][one] + SPAN - 1)
+        body = pa.Array.from_buffers(pa.binary(), len(one), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(body)])
         values = [np.full(len(one), row["shard"], np.int64), found["h"][one], found["u1"][one], found["u2"][one], low, high]
         return pa.table({n: pa.array(v, t) for n, v, t in zip(names, [*values, body], kinds)})
 
@@ -389,29 +393,48 @@ DECISIONS = "shard long, u1 long, u2 long, least long, gone binary"
 
 def _decide(table: pa.Table) -> pa.Table:
     """One group of minimizers: for each passage of each shard its smallest document, and the windows
-    (offsets) that this document loses too."""
+    (offsets) that this document loses too; only where a document of the shard loses something.
+
+    Equal windows have one minimizer, so that a minimizer with one passage, or
+    one document, needs no suffix array.
+    """
     h, u1, u2, low, high = (table.column(c).to_numpy() for c in ("h", "u1", "u2", "low", "high"))
     order = np.lexsort((u2, u1, h))
-    first = np.ones(len(order), dtype=bool)
-    first[1:] = (h[order][1:] != h[order][:-1]) | (u1[order][1:] != u1[order][:-1]) | (u2[order][1:] != u2[order][:-1])
-    at = np.flatnonzero(first)
-    least, most = np.minimum.reduceat(low[order], at), np.maximum.reduceat(high[order], at)
-    body = table.column("body")
-    minima = window_minima([body[int(i)].as_py() for i in order[at]], least)
-    gone = [np.flatnonzero(m < doc) for m, doc in zip(minima, least)]
-    tells = (least < most) | np.array([len(g) > 0 for g in gone])
-    kind = np.cumsum(first) - 1
-    rows = np.flatnonzero(tells[kind])
-    kind, of = kind[rows], order[rows]
-    shard = table.column("shard").to_numpy()
-    packed = [_array(g, np.int32) for g in gone]
+    h, u1, u2, low, high = (x[order] for x in (h, u1, u2, low, high))
+    new = np.append(True, h[1:] != h[:-1])
+    first = new.copy()
+    first[1:] |= (u1[1:] != u1[:-1]) | (u2[1:] != u2[:-1])
+    at, kind = np.flatnonzero(first), np.cumsum(first) - 1
+    least = np.minimum.reduceat(low, at)
+    by_h = np.flatnonzero(new)
+    alone = np.minimum.reduceat(low, by_h) == np.maximum.reduceat(high, by_h)
+    several = (np.add.reduceat(first.astype(np.int64), by_h) > 1) & ~alone
+    asked = np.flatnonzero(several[np.cumsum(new) - 1][at])  # passages for the suffix array
+    gone: dict[int, bytes] = {}
+    if len(asked):
+        body = table.column("body").combine_chunks().cast(pa.large_binary())
+        cuts = np.frombuffer(body.buffers()[1], np.int64)[body.offset : body.offset + len(body) + 1]
+        rows = order[at[asked]]
+        data, offsets = gathered(np.frombuffer(body.buffers()[2], np.uint8), cuts[rows], cuts[rows + 1] - cuts[rows], room=1)
+        starts, ends = offsets[:-1], offsets[1:] - 1
+        minima = window_minima(data, starts, ends, least[asked])
+        place = np.flatnonzero(minima < np.repeat(least[asked], offsets[1:] - starts))
+        of = np.searchsorted(ends, place)
+        off = (place - starts[of]).astype(np.int32)
+        some, begin = np.unique(of, return_index=True)
+        for k, a, b in zip(asked[some].tolist(), begin.tolist(), [*begin[1:].tolist(), len(of)]):
+            gone[k] = off[a:b].tobytes()
+    loses = np.zeros(len(at), dtype=bool)
+    loses[list(gone)] = True
+    rows = np.flatnonzero((high > least[kind]) | ((low == least[kind]) & loses[kind]))
+    kind = kind[rows]
     return pa.table(
         {
-            "shard": pa.array(shard[of]),
-            "u1": pa.array(u1[of]),
-            "u2": pa.array(u2[of]),
+            "shard": pa.array(table.column("shard").to_numpy()[order[rows]]),
+            "u1": pa.array(u1[rows]),
+            "u2": pa.array(u2[rows]),
             "least": pa.array(least[kind]),
-            "gone": pa.array([packed[k] for k in kind.tolist()], pa.binary()),
+            "gone": pa.array([gone.get(k, b"") for k in kind.tolist()], pa.binary()),
         }
     )
 
