@@ -32,12 +32,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitflow.llm.common import text_or_empty, written
-from visitflow.llm.vector import BASE, BASE2, MIX1, MIX2, mix, power_table
+from visitflow.llm.vector import BASE, MIX1, MIX2, mix, power_table
 
 SPAN = 50  # bytes of a string that must not repeat
 GRAM = 16  # bytes hashed for a minimizer
@@ -63,8 +64,8 @@ def _words(data: np.ndarray) -> np.ndarray:
     return x
 
 
-def _block_passages(data: np.ndarray, valid: np.ndarray, contents: bool):
-    """Passages of a block: start, stop (window starts), minimizer and, if asked, two hashes of the bytes."""
+def _block_passages(data: np.ndarray, valid: np.ndarray):
+    """Passages of a block: start, stop (window starts), minimizer and a hash of the bytes."""
     n = len(valid)
     x = _words(data)
     gram = mix(x[:-8] * MIX1 + mix(x[8:] * MIX2))
@@ -85,17 +86,17 @@ def _block_passages(data: np.ndarray, valid: np.ndarray, contents: bool):
         place = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         first, last = np.repeat(start, pieces) + place * LONGEST, np.repeat(stop, pieces)
         start, stop = first, np.minimum(first + LONGEST, last)
-    hashes = [mix(least[start])]
-    for base in (BASE, BASE2) if contents else ():
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power_table(base, len(data) + 1)[: len(data)], out=sums[1:])
-        inverse = power_table(pow(base, -1, 1 << 64), len(data) + 1)
-        hashes.append(mix((sums[stop + SPAN - 1] - sums[start]) * inverse[start] + (stop - start).astype(np.uint64)))
-    return start, stop, *hashes
+    powers = power_table(BASE, len(data) + 1)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
+    inverse = power_table(pow(BASE, -1, 1 << 64), len(data) + 1)
+    content = mix((sums[stop + SPAN - 1] - sums[start]) * inverse[start] + (stop - start).astype(np.uint64))
+    return start, stop, mix(least[start]), content
 
 
-def passages(data: np.ndarray, offsets: np.ndarray, contents: bool = True) -> dict[str, np.ndarray]:
-    """All passages of a shard: ``start, stop`` (window starts in ``data``), ``doc`` (index), ``h`` and, for their ``contents``, ``u1, u2``."""
+def passages(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
+    """All passages of a shard: ``start, stop`` (window starts in ``data``), ``doc`` (index), ``h`` (minimizer)
+    and ``u`` (hash of the bytes); the two hashes together name a passage."""
     n = len(data)
     change = np.zeros(n + 1, dtype=np.int32)
     starts, ends = offsets[:-1], offsets[1:]
@@ -103,7 +104,7 @@ def passages(data: np.ndarray, offsets: np.ndarray, contents: bool = True) -> di
     np.add.at(change, np.maximum(starts[some], ends[some] - SPAN + 1), 1)
     np.add.at(change, ends[some], -1)
     valid = np.cumsum(change[:-1]) == 0
-    names = ["start", "stop", "h", "u1", "u2"][: 5 if contents else 3]
+    names = ["start", "stop", "h", "u"]
     found: list[list] = [[] for _ in names]
     for at in range(0, n, BLOCK):
         part = valid[at : at + BLOCK]
@@ -112,7 +113,7 @@ def passages(data: np.ndarray, offsets: np.ndarray, contents: bool = True) -> di
         block = data[at : at + BLOCK + SPAN - 1]
         missing = len(part) + SPAN - 1 - len(block)
         block = np.pad(block, (0, missing)) if missing else block
-        start, stop, *hashes = _block_passages(block, part, contents)
+        start, stop, *hashes = _block_passages(block, part)
         for held, values in zip(found, (start + at, stop + at, *hashes)):
             held.append(values)
     held = {name: np.concatenate(x).view(np.int64) if x else np.zeros(0, np.int64) for name, x in zip(names, found)}
@@ -223,7 +224,7 @@ def _array(a, kind=np.int64) -> bytes:
     return np.ascontiguousarray(a, dtype=kind).tobytes()
 
 
-SHARDS = "shard long, docs binary, h1 binary, h2 binary, offsets binary, data binary"
+SHARDS = "shard long, n_bytes long, docs binary, h1 binary, h2 binary, offsets binary, data binary"
 
 
 def _pack(batches):
@@ -232,8 +233,8 @@ def _pack(batches):
     def row(k):
         docs, h1, h2, texts = zip(*held)
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-        values = [(TaskContext.get().partitionId() << 32) + k, _array(docs), _array(h1), _array(h2), _array(offsets), b"".join(texts)]
-        kinds = [pa.int64()] + [pa.binary()] * 5
+        values = [(TaskContext.get().partitionId() << 32) + k, size, _array(docs), _array(h1), _array(h2), _array(offsets), zstandard.ZstdCompressor(level=1).compress(b"".join(texts))]
+        kinds = [pa.int64()] * 2 + [pa.binary()] * 5
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], [c.split()[0] for c in SHARDS.split(", ")])
 
     for batch in batches:
@@ -267,8 +268,8 @@ def shards(documents: DataFrame) -> DataFrame:
 
 
 def _shard(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    data, offsets, docs = row["data"], row["offsets"], row["docs"]
-    return np.frombuffer(data, np.uint8), np.frombuffer(offsets, np.int64), np.frombuffer(docs, np.int64)
+    data = zstandard.ZstdDecompressor().decompress(row["data"])
+    return np.frombuffer(data, np.uint8), np.frombuffer(row["offsets"], np.int64), np.frombuffer(row["docs"], np.int64)
 
 
 def _only(table: pa.Table) -> dict | None:
@@ -276,11 +277,11 @@ def _only(table: pa.Table) -> dict | None:
 
 
 def _distinct(found: dict, docs: np.ndarray):
-    """Order of the passages by ``h, u1, u2``, starts of equal ones, smallest and largest document of each."""
-    order = np.lexsort((found["u2"], found["u1"], found["h"]))
-    h, u1, u2 = (found[c][order] for c in ("h", "u1", "u2"))
+    """Order of the passages by ``h, u``, starts of equal ones, smallest and largest document of each."""
+    order = np.lexsort((found["u"], found["h"]))
+    h, u = (found[c][order] for c in ("h", "u"))
     first = np.ones(len(order), dtype=bool)
-    first[1:] = (h[1:] != h[:-1]) | (u1[1:] != u1[:-1]) | (u2[1:] != u2[:-1])
+    first[1:] = (h[1:] != h[:-1]) | (u[1:] != u[:-1])
     at = np.flatnonzero(first)
     doc = docs[found["doc"][order]]
     if not len(at):
@@ -297,12 +298,12 @@ def _minimizers(ranges: int):
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_py() for c in ("shard", "docs", "offsets", "data")}
                 data, offsets, docs = _shard(row)
-                found = passages(data, offsets, contents=False)
-                order = np.argsort(found["h"])
-                h, doc = found["h"][order], docs[found["doc"][order]]
-                first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else order
+                found = passages(data, offsets)
+                order, at, low, high = _distinct(found, docs)
+                h = found["h"][order][at]
+                first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else at
                 count = np.diff(np.append(first, len(h)))
-                many = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first) if len(h) else first > 0
+                many = np.minimum.reduceat(low, first) < np.maximum.reduceat(high, first) if len(h) else first > 0
                 h = h[first]
                 place = ((h.view(np.uint64) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
                 by = np.lexsort((h, place))
@@ -352,14 +353,14 @@ def _merge(table: pa.Table) -> pa.Table:
 
 def shared_minimizers(packs: DataFrame) -> DataFrame:
     """``shard, hashes, hot``: what each shard has in common with others; written."""
-    size = packs.select(F.coalesce(F.sum(F.length("data")), F.lit(0))).first()[0]
+    size = packs.select(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     tasks = int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(tasks, -(-size // RANGE))
     sent = packs.select("shard", "docs", "offsets", "data").mapInArrow(_minimizers(ranges), MINIMIZERS)
     return written(sent.groupBy("range").applyInArrow(_merge, SHARED), "suffix-minimizers")
 
 
-PASSAGES = "shard long, h long, u1 long, u2 long, low long, high long, body binary"
+PASSAGES = "shard long, h long, u long, low long, high long, body binary"
 
 
 def _passages_of(column: str):
@@ -368,7 +369,7 @@ def _passages_of(column: str):
     def emit(left: pa.Table, right: pa.Table) -> pa.Table:
         row = _only(left)
         names = [c.split()[0] for c in PASSAGES.split(", ")]
-        kinds = [pa.int64()] * 6 + [pa.binary()]
+        kinds = [pa.int64()] * 5 + [pa.binary()]
         wanted = [np.frombuffer(x, np.int64) for x in right.column(column).to_pylist()] if right.num_rows else []
         wanted = np.sort(np.concatenate(wanted)) if wanted else np.zeros(0, np.int64)
         if row is None or not len(wanted):
@@ -382,13 +383,13 @@ def _passages_of(column: str):
         one = order[first]
         body, ends = gathered(data, found["start"][one], found["stop"][one] - found["start"][one] + SPAN - 1)
         body = pa.Array.from_buffers(pa.binary(), len(one), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(body)])
-        values = [np.full(len(one), row["shard"], np.int64), found["h"][one], found["u1"][one], found["u2"][one], low, high]
+        values = [np.full(len(one), row["shard"], np.int64), found["h"][one], found["u"][one], low, high]
         return pa.table({n: pa.array(v, t) for n, v, t in zip(names, [*values, body], kinds)})
 
     return emit
 
 
-DECISIONS = "shard long, u1 long, u2 long, least long, gone binary"
+DECISIONS = "shard long, h long, u long, least long, gone binary"
 
 
 def _decide(table: pa.Table) -> pa.Table:
@@ -398,12 +399,12 @@ def _decide(table: pa.Table) -> pa.Table:
     Equal windows have one minimizer, so that a minimizer with one passage, or
     one document, needs no suffix array.
     """
-    h, u1, u2, low, high = (table.column(c).to_numpy() for c in ("h", "u1", "u2", "low", "high"))
-    order = np.lexsort((u2, u1, h))
-    h, u1, u2, low, high = (x[order] for x in (h, u1, u2, low, high))
+    h, u, low, high = (table.column(c).to_numpy() for c in ("h", "u", "low", "high"))
+    order = np.lexsort((u, h))
+    h, u, low, high = (x[order] for x in (h, u, low, high))
     new = np.append(True, h[1:] != h[:-1])
     first = new.copy()
-    first[1:] |= (u1[1:] != u1[:-1]) | (u2[1:] != u2[:-1])
+    first[1:] |= u[1:] != u[:-1]
     at, kind = np.flatnonzero(first), np.cumsum(first) - 1
     least = np.minimum.reduceat(low, at)
     by_h = np.flatnonzero(new)
@@ -431,8 +432,8 @@ def _decide(table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "shard": pa.array(table.column("shard").to_numpy()[order[rows]]),
-            "u1": pa.array(u1[rows]),
-            "u2": pa.array(u2[rows]),
+            "h": pa.array(h[rows]),
+            "u": pa.array(u[rows]),
             "least": pa.array(least[kind]),
             "gone": pa.array([gone.get(k, b"") for k in kind.tolist()], pa.binary()),
         }
@@ -440,27 +441,26 @@ def _decide(table: pa.Table) -> pa.Table:
 
 
 def _hot_decisions(rows: DataFrame) -> DataFrame:
-    """The same for minimizers of very many passages: each window is a row, and the smallest
-    document of equal ones is taken before and after the shuffle."""
+    """The same for minimizers of very many passages: each window of a passage is a row, and the
+    smallest document of equal ones is taken before and after the shuffle."""
+    rows = written(rows, "suffix-hot-passages")
+    one = rows.groupBy("h", "u").agg(F.min("low").alias("least"), F.max("high").alias("most"), F.min("body").alias("body"))
     at = F.posexplode(F.expr(f"transform(sequence(1, length(body) - {SPAN - 1}), i -> substring(body, i, {SPAN}))")).alias("off", "w")
-    windows = rows.select("shard", "u1", "u2", "low", "high", at)
-    keyed = windows.select("*", F.xxhash64("w").alias("w1"), F.xxhash64("w", F.lit("second")).alias("w2")).drop("w")
-    keyed = written(keyed, "suffix-hot-windows")
-    least = keyed.groupBy("w1", "w2").agg(F.min("low").alias("first"))
-    passage = keyed.groupBy("u1", "u2").agg(F.min("low").alias("least"), F.max("high").alias("most"))
-    decided = keyed.join(least, ["w1", "w2"]).join(passage, ["u1", "u2"])
-    by_passage = decided.groupBy("shard", "u1", "u2", "least", "most").agg(
-        F.collect_list(F.when(F.col("first") < F.col("least"), F.col("off"))).alias("offs")
-    )
-    told = by_passage.where((F.col("least") < F.col("most")) | (F.size("offs") > 0))
+    windows = one.select("h", "u", "least", "most", at)
+    keyed = written(windows.withColumns({"w1": F.xxhash64("w"), "w2": F.xxhash64("w", F.lit("second"))}).drop("w"), "suffix-hot-windows")
+    least = keyed.groupBy("w1", "w2").agg(F.min("least").alias("first"))
+    lost = F.collect_list(F.when(F.col("first") < F.col("least"), F.col("off")))
+    told = keyed.join(least, ["w1", "w2"]).groupBy("h", "u", "least", "most").agg(lost.alias("offs"))
+    told = told.where((F.col("least") < F.col("most")) | (F.size("offs") > 0))
     # offsets as little-endian integers
-    one = "lpad(hex(x & 255), 2, '0') || lpad(hex(shiftright(x, 8) & 255), 2, '0') || '0000'"
-    gone = F.expr(f"unhex(array_join(transform(offs, x -> {one}), ''))")
-    return told.select("shard", "u1", "u2", "least", gone.alias("gone"))
+    digits = "lpad(hex(x & 255), 2, '0') || lpad(hex(shiftright(x, 8) & 255), 2, '0') || '0000'"
+    gone = F.expr(f"unhex(array_join(transform(offs, x -> {digits}), ''))")
+    loses = (F.col("high") > F.col("least")) | ((F.col("low") == F.col("least")) & (F.size("offs") > 0))
+    return rows.drop("body").join(told, ["h", "u"]).where(loses).select("shard", "h", "u", "least", gone.alias("gone"))
 
 
 def decisions(packs: DataFrame) -> DataFrame:
-    """``shard, u1, u2, least, gone`` of the passages that some document loses."""
+    """``shard, h, u, least, gone`` of the passages that some document of the shard loses."""
     shared = shared_minimizers(packs)
     size, n_hot = shared.select(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("n_hot"), F.lit(0))).first()
     by_shard = packs.groupBy("shard").cogroup(shared.groupBy("shard"))
@@ -486,20 +486,19 @@ def _apply(left: pa.Table, right: pa.Table) -> pa.Table:
     gone = np.zeros(len(data) + 1, dtype=np.int32)
     if right.num_rows:
         found = passages(data, offsets)
-        u1, u2, least = (right.column(c).to_numpy() for c in ("u1", "u2", "least"))
-        order = np.lexsort((u2, u1))
-        u1, u2, least = u1[order], u2[order], least[order]
-        at = np.searchsorted(u1, found["u1"])
+        h, u, least = (right.column(c).to_numpy() for c in ("h", "u", "least"))
+        order = np.argsort(u, kind="stable")
+        h, u, least = h[order], u[order], least[order]
+        at = np.searchsorted(u, found["u"])
         hit = np.zeros(len(at), dtype=bool)
-        while True:  # past entries that share half of the hash
-            inside = at < len(u1)
-            same = inside & (u1[np.minimum(at, len(u1) - 1)] == found["u1"])
-            equal = same & (u2[np.minimum(at, len(u1) - 1)] == found["u2"])
+        while True:  # past entries that share one of the two hashes
+            here = np.minimum(at, len(u) - 1)
+            same = (at < len(u)) & (u[here] == found["u"])
+            equal = same & (h[here] == found["h"])
             hit |= equal
-            going = same & ~equal
-            if not going.any():
+            if not (same & ~equal).any():
                 break
-            at = at + going
+            at = at + (same & ~equal)
         rows = np.flatnonzero(hit)
         at = at[rows]
         later = docs[found["doc"][rows]] > least[at]
@@ -519,7 +518,7 @@ def _apply(left: pa.Table, right: pa.Table) -> pa.Table:
     total = np.concatenate([[0], np.cumsum(mask)])
     spans = np.concatenate([[0], np.cumsum(rise)])
     removed = total[ends] - total[starts]
-    view = memoryview(row["data"])
+    view = memoryview(data)
     sha = [
         hashlib.sha256(data[a:b][~mask[a:b]].tobytes() if k else view[a:b]).hexdigest()
         for a, b, k in zip(starts.tolist(), ends.tolist(), removed.tolist())
