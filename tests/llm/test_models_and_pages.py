@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -67,12 +68,91 @@ def test_toxicity_without_training_rows(spark, labelled):
     assert toxicity.toxicity(df.limit(0), none).count() == 0
 
 
-def test_kneser_ney_prefers_the_class_that_saw_the_word():
-    data = np.frombuffer(b"idiotplainrare", dtype=np.uint8)
-    starts, ends = np.array([0, 5, 10]), np.array([5, 10, 14])
-    model = toxicity.kneser_ney(data, starts, ends, np.array([40.0, 50.0, 0.0]), np.array([0.0, 500.0, 1.0]))
-    ratio = toxicity.ratios(model, data, starts, ends)
-    assert ratio[0] > 2 and abs(ratio[1]) < 1.5 and ratio[2] < ratio[0]
+def _plain_kneser_ney(texts):
+    """Log ratio of the last byte of a string, by recursion over dictionaries (texts: toxic, words)."""
+    size, own, d = toxicity.ORDER, toxicity.OWN, toxicity.DISCOUNT
+    top = {}
+    for toxic, words in texts:
+        run = b" " * (size - 1) + b" ".join(w.lower().encode() for w in words) + b" "
+        for i in range(size, len(run) + 1):
+            top.setdefault(run[i - size : i], [0, 0])[toxic] += 1
+    top = {g: [c if c >= toxicity.SEEN else 0 for c in n] for g, n in top.items()}
+    counts = {size: top}
+    for k in range(size - 1, own - 1, -1):
+        counts[k] = {}
+        for g, n in counts[k + 1].items():
+            held = counts[k].setdefault(g[1:], [0, 0])
+            for t in (0, 1):
+                held[t] += n[t] > 0
+    types = {own: set(counts[own])}
+    for k in range(own - 1, 0, -1):
+        types[k] = {}
+        for g in types[k + 1]:
+            types[k][g[1:]] = types[k].get(g[1:], 0) + 1
+
+    def shared(g):
+        if not g:
+            return 1 / 256
+        after = [n for x, n in types[len(g)].items() if x[:-1] == g[:-1]]
+        return max(types[len(g)][g] - d, 0) / sum(after) + d * len(after) / sum(after) * shared(g[1:])
+
+    def p(g, t):
+        if len(g) < own:
+            return shared(g)
+        after = [n[t] for x, n in counts[len(g)].items() if x[:-1] == g[:-1]]
+        if not sum(after):
+            return p(g[1:], t)
+        free = d * sum(n > 0 for n in after) / sum(after)
+        return max(counts[len(g)].get(g, [0, 0])[t] - d, 0) / sum(after) + free * p(g[1:], t)
+
+    return lambda g: math.log(p(g, 1)) - math.log(p(g, 0))
+
+
+def test_log_ratios_are_those_of_a_plain_kneser_ney(spark):
+    rnd = random.Random(8)
+    texts = [(0, _prose(rnd, 40)) for _ in range(6)] + [(1, _prose(rnd, 15) + ["scumbag", "scum", "dimwits"] * 2) for _ in range(5)]
+    rows = [(i, t, i % 2, " \n".join(words)) for i, (t, words) in enumerate(texts)]
+    sample = spark.createDataFrame(rows, "doc_id long, toxic int, fold int, text string")
+    model = toxicity.fit(sample)[0]
+    plain = _plain_kneser_ney(texts)
+    asked = "scumbag the SCUMBAGS xcumbag ofing dimwit andthe".lower().encode()
+    grams = toxicity.running(np.frombuffer(asked, np.uint8), np.array([0, len(asked)]))[0]
+    padded = b" " * (toxicity.ORDER - 1) + asked + b" "
+    wanted = []
+    for i in range(len(asked) + 1):
+        g = padded[i : i + toxicity.ORDER]
+        try:
+            wanted.append(plain(g))
+        except KeyError:  # ends in a byte pair that no text holds: alike for both classes
+            wanted.append(None)
+    got = toxicity.ratios(model, grams)
+    near = [abs(a - b) for a, b in zip(got, wanted) if b is not None]
+    assert len(near) > 30 and max(near) < 1e-4
+
+
+def _word_ratio(model, word):
+    data = np.frombuffer(word.encode(), np.uint8)
+    return toxicity.ratios(model, toxicity.running(data, np.array([0, len(data)]))[0]).sum()
+
+
+def test_a_misspelt_toxic_word_outweighs_a_misspelt_ordinary_one(spark, labelled):
+    docs, labels = labelled
+    truth = dict(labels)
+    rows = [(i, truth[i], i % 2, text) for i, text in docs[:300] if truth.get(i) is not None and text]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, toxic int, fold int, text string"))[0]
+    assert _word_ratio(model, "scumbag") > 10
+    for wrong, plain in (("xcumbag", "xnding"), ("scumbog", "andong"), ("sscumbag", "aanding")):
+        assert _word_ratio(model, wrong) > _word_ratio(model, plain) + 1
+
+
+def test_the_model_on_the_driver_is_bounded(spark, labelled, monkeypatch):
+    """Ten times the text in each document, with new words, leaves tables of the same size."""
+    monkeypatch.setattr(toxicity, "MODEL_ROWS", 300)
+    rnd = random.Random(2)
+    for times in (1, 10):
+        rows = [(i, i % 2, i // 2 % 2, " ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(30 * times))) for i in range(20)]
+        for model in toxicity.fit(spark.createDataFrame(rows, "doc_id long, toxic int, fold int, text string")):
+            assert [len(x) for x in model] == [300] * 4
 
 
 # ---------------------------------------------------------------- LM scoring
