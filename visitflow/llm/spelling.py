@@ -45,11 +45,10 @@ SPOIL = 31
 DIMS = 32  # letters share counts modulo this: one edit still moves two of them at most
 LEAF = 20_000  # words of one leaf of the upper tree
 SAMPLE = 200_000  # words that place the upper tree's cuts
-BUCKET = 48  # words of a bucket inside a leaf
+BUCKET = 32  # words of a bucket inside a leaf
 PARTS = 8  # parts of a leaf's queries
 FLUSH = 500_000  # distinct runs held before they are handed on
 
-_RUN = re.compile("[A-Za-zÀ-ÿ]+")
 _TO_LOWER = str.maketrans(UPPER, LOWER)
 
 
@@ -59,9 +58,9 @@ _TO_LOWER = str.maketrans(UPPER, LOWER)
 def doc_words(doc_id: str, text: str, min_chars: int = MIN_CHARS) -> Counter:
     """The words of one text with their counts."""
     runs: Counter = Counter()
-    for run, n in Counter(_RUN.findall(text)).items():
-        if len(run) >= min_chars:
-            runs[run.translate(_TO_LOWER)] += n
+    # a run of at least so many letters is found whole, a shorter one not at all
+    for run, n in Counter(re.findall(f"[A-Za-z\u00c0-\u00ff]{{{min_chars},}}", text)).items():
+        runs[run.lower() if run.isascii() else run.translate(_TO_LOWER)] += n
     found: Counter = Counter()
     for run, n in runs.items():
         h = zlib.crc32(f"{doc_id}:{run}".encode())
@@ -119,6 +118,12 @@ def vectors(points: np.ndarray) -> np.ndarray:
     return np.minimum(found, 120).astype(np.int8)
 
 
+def codes(v: np.ndarray) -> np.ndarray:
+    """Counts up to two, two bits each: unequal bits are the L1 distance of the counts so cut, a lower bound of the distance."""
+    once = np.uint64(1) << np.arange(DIMS, dtype=np.uint64)
+    return ((v > 0) @ once) | (((v > 1) @ once) << np.uint64(DIMS))
+
+
 def _best_cut(v: np.ndarray) -> tuple[int, int] | None:
     """Dimension and value: points at or above the value go right; the most even cut."""
     n, best, cut = len(v), 0, None
@@ -200,32 +205,28 @@ def near_in_leaf(points: list[str], queries: list[str]):
     pv, qv = vectors(p), vectors(q)
     pl, ql = np.full(len(p), len(points[0])), np.array([len(w) for w in queries])
     radius = np.where(ql == len(points[0]), 2, 1)
-    # one bit per letter class: two of them differ at most
-    bits = np.uint32(1) << np.arange(DIMS, dtype=np.uint32)
-    p_bits, q_bits = ((x > 0) @ bits.astype(np.uint64) for x in (pv, qv))
-    q_groups = _buckets(qv, np.arange(len(q)))
-    p_groups = _buckets(pv, np.arange(len(p)))
-    p_low = np.array([pv[g].min(axis=0) for g in p_groups])
-    p_high = np.array([pv[g].max(axis=0) for g in p_groups])
-    of_q, of_p = [], []
-    for g in q_groups:
-        low, high, far = qv[g].min(axis=0), qv[g].max(axis=0), radius[g].max()
-        # box against box, then each query against the boxes that are left
-        away = (np.maximum(p_low - high, 0) + np.maximum(low - p_high, 0)).sum(axis=1, dtype=np.int32)
-        near = np.flatnonzero(away <= far)
-        if not len(near):
-            continue
-        members = np.concatenate([p_groups[k] for k in near])
-        some = np.bitwise_count(q_bits[g][:, None] ^ p_bits[members][None, :]) <= 2
-        i, j = np.nonzero(some)
-        i, j = g[i], members[j]
-        close = np.abs(qv[i] - pv[j]).sum(axis=1, dtype=np.int32) <= radius[i]
-        i, j = i[close], j[close]
+    p_code, q_code = codes(pv), codes(qv)
+    groups = _buckets(pv, np.arange(len(p)))
+    members = np.full((len(groups), BUCKET), -1)
+    for k, group in enumerate(groups):
+        members[k, : len(group)] = group
+    held = members >= 0
+    # the box of a bucket, in the same code: what all its members hold, and what any of them holds
+    low = np.bitwise_and.reduce(np.where(held, p_code[members], ~np.uint64(0)), axis=1)
+    high = np.bitwise_or.reduce(np.where(held, p_code[members], np.uint64(0)), axis=1)
+    of_q, of_p = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at in range(0, len(q), 256):
+        code, far = q_code[at : at + 256, None], radius[at : at + 256, None]
+        away = np.bitwise_count(low & ~code) + np.bitwise_count(code & ~high)
+        i, box = np.nonzero(away <= far)
+        close = (np.bitwise_count(p_code[members[box]] ^ code[i]) <= far[i]) & held[box]
+        k, place = np.nonzero(close)
+        i, j = at + i[k], members[box[k], place]
+        exact = np.abs(qv[i] - pv[j]).sum(axis=1, dtype=np.int32) <= radius[i]
+        i, j = i[exact], j[exact]
         good = one_edit(q[i], ql[i], p[j], pl[j])
         of_q.append(i[good])
         of_p.append(j[good])
-    if not of_q:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(of_q), np.concatenate(of_p)
 
 
