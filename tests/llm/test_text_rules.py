@@ -202,3 +202,11 @@ def test_empty_table_and_clashing_columns(spark, docs, apply):
         assert apply(clashing(docs)).count() == len(ROWS)
     else:
         assert set(apply(clashing(docs)).columns) == set(clashing(docs).columns)
+
+
+def test_documents_without_ids_meet_their_targets(spark):
+    """Rows without an id draw by their text, not all alike."""
+    rows = [(None, f"{s} {i} " + "w " * 8, s) for s in ("a", "b") for i in range(300)]
+    plan = mixing.mixing_plan(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    per = plan.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"))
+    assert all(abs(r.taken - r.target) <= 0.15 * r.target for r in per.collect())

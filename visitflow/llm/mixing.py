@@ -66,9 +66,10 @@ def source_targets(sizes: DataFrame, cycle=CYCLE, max_rate: int = MAX_RATE) -> D
     )
 
 
-def draw(doc_id: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) that depends on the seed and the id alone."""
-    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+def draw(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) that depends on the seed and the id alone, or without an id on the text."""
+    of_text = F.concat(F.lit("null:"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), of_text)))
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
 
 
@@ -84,7 +85,7 @@ def mixing_plan(documents: DataFrame, cycle=CYCLE, max_rate: int = MAX_RATE, see
     targets = targets.withColumnRenamed("source", "_mix_source")
     joined = sized.join(targets, F.col("source").eqNullSafe(F.col("_mix_source")), "left").drop("_mix_source")
     whole = F.floor("rate")
-    extra = (draw(F.col("doc_id"), seed) < F.col("rate") - whole).cast("long")
+    extra = (draw(F.col("doc_id"), F.col("text"), seed) < F.col("rate") - whole).cast("long")
     return joined.withColumn("copies", whole + extra)
 
 
@@ -103,7 +104,7 @@ def query(documents: DataFrame) -> DataFrame:
 
 ORACLE = r"""
 WITH sized AS (
-  SELECT doc_id, source,
+  SELECT doc_id, text, source,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents),
 per AS (
@@ -124,7 +125,7 @@ r AS (
   SELECT *, CASE WHEN source_size > 0 THEN least(3.0::DOUBLE, target / source_size::DOUBLE) ELSE 0 END AS rate FROM tgt),
 d AS (
   SELECT s.doc_id, s.size, r.source_size, r.target, r.rate,
-         ('0x' || substr(md5('mix-1:' || coalesce(CAST(s.doc_id AS VARCHAR), 'null')), 1, 12))::BIGINT::DOUBLE / 281474976710656.0::DOUBLE AS draw
+         ('0x' || substr(md5('mix-1:' || coalesce(CAST(s.doc_id AS VARCHAR), 'null:' || md5(coalesce(s.text, '')))), 1, 12))::BIGINT::DOUBLE / 281474976710656.0::DOUBLE AS draw
   FROM sized s JOIN r ON s.source IS NOT DISTINCT FROM r.source)
 SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
        CAST(size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
