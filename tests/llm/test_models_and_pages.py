@@ -380,3 +380,33 @@ def test_pipeline_stages(spark):
     assert ids[5] <= ids[4]
     again = corpus_pipeline.run(spark, SMALL)
     assert sorted(map(str, again.collect())) == sorted(map(str, seen[-1].collect()))
+
+
+def test_names_inside_a_region_do_not_cut_the_article(spark):
+    page = (
+        '<body><div class="site-header">S</div><article><div class="article-header"><h1>Title</h1></div><p>Body one.</p>'
+        '<section id="related-work"><p>Rel</p></section><h2 id="search-methods">Find</h2><p class="notice-board">Note</p>'
+        '<div class="share-buttons">x</div><div class="comments">c</div><aside>a</aside><p>End.</p></article></body>'
+    )
+    rows = spark.createDataFrame([(1, "http://a.org/1", page)], "page_id long, url string, html string")
+    assert html_text.query(rows).first().text == "Title\nBody one.\nRel\nFind\nNote\nEnd."
+
+
+def test_very_deep_and_very_wide_pages(spark):
+    deep = "<article>" + "<div>" * 100_000 + "<p>x</p><nav>menu</nav>y" + "</div>" * 100_000 + "<p>z</p></article>"
+    wide = "<body>" + "<p>a</p><h2>b</h2>" * 20_000 + "</body>"
+    other = "<body>" + "<h2>b</h2><p>a</p><ul><li>c</li></ul>" * 15_000 + "</body>"
+    rows = [(1, "http://a.org/1", deep), (2, "http://b.org/2", wide), (3, "http://b.org/3", other), (4, "http://a.org/4", "<div>" * 1500 + "t")]
+    got = {r.page_id: r for r in html_text.query(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1].text == "x\ny\nz" and got[4].text == "t"
+    assert got[2].n_chars > 0 and got[3].n_chars > 0
+
+
+def test_greedy_alignment_is_a_common_subsequence(monkeypatch):
+    rnd = random.Random(1)
+    monkeypatch.setattr(html_text, "CELLS", 10)
+    for _ in range(50):
+        a, b = ([rnd.choice("pqrs") for _ in range(rnd.randrange(12))] for _ in range(2))
+        pairs = html_text._matches(a, b)
+        assert all(a[i] == b[j] for i, j in pairs) and pairs == sorted(set(pairs))
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))

@@ -19,12 +19,15 @@ as constant go too.
 
 Defined results: null or empty html has an empty text; a page without its
 host's region uses its own; a null or odd url belongs to host ''; unclosed
-elements end with their parent; repeated rows are extracted one by one; an
+elements end with their parent; elements nested deeper than ``DEPTH`` are blocks
+of the element at that depth; long lists of children that differ in more than
+``CELLS`` places are aligned greedily, in bounded memory; repeated rows are extracted one by one; an
 empty table gives an empty result; only ``page_id, url, html`` are used.
 """
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import json
 import re
@@ -59,6 +62,14 @@ CHROME_NAMES = frozenset(
     "header masthead topbar footer bottombar copyright notice notices alert cookie cookies consent gdpr popup modal overlay "
     "share sharing social related recommended newsletter subscribe signup login search form skip".split()
 )
+# The names that also inside a main region make chrome as a part of a longer name.
+STRONG_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion comment comments "
+    "commentlist replies disqus cookie cookies consent gdpr popup share sharing social newsletter subscribe".split()
+)
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th blockquote pre".split())
+CELLS = 1 << 20  # of the table that aligns two lists of children
+DEPTH = 200  # elements nested deeper are blocks of the element at this depth
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
     re.S,
@@ -68,23 +79,38 @@ NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 SPLIT = re.compile(r"[^a-z]+")
 
 
-def kind(tag: str, attributes: str) -> tuple[str, bool]:
-    """An element's name in the wrapper, and whether it is chrome."""
+def kind(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
+    """An element's name in the wrapper, and whether it is chrome.
+
+    Chrome is hidden or chrome by its tag, or by its names: outside a main region
+    by any part of them; inside one (``inside``) by a whole name, or by a part that
+    names adverts, sharing or comments unless the element is a text block.  A whole
+    page or region is not chrome by its layout classes.
+    """
     if not attributes.strip(" /"):
         return tag, tag in CHROME or tag in HIDDEN
-    names = sorted({w for m in NAMES.finditer(attributes) for w in SPLIT.split((m[1] or m[2] or m[3] or "").lower()) if w})
-    # hidden or chrome by tag, or by a part of its names; a whole page or region is not chrome by its layout classes
-    chrome = tag in CHROME or tag in HIDDEN or (tag not in ("html", "body", "main") and not CHROME_NAMES.isdisjoint(names))
+    whole = {w for m in NAMES.finditer(attributes) for w in (m[1] or m[2] or m[3] or "").lower().split()}
+    names = sorted({part for w in whole for part in SPLIT.split(w) if part})
+    if tag in CHROME or tag in HIDDEN:
+        chrome = True
+    elif tag in ("html", "body", "main"):
+        chrome = False
+    elif inside:
+        chrome = not CHROME_NAMES.isdisjoint(whole) or tag not in TEXT_TAGS and not STRONG_NAMES.isdisjoint(names)
+    else:
+        chrome = not CHROME_NAMES.isdisjoint(names)
     return ".".join([tag, *names]), chrome
 
 
 class Element:
-    __slots__ = ("name", "chrome", "children", "parent", "region")
+    __slots__ = ("name", "chrome", "children", "parent", "region", "depth", "inside", "open")
 
-    def __init__(self, name, chrome, parent):
-        self.name, self.chrome, self.parent = name, chrome, parent
+    def __init__(self, name, chrome, parent, region=False):
+        self.name, self.chrome, self.parent, self.region = name, chrome, parent, region
         self.children: list[Element | str] = []
-        self.region = False
+        self.depth = 0 if parent is None else parent.depth + 1
+        self.inside = region or parent is not None and parent.inside  # in or under a main region
+        self.open: dict[str, int] = {}  # deeper elements that count as blocks of this one
 
 
 def parse(page: str) -> Element:
@@ -103,6 +129,10 @@ def parse(page: str) -> Element:
         if not tag:
             continue
         if m[1]:
+            if node.open.get(tag):
+                node.open[tag] -= 1
+                node.children.append(Element("hr", False, node))
+                continue
             up = node
             while up is not None and up.name.partition(".")[0] != tag:
                 up = up.parent
@@ -116,7 +146,7 @@ def parse(page: str) -> Element:
             node.children.append(" ")
         if tag in VOID and tag != "hr":
             continue
-        name, chrome = kind(tag, m[3])
+        name, chrome = kind(tag, m[3], node.inside)
         if tag not in BLOCK and not chrome:
             continue
         if m[3].endswith("/") and tag not in BLOCK:
@@ -124,8 +154,11 @@ def parse(page: str) -> Element:
         own = node.name.partition(".")[0]
         if tag in BLOCK and own in CLOSED_BY_BLOCK or tag in SAME_CLOSES and own == tag:
             node = node.parent
-        child = Element(name, chrome, node)
-        child.region = tag in REGION and not chrome
+        if node.depth >= DEPTH and not (chrome and not node.chrome) and tag != "hr":
+            node.open[tag] = node.open.get(tag, 0) + 1
+            node.children.append(Element("hr", False, node))
+            continue
+        child = Element(name, chrome, node, region=tag in REGION and not chrome)
         node.children.append(child)
         if tag != "hr":
             node = child
@@ -206,30 +239,66 @@ def fold(a: list, b: list) -> list:
     return [a[0], a[1] + b[1], a[2] + b[2], a[3] if a[3] == b[3] else None, a[4] or b[4], a[5] or b[5], children]
 
 
-def _align(a: list[list], b: list[list]) -> list[list]:
-    if [x[0] for x in a] == [y[0] for y in b]:
-        return [fold(x, y) for x, y in zip(a, b)]
+def _matches(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Pairs of places of a common subsequence: the longest, or beyond ``CELLS`` the earliest matches in turn."""
     n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
+    start = 0
+    while start < min(n, m) and a[start] == b[start]:
+        start += 1
+    end = 0
+    while end < min(n, m) - start and a[n - 1 - end] == b[m - 1 - end]:
+        end += 1
+    found = [(k, k) for k in range(start)]
+    x, y = a[start : n - end], b[start : m - end]
+    if len(x) * len(y) > CELLS:
+        places: dict[str, list[int]] = {}
+        for j, name in enumerate(y):
+            places.setdefault(name, []).append(j)
+        after = 0
+        for i, name in enumerate(x):
+            of = places.get(name, [])
+            k = bisect.bisect_left(of, after)
+            if k < len(of):
+                found.append((start + i, start + of[k]))
+                after = of[k] + 1
+    else:
+        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i in range(len(x) - 1, -1, -1):
+            for j in range(len(y) - 1, -1, -1):
+                best[i][j] = best[i + 1][j + 1] + 1 if x[i] == y[j] else max(best[i + 1][j], best[i][j + 1])
+        i = j = 0
+        while i < len(x) and j < len(y):
+            if x[i] == y[j]:
+                found.append((start + i, start + j))
+                i, j = i + 1, j + 1
+            elif best[i + 1][j] >= best[i][j + 1]:
+                i += 1
+            else:
+                j += 1
+    return found + [(n - k, m - k) for k in range(end, 0, -1)]
+
+
+def _align(a: list[list], b: list[list]) -> list[list]:
     out: list[list] = []
-    i = j = 0
-    while i < n or j < m:
-        if i < n and j < m and a[i][0] == b[j][0]:
-            new = fold(a[i], b[j])
-            i, j = i + 1, j + 1
-        elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
-            new, i = [*a[i][:5], True, a[i][6]], i + 1
-        else:
-            new, j = [*b[j][:5], True, b[j][6]], j + 1
+
+    def add(new: list) -> None:
         if out and out[-1][0] == new[0]:
             new = fold(out[-1], new)
             new[4] = True
             out[-1] = new
         else:
             out.append(new)
+
+    pairs = _matches([x[0] for x in a], [y[0] for y in b])
+    if len(pairs) == len(a) == len(b):
+        return [fold(x, y) for x, y in zip(a, b)]
+    i = j = 0
+    for p, q in [*pairs, (len(a), len(b))]:
+        for x in a[i:p] + b[j:q]:
+            add([*x[:5], True, x[6]])
+        if p < len(a):
+            add(fold(a[p], b[q]))
+        i, j = p + 1, q + 1
     return out
 
 
