@@ -48,7 +48,7 @@ def _sets(rows):
     return found
 
 
-def _brute(rows):
+def _brute(rows, percent=75):
     sets = _sets([r for r in rows if r[0] is not None])
     parent = {i: i for i in sets}
 
@@ -60,7 +60,7 @@ def _brute(rows):
     ids = sorted(sets)
     for a in ids:
         for b in ids:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), find(i)) for i in ids}
@@ -177,3 +177,11 @@ def test_multi_index_misses_none_within_the_radius(spark):
         blocks = [((x >> 8 * k) ^ (y >> 8 * k)) & 255 for k in range(8)]
         if bin(x ^ y).count("1") <= decontaminate.RADIUS:
             assert any(d in near for d in blocks)
+
+
+@pytest.mark.parametrize("percent", [50, 60, 90])
+def test_no_link_is_lost_at_other_similarities(spark, percent):
+    rows = _corpus(3)
+    exp = _brute(rows, percent)
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, SCHEMA), percent).where("doc_id is not null").collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == exp

@@ -151,7 +151,7 @@ def _texts(documents: DataFrame) -> DataFrame:
 TOKENS = "token long, salt int, owner long, n int, m int"
 
 
-def _emitter(heavy, limit: int):
+def _emitter(heavy, limit: int, percent: int):
     """Per text the shingles that its prefix may hold: hash under the limit, or the first p + 1; heavy ones last.
 
     ``owner`` is the set's hash, ``n`` its size, ``m`` its plain shingles under the limit.
@@ -173,7 +173,7 @@ def _emitter(heavy, limit: int):
                 values = np.sort(found.view(np.int64))
                 is_hot = hot[np.minimum(np.searchsorted(hot, values), len(hot) - 1)] == values if len(hot) else np.zeros(len(values), bool)
                 plain, last = values[~is_hot], values[is_hot]
-                need = prefix_length(len(values)) + 1
+                need = prefix_length(len(values), percent) + 1
                 under = int(np.searchsorted(plain, limit, side="right" if limit == 2**63 - 1 else "left"))
                 plain = plain[: max(need, under)]
                 last = last[: max(0, need - len(plain))]
@@ -236,7 +236,7 @@ def _shared(batches):
         yield from flush(held, True)
 
 
-def listed(texts: DataFrame, heavy: np.ndarray, cut: float, name: str) -> DataFrame:
+def listed(texts: DataFrame, heavy: np.ndarray, cut: float, name: str, percent: int = PERCENT) -> DataFrame:
     """The shingles under the cut that two or more of the ``texts`` share, with their ``place`` in the order.
 
     ``place`` is the rank of the shingle in its set, for those beyond the cut and
@@ -244,7 +244,7 @@ def listed(texts: DataFrame, heavy: np.ndarray, cut: float, name: str) -> DataFr
     """
     limit = _limit(cut)
     hot = texts.sparkSession.sparkContext.broadcast(heavy)
-    rows = texts.select("text").mapInArrow(_emitter(hot, limit), TOKENS)
+    rows = texts.select("text").mapInArrow(_emitter(hot, limit, percent), TOKENS)
     rows = rows.repartition("token", "salt").sortWithinPartitions("token", "salt", "owner")
     rows = rows.mapInArrow(_shared, TOKENS + ", count long")
     under = (F.col("salt") == 0) & (F.col("token") <= limit if cut >= 1 else F.col("token") < limit)
@@ -256,12 +256,12 @@ def listed(texts: DataFrame, heavy: np.ndarray, cut: float, name: str) -> DataFr
     return written(rows.withColumn("place", place.cast("int")), name)
 
 
-def in_prefix(extra: int = 0) -> Column:
-    p = F.col("n") + F.floor(-F.col("n") * PERCENT / 100) + 1
+def in_prefix(extra: int = 0, percent: int = PERCENT) -> Column:
+    p = F.col("n") + F.floor(-F.col("n") * percent / 100) + 1
     return (F.col("place") <= p + extra) | (F.col("salt") > 0)
 
 
-def boundary(rows: DataFrame) -> int:
+def boundary(rows: DataFrame, percent: int = PERCENT) -> int:
     """The largest set size for which posting two-element subsets costs no more than inverted lists.
 
     Subsets of a prefix of p + 1 cost p * (p + 1) / 2 rows; p list entries cost one
@@ -271,19 +271,19 @@ def boundary(rows: DataFrame) -> int:
     typical = rows.where("salt = 0").agg(F.percentile_approx("count", 0.5).alias("c")).collect()[0]["c"] or 0
     entry = 1 + min(typical, STAR_ROUNDS + 1)
     size = 0
-    while (prefix_length(size + 1) + 1) / 2 <= entry:
+    while (prefix_length(size + 1, percent) + 1) / 2 <= entry:
         size += 1
     return size
 
 
-def postings(texts: DataFrame, nodes: DataFrame, heavy: np.ndarray) -> DataFrame:
+def postings(texts: DataFrame, nodes: DataFrame, heavy: np.ndarray, percent: int = PERCENT) -> DataFrame:
     """``key, salt, node, n, place`` of the ``texts``, with all their shingles counted among them."""
-    rows = listed(texts, heavy, 1.0, "shingle-lists")
-    small = boundary(rows)
-    single = rows.where((100 * F.col("n") >= PERCENT * (small + 1)) & in_prefix()).select(
+    rows = listed(texts, heavy, 1.0, "shingle-lists", percent)
+    small = boundary(rows, percent)
+    single = rows.where((100 * F.col("n") >= percent * (small + 1)) & in_prefix(0, percent)).select(
         "owner", F.col("token").alias("key"), "salt", "n", "place"
     )
-    chosen = rows.where((F.col("n") <= small) & in_prefix(1))
+    chosen = rows.where((F.col("n") <= small) & in_prefix(1, percent))
     first = chosen.groupBy("owner", "n").agg(F.sort_array(F.collect_set(F.struct("token", "salt"))).alias("t"))
     pairs = F.flatten(
         F.transform(
@@ -306,12 +306,12 @@ def postings(texts: DataFrame, nodes: DataFrame, heavy: np.ndarray) -> DataFrame
 # ------------------------------------------------------------ candidates
 
 
-def _possible(n1, n2, place1, place2):
+def _possible(n1, n2, place1, place2, percent: int):
     """Whether sets of these sizes that first meet at these places can still reach the similarity (numpy)."""
     n1, n2 = n1.astype(np.int64), n2.astype(np.int64)
-    alike = 100 * np.minimum(n1, n2) >= PERCENT * np.maximum(n1, n2)
+    alike = 100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)
     most = 1 + np.minimum(n1 - place1, n2 - place2)
-    return alike & ((100 + PERCENT) * most >= PERCENT * (n1 + n2))
+    return alike & ((100 + percent) * most >= percent * (n1 + n2))
 
 
 def _lists(batches):
@@ -344,36 +344,44 @@ def _pair_batch(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, i])) for i in (0, 1)], ["a", "b"])
 
 
-def _star(batches):
+def _star(percent: int):
     """Each member of a list with the list's first row (its center), if in another component."""
-    a, b, held = [], [], 0
-    for x in _lists(batches):
-        ok = (x["comp"] != x["comp"][0]) & _possible(x["n"], x["n"][0], x["place"], x["place"][0])
-        a.append(x["node"][ok])
-        b.append(np.full(int(ok.sum()), x["node"][0]))
-        held += len(a[-1])
-        if held >= 200_000:
-            yield _pair_batch(a, b)
-            a, b, held = [], [], 0
-    if held:
-        yield _pair_batch(a, b)
-
 
-def _rest(batches):
-    """All pairs of a list's members that are in different components and can reach the similarity."""
-    a, b, held = [], [], 0
-    for x in _lists(batches):
-        for i in range(len(x["node"]) - 1):
-            y = slice(i + 1, None)
-            ok = (x["comp"][y] != x["comp"][i]) & _possible(x["n"][y], x["n"][i], x["place"][y], x["place"][i])
-            a.append(x["node"][y][ok])
-            b.append(np.full(int(ok.sum()), x["node"][i]))
+    def star(batches):
+        a, b, held = [], [], 0
+        for x in _lists(batches):
+            ok = (x["comp"] != x["comp"][0]) & _possible(x["n"], x["n"][0], x["place"], x["place"][0], percent)
+            a.append(x["node"][ok])
+            b.append(np.full(int(ok.sum()), x["node"][0]))
             held += len(a[-1])
             if held >= 200_000:
                 yield _pair_batch(a, b)
                 a, b, held = [], [], 0
-    if held:
-        yield _pair_batch(a, b)
+        if held:
+            yield _pair_batch(a, b)
+
+    return star
+
+
+def _rest(percent: int):
+    """All pairs of a list's members that are in different components and can reach the similarity."""
+
+    def rest(batches):
+        a, b, held = [], [], 0
+        for x in _lists(batches):
+            for i in range(len(x["node"]) - 1):
+                y = slice(i + 1, None)
+                ok = (x["comp"][y] != x["comp"][i]) & _possible(x["n"][y], x["n"][i], x["place"][y], x["place"][i], percent)
+                a.append(x["node"][y][ok])
+                b.append(np.full(int(ok.sum()), x["node"][i]))
+                held += len(a[-1])
+                if held >= 200_000:
+                    yield _pair_batch(a, b)
+                    a, b, held = [], [], 0
+        if held:
+            yield _pair_batch(a, b)
+
+    return rest
 
 
 def _rank(turn: int) -> Column:
@@ -386,18 +394,18 @@ def _rank(turn: int) -> Column:
     return F.struct(F.col("place"), chance) if turn == 0 else F.struct(chance)
 
 
-def star_pairs(live: DataFrame, turn: int) -> DataFrame:
+def star_pairs(live: DataFrame, turn: int, percent: int = PERCENT) -> DataFrame:
     """Each list member with its list's center, where they are in different components and can link."""
     plain = live.where("salt = 0").repartition("key").sortWithinPartitions("key", _rank(turn))
-    pairs = plain.mapInArrow(_star, "a long, b long")
+    pairs = plain.mapInArrow(_star(percent), "a long, b long")
     # Heavy lists lie in parts; their centers are found with map-side combine, one row per heavy key.
     heavy = live.where("salt > 0")
     center = heavy.groupBy("key").agg(F.min_by(F.struct("node", "n", "place", "comp"), _rank(turn)).alias("c"))
     center = center.select("key", *[F.col(f"c.{c}").alias(f"o_{c}") for c in ("node", "n", "place", "comp")])
-    return pairs.union(_joined(heavy, written(center, f"shingle-centers-{turn}")))
+    return pairs.union(_joined(heavy, written(center, f"shingle-centers-{turn}"), percent))
 
 
-def _joined(members: DataFrame, others: DataFrame) -> DataFrame:
+def _joined(members: DataFrame, others: DataFrame, percent: int) -> DataFrame:
     """Pairs of a key's members and others (``o_...``) in different components that can link.
 
     Both sides are written tables, so that the planner measures them and can
@@ -406,14 +414,14 @@ def _joined(members: DataFrame, others: DataFrame) -> DataFrame:
     most = 1 + F.least(F.col("n") - F.col("place"), F.col("o_n") - F.col("o_place"))
     able = (
         (F.col("comp") != F.col("o_comp"))
-        & (100 * F.least("n", "o_n") >= PERCENT * F.greatest("n", "o_n"))
-        & ((100 + PERCENT) * most >= PERCENT * (F.col("n") + F.col("o_n")))
+        & (100 * F.least("n", "o_n") >= percent * F.greatest("n", "o_n"))
+        & ((100 + percent) * most >= percent * (F.col("n") + F.col("o_n")))
     )
     both = members.join(others.withColumnRenamed("key", "o_key"), (F.col("key") == F.col("o_key")) & able)
     return both.select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b"))
 
 
-def rest_pairs(live: DataFrame) -> DataFrame:
+def rest_pairs(live: DataFrame, percent: int = PERCENT) -> DataFrame:
     """All pairs of a list's members in different components that can link.
 
     In a heavy list most members are in one component; the others are joined
@@ -425,7 +433,7 @@ def rest_pairs(live: DataFrame) -> DataFrame:
     major = by_comp.groupBy("key").agg(F.max_by("comp", F.struct("size", "comp")).alias("major"))
     out = heavy.join(major.withColumnRenamed("key", "m_key"), F.col("key") == F.col("m_key")).where("comp <> major")
     out = out.select("key", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "place", "comp")])
-    return plain.mapInArrow(_rest, "a long, b long").union(_joined(heavy, written(out, "shingle-outside")))
+    return plain.mapInArrow(_rest(percent), "a long, b long").union(_joined(heavy, written(out, "shingle-outside"), percent))
 
 
 # ---------------------------------------------------------- verification
@@ -470,9 +478,9 @@ def links_of(posted: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
     tested = links = None
     for turn in range(STAR_ROUNDS + 1):
         if turn < STAR_ROUNDS:
-            pairs = star_pairs(live, turn)
+            pairs = star_pairs(live, turn, percent)
         else:
-            pairs = rest_pairs(live)
+            pairs = rest_pairs(live, percent)
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -496,11 +504,11 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
     nodes = written(nodes.select(F.col("f1").alias("owner"), "node"), "shingle-nodes")
     whole = _texts(documents).where("doc_id is not null")
     # First pass: which documents have a shared shingle in their prefix at all, from a third of the shingles.
-    first = listed(whole, heavy, FIRST_CUT, "shingle-first").where(in_prefix(1)).select("owner").distinct()
+    first = listed(whole, heavy, FIRST_CUT, "shingle-first", percent).where(in_prefix(1, percent)).select("owner").distinct()
     able = first.join(nodes, "owner").select(F.col("node").alias("doc_id")).distinct()
     texts = written(whole.join(able.hint("merge"), "doc_id", "left_semi"), "shingle-texts")
     # Second pass: the lists of those documents, from all their shingles.
-    links = links_of(postings(texts, nodes, heavy), texts, percent)
+    links = links_of(postings(texts, nodes, heavy, percent), texts, percent)
     least = written(named.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "shingle-equal")
     placed = sets.join(least, ["f1", "f2"], "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     # rows that repeat an id with other texts belong together
