@@ -3,7 +3,7 @@
 Method: the line keys are hashed (128 bit), and the rows ``(hash, document,
 position)`` are range-partitioned by the whole row, with the largest document
 first, so that a line held by a third of all documents spreads over many
-partitions.  Each partition is streamed once for first occurrences; one edge
+partitions.  Each partition, held as columns, is searched for first occurrences; one edge
 row per partition (not per key) tells how the runs continue across partition
 borders.  The result is one compressed keep bitmap for each document that
 loses lines; no text is shuffled until the bitmaps are applied.
