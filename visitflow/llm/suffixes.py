@@ -4,7 +4,8 @@
    other copies go as a whole.  The rest is packed into shards of about
    ``SHARD`` bytes, one Parquet row each.
 2. Each 50-byte window belongs to its minimizer, the smallest hash of its
-   16-byte strings; windows in a row with one minimizer form a passage.  Every
+   24-byte strings; windows in a row with one minimizer form a passage.  About
+   four words long, few of these strings meet by chance.  Every
    shard hands on its minimizers sorted, cut into ranges of hashes; a range is
    merged by binary search of each shard's run in the others', which leaves the
    minimizers that two shards, or two documents of one, have in common.
@@ -41,7 +42,8 @@ from visitflow.llm.common import text_or_empty, written
 from visitflow.llm.vector import BASE, MIX1, MIX2, mix, power_table
 
 SPAN = 50  # bytes of a string that must not repeat
-GRAM = 16  # bytes hashed for a minimizer
+GRAM = 24  # bytes hashed for a minimizer, a multiple of 8
+DROPPED = 16  # bits of a minimizer's hash not kept; equal ones by chance only add candidates
 SHARD = 4 << 20  # bytes of a shard; one longer text is a shard of its own
 BLOCK = 1 << 17  # window starts worked on at once
 LONGEST = 64  # windows of a passage
@@ -68,7 +70,10 @@ def _block_passages(data: np.ndarray, valid: np.ndarray):
     """Passages of a block: start, stop (window starts), minimizer and a hash of the bytes."""
     n = len(valid)
     x = _words(data)
-    gram = mix(x[:-8] * MIX1 + mix(x[8:] * MIX2))
+    wide = len(x) - GRAM + 8
+    gram = np.zeros(wide, dtype=np.uint64)
+    for k in range(GRAM - 8, -1, -8):
+        gram = mix(x[k : k + wide] * MIX1 + gram * MIX2)
     least, width = gram, 1
     wanted = SPAN - GRAM + 1
     while width * 2 <= wanted:
@@ -91,7 +96,7 @@ def _block_passages(data: np.ndarray, valid: np.ndarray):
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
     inverse = power_table(pow(BASE, -1, 1 << 64), len(data) + 1)
     content = mix((sums[stop + SPAN - 1] - sums[start]) * inverse[start] + (stop - start).astype(np.uint64))
-    return start, stop, mix(least[start]), content
+    return start, stop, mix(least[start]) >> np.uint64(DROPPED), content
 
 
 def passages(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
@@ -289,6 +294,17 @@ def _distinct(found: dict, docs: np.ndarray):
     return order, at, np.minimum.reduceat(doc, at), np.maximum.reduceat(doc, at)
 
 
+def _planes(a: np.ndarray) -> bytes:
+    """Sorted hashes, compressed byte by byte: the high bytes of neighbours are mostly equal."""
+    planes = np.ascontiguousarray(a, dtype=np.int64).view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(np.int64).ravel()
+
+
 MINIMIZERS = "range int, shard long, hashes binary, passages binary, many binary"
 
 
@@ -305,7 +321,7 @@ def _minimizers(ranges: int):
                 count = np.diff(np.append(first, len(h)))
                 many = np.minimum.reduceat(low, first) < np.maximum.reduceat(high, first) if len(h) else first > 0
                 h = h[first]
-                place = ((h.view(np.uint64) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
+                place = ((h.view(np.uint64) >> np.uint64(32 - DROPPED)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
                 by = np.lexsort((h, place))
                 h, count, many, place = h[by], count[by], many[by], place[by]
                 used, begin = np.unique(place, return_index=True)
@@ -314,7 +330,7 @@ def _minimizers(ranges: int):
                     [
                         pa.array(used),
                         pa.array(np.full(len(used), row["shard"], np.int64)),
-                        pa.array([_array(h[a:b]) for a, b in zip(begin, ends)], pa.binary()),
+                        pa.array([_planes(h[a:b]) for a, b in zip(begin, ends)], pa.binary()),
                         pa.array([_array(count[a:b], np.int32) for a, b in zip(begin, ends)], pa.binary()),
                         pa.array([_array(many[a:b], np.uint8) for a, b in zip(begin, ends)], pa.binary()),
                     ],
@@ -329,7 +345,7 @@ SHARED = "shard long, hashes binary, hot binary, size long, n_hot long"
 
 def _merge(table: pa.Table) -> pa.Table:
     """One range of hashes: for each shard the minimizers that it shares, and those of too many passages."""
-    runs = [np.frombuffer(x, np.int64) for x in table.column("hashes").to_pylist()]
+    runs = [_from_planes(x) for x in table.column("hashes").to_pylist()]
     counts = [np.frombuffer(x, np.int32) for x in table.column("passages").to_pylist()]
     many = [np.frombuffer(x, np.uint8) > 0 for x in table.column("many").to_pylist()]
     every = np.concatenate(runs)
