@@ -77,6 +77,17 @@ def test_empty_table(spark):
     assert suffixes.query(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_shards_made_of_copies_alone(spark, monkeypatch):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(doc, text) for doc in range(30)] + [(50, text + " and an end of its own"), (0, text)]
+    monkeypatch.setattr(suffixes, "SHARD", 700)  # two texts in a shard
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _got(suffixes.query(docs)) == _brute(rows)
+    packs = suffixes.shards(docs).select("docs", "copies").collect()
+    assert sum(len(p["copies"] or []) for p in packs) == 29
+    assert any(len(p["copies"] or []) == len(p["docs"]) // 8 for p in packs)
+
+
 def test_suffix_array_and_prefixes_match_plain_sorting():
     rnd = random.Random(4)
     strings = [bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(5, 90))) for _ in range(60)] + [b"a" * 80, b"a" * 70, b"a" * 80]

@@ -1,8 +1,9 @@
 """Suffix-array dedup: removes each byte covered by a 50-byte string that also starts in a smaller document.
 
-1. Texts that occur more than once count once, for their smallest document; the
-   other copies go as a whole.  The rest is packed into shards of about
-   ``SHARD`` bytes, one Parquet row each.
+1. The texts are packed where they are read into shards of about ``SHARD``
+   bytes, one Parquet row each.  Texts that occur more than once count once, for
+   their smallest document; the other copies go as a whole: only hashes are
+   shuffled to find them, and each shard is told the places of its copies.
 2. Each 50-byte window belongs to its minimizer, the smallest hash of its
    24-byte strings; windows in a row with one minimizer form a passage.  About
    four words long, few of these strings meet by chance.  Every
@@ -263,18 +264,48 @@ def _keyed(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", doc.alias("doc"), *hashes, F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
 
 
+HEADS = "shard long, at int, doc long, h1 long, h2 long"
+
+
+def _heads(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            docs, h1, h2 = (np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in ("docs", "h1", "h2"))
+            shard = np.full(len(docs), batch.column("shard")[i].as_py(), np.int64)
+            values = [shard, np.arange(len(docs), dtype=np.int32), docs, h1, h2]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], [c.split()[0] for c in HEADS.split(", ")])
+
+
+def copies(packs: DataFrame) -> DataFrame:
+    """``shard, copies``: the places of the texts that a smaller document has too; written."""
+    heads = packs.select("shard", "docs", "h1", "h2").mapInArrow(_heads, HEADS)
+    least = heads.groupBy("h1", "h2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+    found = heads.join(least, ["h1", "h2"]).where("doc > least")
+    return written(found.groupBy("shard").agg(F.collect_list("at").alias("copies")), "suffix-copies")
+
+
 def shards(documents: DataFrame) -> DataFrame:
-    """The texts of ``SPAN`` bytes or more, each once, for its smallest document; written."""
-    keyed = _keyed(documents).where(F.col("n_bytes") >= SPAN)
-    least = keyed.groupBy("h1", "h2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
-    copies = keyed.select("doc", "h1", "h2").join(least, ["h1", "h2"]).where("doc > least").select("doc", "h1", "h2").distinct()
-    texts = keyed.join(written(copies, "suffix-copies"), ["doc", "h1", "h2"], "left_anti").select("doc", "h1", "h2", "text")
-    return written(texts.mapInArrow(_pack, SHARDS), "suffix-shards")
+    """The texts of ``SPAN`` bytes or more in written shards, and the places of copies in each."""
+    texts = _keyed(documents).where(F.col("n_bytes") >= SPAN).select("doc", "h1", "h2", "text")
+    packs = written(texts.mapInArrow(_pack, SHARDS), "suffix-shards")
+    return packs.join(copies(packs), "shard", "left")
+
+
+def _kept(row) -> np.ndarray:
+    keep = np.ones(len(row["docs"]) // 8, dtype=bool)
+    keep[np.array(row["copies"] or [], dtype=np.int64)] = False
+    return keep
 
 
 def _shard(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, offsets and documents of a shard's texts without the copies."""
     data = zstandard.ZstdDecompressor().decompress(row["data"])
-    return np.frombuffer(data, np.uint8), np.frombuffer(row["offsets"], np.int64), np.frombuffer(row["docs"], np.int64)
+    offsets, docs = (np.frombuffer(row[c], np.int64) for c in ("offsets", "docs"))
+    if row["copies"]:
+        keep, view = _kept(row), memoryview(data)
+        data = b"".join(view[a:b] for a, b in zip(offsets[:-1][keep].tolist(), offsets[1:][keep].tolist()))
+        offsets, docs = np.concatenate([[0], np.cumsum(np.diff(offsets)[keep])]), docs[keep]
+    return np.frombuffer(data, np.uint8), offsets, docs
 
 
 def _only(table: pa.Table) -> dict | None:
@@ -312,7 +343,7 @@ def _minimizers(ranges: int):
     def send(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in ("shard", "docs", "offsets", "data")}
+                row = {c: batch.column(c)[i].as_py() for c in ("shard", "docs", "offsets", "data", "copies")}
                 data, offsets, docs = _shard(row)
                 found = passages(data, offsets)
                 order, at, low, high = _distinct(found, docs)
@@ -372,7 +403,7 @@ def shared_minimizers(packs: DataFrame) -> DataFrame:
     size = packs.select(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     tasks = int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(tasks, -(-size // RANGE))
-    sent = packs.select("shard", "docs", "offsets", "data").mapInArrow(_minimizers(ranges), MINIMIZERS)
+    sent = packs.select("shard", "docs", "offsets", "data", "copies").mapInArrow(_minimizers(ranges), MINIMIZERS)
     return written(sent.groupBy("range").applyInArrow(_merge, SHARED), "suffix-minimizers")
 
 
@@ -539,7 +570,7 @@ def _apply(left: pa.Table, right: pa.Table) -> pa.Table:
         hashlib.sha256(data[a:b][~mask[a:b]].tobytes() if k else view[a:b]).hexdigest()
         for a, b, k in zip(starts.tolist(), ends.tolist(), removed.tolist())
     ]
-    h1, h2 = (np.frombuffer(row[c], np.int64) for c in ("h1", "h2"))
+    h1, h2 = (np.frombuffer(row[c], np.int64)[_kept(row)] for c in ("h1", "h2"))
     values = [docs, h1, h2, removed, spans[ends] - spans[starts], sha]
     return pa.table({n: pa.array(v, t) for n, v, t in zip(names, values, kinds)})
 
