@@ -39,6 +39,7 @@ DAMPING = 0.85
 ROUNDS = 12
 THRESHOLD = 0.5
 TOLERANCE = 1e-4
+SQL_ROUNDS = 80  # steps of the SQL form: DAMPING**80 is far below the tolerance
 ADDED = ("host", "path", "rule", "verdict", "trust", "distrust")
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)href\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
@@ -116,8 +117,8 @@ def propagate(
         back = F.lit(0.0)
         for walk, mass in total.items():
             back = F.when(F.col("walk") == walk, F.lit(1 - moved.get(walk, 0.0) / mass)).otherwise(back)
-        rank = step.unionByName(seeds.select("walk", "host", (F.col("seed") * back).alias("rank")))
-        old, rank = rank, rank.groupBy("walk", "host").agg(F.sum("rank").alias("rank")).checkpoint()
+        new = step.unionByName(seeds.select("walk", "host", (F.col("seed") * back).alias("rank")))
+        old, rank = rank, new.groupBy("walk", "host").agg(F.sum("rank").alias("rank")).checkpoint()
         if tolerance is not None:
             change = rank.unionByName(old.withColumn("rank", -F.col("rank"))).groupBy("walk", "host").agg(F.sum("rank").alias("by"))
             by = {r["walk"]: r["s"] for r in change.groupBy("walk").agg(F.sum(F.abs("by")).alias("s")).collect()}
@@ -181,7 +182,7 @@ def query(pages: DataFrame) -> DataFrame:
 
 
 def oracle(rules=RULES, threshold: float = THRESHOLD) -> str:
-    """DuckDB SQL for :func:`query`, with the rounds of both walks written out."""
+    """DuckDB SQL for :func:`query`: both walks as recursive queries of ``SQL_ROUNDS`` steps."""
     link = LINK.replace("'", "''")
     longest_first = sorted(rules, key=lambda r: (len(r[1]), r[0] == "block"), reverse=True)
 
@@ -192,20 +193,8 @@ def oracle(rules=RULES, threshold: float = THRESHOLD) -> str:
     rule = " ".join(f"WHEN {fits(text)} THEN '{text}'" for _, text in longest_first)
     verdict = " ".join(f"WHEN '{text}' THEN '{kind}'" for kind, text in longest_first)
     lower = f"'{UPPER}', '{LOWER}'"
-    rounds = []
-    for k in range(ROUNDS):
-        rounds.append(f"""
-s{k} AS (
-  SELECT r.walk, sh.dst AS host, sum({DAMPING}::DOUBLE * r.rank * sh.share) AS rank
-  FROM r{k} r JOIN sh ON sh.walk = r.walk AND sh.src = r.host GROUP BY ALL),
-b{k} AS (
-  SELECT walk, 1 - coalesce((SELECT sum(rank) FROM s{k} WHERE s{k}.walk = seed.walk), 0) / sum(seed) AS back
-  FROM seed GROUP BY walk),
-r{k + 1} AS (
-  SELECT walk, host, sum(rank) AS rank
-  FROM (SELECT * FROM s{k} UNION ALL SELECT walk, host, seed * back FROM seed JOIN b{k} USING (walk)) GROUP BY ALL)""")
     return rf"""
-WITH p AS (
+WITH RECURSIVE p AS (
   SELECT page_id, html, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), {lower}) AS host,
          coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
 ruled AS (SELECT *, CASE {rule} END AS rule FROM p),
@@ -213,21 +202,29 @@ judged AS (SELECT *, CASE rule {verdict} END AS said FROM ruled),
 hosts AS (
   SELECT host, count(*) FILTER (said = 'allow') / count(*)::DOUBLE AS t, count(*) FILTER (said = 'block') / count(*)::DOUBLE AS d
   FROM judged WHERE host <> '' GROUP BY host),
-seed AS (
-  SELECT 'trust' AS walk, host, t AS seed FROM hosts WHERE t > 0
-  UNION ALL SELECT 'distrust', host, d FROM hosts WHERE d > 0),
 edges AS (
   SELECT src, dst, count(*) AS n
   FROM (SELECT host AS src, translate(unnest(regexp_extract_all(html, '{link}', 1)), {lower}) AS dst FROM p)
   WHERE src <> '' AND src <> dst GROUP BY ALL),
-both_ways AS (
-  SELECT 'trust' AS walk, src, dst, n FROM edges UNION ALL SELECT 'distrust', dst, src, n FROM edges),
-sh AS (SELECT walk, src, dst, n / (sum(n) OVER (PARTITION BY walk, src))::DOUBLE AS share FROM both_ways),
-r0 AS (SELECT walk, host, seed AS rank FROM seed),{",".join(rounds)},
-score AS (
-  SELECT host, coalesce(sum(rank) FILTER (walk = 'distrust'), 0) - coalesce(sum(rank) FILTER (walk = 'trust'), 0) AS bad
-  FROM r{ROUNDS} GROUP BY host)
-SELECT page_id, host, path, rule,
-       coalesce(said, CASE WHEN coalesce(bad, 0) > {threshold} THEN 'block' ELSE 'allow' END) AS verdict
-FROM judged LEFT JOIN score USING (host)
+sh AS MATERIALIZED (SELECT src, dst, n / (sum(n) OVER (PARTITION BY src))::DOUBLE AS share FROM edges),
+node AS MATERIALIZED (
+  SELECT host, coalesce(max(t), 0) AS t, coalesce(max(d), 0) AS d
+  FROM (SELECT host, t, d FROM hosts UNION ALL SELECT src, NULL, NULL FROM edges UNION ALL SELECT dst, NULL, NULL FROM edges)
+  GROUP BY host),
+walk AS (
+  SELECT 0 AS k, host, t AS trust, d AS distrust, t, d FROM node
+  UNION ALL
+  SELECT w.k + 1, w.host, coalesce(i.got, 0) + w.t * coalesce(1 - m.moved / nullif(m.mass, 0), 0),
+         w.d + (1 - w.d) * coalesce(o.met, 0), w.t, w.d
+  FROM walk w
+  LEFT JOIN (SELECT sh.dst, sum({DAMPING}::DOUBLE * x.trust * sh.share) AS got
+             FROM walk x JOIN sh ON sh.src = x.host GROUP BY sh.dst) i ON i.dst = w.host
+  LEFT JOIN (SELECT sh.src, sum({DAMPING}::DOUBLE * x.distrust * sh.share) AS met
+             FROM walk x JOIN sh ON sh.dst = x.host GROUP BY sh.src) o ON o.src = w.host
+  CROSS JOIN (SELECT coalesce(sum({DAMPING}::DOUBLE * x.trust * q.links), 0) AS moved, sum(x.t) AS mass
+              FROM walk x LEFT JOIN (SELECT src, sum(share) AS links FROM sh GROUP BY src) q ON q.src = x.host) m
+  WHERE w.k < {SQL_ROUNDS})
+SELECT page_id, judged.host, path, rule,
+       coalesce(said, CASE WHEN coalesce(distrust - trust, 0) > {threshold} THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged LEFT JOIN (SELECT * FROM walk WHERE k = {SQL_ROUNDS}) w ON w.host = judged.host
 """
