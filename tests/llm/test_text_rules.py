@@ -102,6 +102,23 @@ def test_line_runs_continue_over_partitions(spark):
     assert {r.doc_id for r in got if not r.n_dropped} == {399}
 
 
+@pytest.mark.parametrize("size", [1, 2, 7])
+def test_line_runs_continue_over_batches(spark, size):
+    """Partitions are read in batches: runs of one row, of two documents and of all cross their borders."""
+    rnd = random.Random(size)
+    pool = [f"a sentence number {i} that is long enough" for i in range(40)]
+    rows = [(i, "\n".join(rnd.choice(pool) for _ in range(rnd.randrange(0, 9))), "en", "a", 0) for i in range(80)]
+    rows += [(200 + i, "\n".join(["the same long line in all documents"] * rnd.randrange(1, 4)), "en", "a", 0) for i in range(60)]
+    rows += [(300 + i, "a line that only two documents hold", "en", "a", 0) for i in range(2)]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+    try:
+        got = lines.query(spark.createDataFrame(rows, SCHEMA)).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert collections.Counter(map(tuple, got)) == _line_brute(rows)
+
+
 def test_bitmap_round_trip():
     rnd = random.Random(3)
     for _ in range(50):

@@ -3,9 +3,9 @@
 Method: the line keys are hashed (128 bit), and the rows ``(hash, document,
 position)`` are range-partitioned by the whole row, with the largest document
 first, so that a line held by a third of all documents spreads over many
-partitions.  Each partition, held as columns, is searched for first occurrences; one edge
-row per partition (not per key) tells how the runs continue across partition
-borders.  The result is one compressed keep bitmap for each document that
+partitions.  Each partition is streamed once in that order, batch by batch, for
+first occurrences; one edge row per partition (not per key) tells how the runs
+continue across partition borders.  The result is one compressed keep bitmap for each document that
 loses lines; no text is shuffled until the bitmaps are applied.
 
 The sorted rows are checkpointed, so both passes see the same partitions
@@ -90,37 +90,45 @@ def line_rows(documents: DataFrame, min_chars: int) -> DataFrame:
     return rows.mapInArrow(_line_hashes(min_chars), ROW)
 
 
-def _partition(batches) -> dict[str, np.ndarray]:
-    """The partition's columns; its size is what the range partitioning gives every task."""
-    table = pa.Table.from_batches(list(batches))
-    return {c: table.column(c).to_numpy() for c in table.column_names} if table.num_rows else {}
-
-
-def _runs(part) -> tuple[np.ndarray, np.ndarray]:
-    """Start of each run of one hash, and flags of rows that begin a document in its run."""
+def _runs(batch, last) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, bool]:
+    """The batch's columns, the starts of its runs of one hash, flags of rows that begin a
+    document in their run, and whether the first run goes on from the row ``last``."""
+    part = {c: batch.column(c).to_numpy() for c in ("h1", "h2", "doc")}
     h1, h2, doc = part["h1"], part["h2"], part["doc"]
     first = np.ones(len(h1), dtype=bool)
     first[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
     new_doc = first.copy()
     new_doc[1:] |= doc[1:] != doc[:-1]
-    return np.flatnonzero(first), new_doc
+    goes_on = last is not None and (h1[0], h2[0]) == last[:2]
+    if goes_on and doc[0] == last[2]:
+        new_doc[0] = False
+    return part, np.flatnonzero(first), new_doc, goes_on
 
 
 EDGE = "pid int, head1 long, head2 long, head_first long, head_last long, head_docs long, tail1 long, tail2 long, tail_first long, tail_last long, tail_docs long, whole boolean"
 
 
 def _edges(batches):
-    part = _partition(batches)
-    if not part:
+    """The partition's first and last run: hash, first and last document, documents."""
+    head = run = last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part, starts, new_doc, goes_on = _runs(batch, last)
+        ends = np.append(starts[1:], batch.num_rows)
+        for k in sorted({0, len(starts) - 1}):  # a run between them neither begins nor ends the partition
+            a, b = starts[k], ends[k]
+            docs = int(new_doc[a:b].sum())
+            if k == 0 and goes_on:
+                run[3:] = [int(part["doc"][b - 1]), run[4] + docs]
+                continue
+            if run is not None and head is None:
+                head = run
+            run = [int(part["h1"][a]), int(part["h2"][a]), int(part["doc"][a]), int(part["doc"][b - 1]), docs]
+        last = (part["h1"][-1], part["h2"][-1], part["doc"][-1])
+    if run is None:
         return
-    starts, new_doc = _runs(part)
-    ends = np.append(starts[1:], len(new_doc))
-
-    def side(k):
-        a, b = starts[k], ends[k]
-        return [int(part[c][a]) for c in ("h1", "h2", "doc")] + [int(part["doc"][b - 1]), int(new_doc[a:b].sum())]
-
-    row = [TaskContext.get().partitionId(), *side(0), *side(-1), len(starts) == 1]
+    row = [TaskContext.get().partitionId(), *(head or run), *run, head is None]
     names = [x.split()[0] for x in EDGE.split(", ")]
     types = {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_()}
     kinds = [types[x.split()[1]] for x in EDGE.split(", ")]
@@ -157,23 +165,60 @@ def _continued(edges) -> dict[int, tuple]:
 
 
 def _dropper(borders, min_documents: int):
+    """Emits the lines to drop batch by batch.
+
+    A run's first row holds its keeper.  Rows wait only until their run has
+    ``min_documents`` documents, so what is held is the lines of fewer documents
+    than that, whatever the size of the run or of the partition.
+    """
+
     def drop(batches):
-        part = _partition(batches)
-        if not part:
-            return
-        head_keeper, head_docs, tail_keeper, tail_docs = borders.value[TaskContext.get().partitionId()]
-        starts, new_doc = _runs(part)
-        docs = np.add.reduceat(new_doc.astype(np.int64), starts)
-        keeper = part["doc"][starts]
-        docs[-1], keeper[-1] = tail_docs, tail_keeper
-        docs[0], keeper[0] = head_docs, head_keeper
-        lengths = np.diff(np.append(starts, len(new_doc)))
-        gone = np.repeat(docs >= min_documents, lengths) & (part["doc"] != np.repeat(keeper, lengths))
-        yield pa.RecordBatch.from_arrays([pa.array(part[c][gone]) for c in ("doc", "th", "pos")], ["doc", "th", "pos"])
+        last, keeper, docs, waiting, first_run = None, None, 0, [], True
+        head_keeper = head_docs = tail_docs = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if last is None:
+                head_keeper, head_docs, _, tail_docs = borders.value[TaskContext.get().partitionId()]
+            part, starts, new_doc, goes_on = _runs(batch, last)
+            total = np.add.reduceat(new_doc.astype(np.int64), starts)
+            keepers = part["doc"][starts]
+            if last is None:
+                keepers[0] = head_keeper
+            elif goes_on:
+                total[0] += docs
+                keepers[0] = keeper
+            else:
+                waiting, first_run = [], False
+            if first_run:
+                total[0] = head_docs
+            lengths = np.diff(np.append(starts, batch.num_rows))
+            lost = part["doc"] != np.repeat(keepers, lengths)
+            gone = lost & np.repeat(total >= min_documents, lengths)
+            if total[0] >= min_documents:
+                yield from waiting
+                waiting = []
+            if len(starts) > 1:
+                waiting, first_run = [], False
+            if gone.any():
+                yield _positions(batch, gone)
+            open_run = np.zeros(batch.num_rows, dtype=bool)
+            open_run[starts[-1] :] = total[-1] < min_documents
+            if (lost & open_run).any():
+                waiting.append(_positions(batch, lost & open_run))
+            keeper, docs = keepers[-1], total[-1]
+            last = (part["h1"][-1], part["h2"][-1], part["doc"][-1])
+        if last is not None and tail_docs >= min_documents:
+            yield from waiting
 
     return drop
 
 
+def _positions(batch, rows: np.ndarray):
+    picked = batch.filter(pa.array(rows))
+    return pa.RecordBatch.from_arrays([picked.column(c) for c in ("doc", "th", "pos")], ["doc", "th", "pos"])
+
+
 def pack(positions) -> bytes:
     """Compressed keep bitmap: bit i is 0 if line i goes; lines beyond its end stay."""
     keep = np.ones(int(max(positions)) + 1, dtype=np.uint8)
