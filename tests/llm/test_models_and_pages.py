@@ -188,11 +188,17 @@ def test_context_masks_the_token_and_stays_in_its_text():
     assert around.T.tolist() == [[end, end, 6, 7], [end, 5, 7, end], [5, 6, end, end], [end, end, end, end]]
 
 
-def test_tokens_have_a_proper_distribution():
-    counts = np.random.default_rng(0).integers(0, 50, 1 << lm_score.BUCKET_BITS)
-    of, share = lm_score.class_table(counts)
-    sums = np.bincount(of, weights=np.exp(share), minlength=lm_score.CLASSES)
-    assert np.allclose(sums, 1)
+def test_tokens_have_a_proper_distribution(spark):
+    rnd = random.Random(2)
+    docs = [(i, " ".join(f"w{int(rnd.paretovariate(0.6))}" for _ in range(80))) for i in range(200)]
+    counts = lm_score.word_counts(spark.createDataFrame(docs, DOCS))
+    known = lm_score.vocabulary(counts)
+    rows = counts.collect()
+    keys, n = np.array([r.key for r in rows]), np.array([r.n for r in rows])
+    assert n.sum() == known.total == 200 * 80 and len(rows) == len({w for _, t in docs for w in t.split()})
+    of = known.classes(keys)
+    sums = np.bincount(of, weights=n / np.exp(known.log_size[of]), minlength=lm_score.CLASSES)
+    assert len(np.unique(of)) > lm_score.OWN and np.allclose(sums[np.unique(of)], 1)
     _, logp = lm_score.forward(lm_score.initial(), np.zeros((len(lm_score._OFFSETS), 3), dtype=np.int64))
     assert np.allclose(np.exp(logp).sum(axis=1), 1, atol=1e-4)
 
@@ -207,9 +213,10 @@ def test_lm_scores_are_sums_over_tokens_and_repeat(spark):
     assert got[900].n_tokens == got[901].n_tokens == 0 and got[900].log_likelihood == 0
     assert abs(got[0].log_likelihood - got[902].log_likelihood) < 1e-4  # single-precision sums depend on the batch
     assert got[903].n_tokens == 50_000
-    of, share = lm_score.class_table(lm_score.bucket_counts(df))
-    weights = lm_score.trained(df, of)
-    n, total = lm_score.log_likelihood(weights, of, share, pa.array([t for _, t in docs]))
+    known = lm_score.vocabulary(lm_score.word_counts(df))
+    weights = lm_score.trained(df, known)
+    n, total, rare = lm_score.parts(weights, known, pa.array([t for _, t in docs]))
+    assert len(known.keys) == 5 and not any(len(x) for x in rare)  # so few words are all frequent
     for (i, _), a, b in zip(docs, n, total):
         assert got[i].n_tokens == a and abs(got[i].log_likelihood - b) < 1e-5 * max(1, abs(b))
     assert lm_score.lm_scores(df.limit(0)).count() == 0
