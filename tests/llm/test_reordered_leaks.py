@@ -41,6 +41,10 @@ def test_swapped_sentences_match_every_position(spark):
     got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.query(df, bench).collect()}
     assert len(want) > 20 and got.keys() == want.keys()
     assert all(abs(got[k] - v) < 1e-9 for k, v in want.items())
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    con.register("benchmark", bench.toPandas())
+    assert {tuple(r) for r in con.sql(decontaminate.ORACLE).fetchall()} == {tuple(r) for r in decontaminate.query(df, bench).collect()}
 
 
 def test_given_tables_give_the_results_of_the_sql(spark):

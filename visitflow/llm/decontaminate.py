@@ -207,7 +207,7 @@ def query(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-# Every aligned window against every item of its size, without fingerprints.
+# Every window that holds a shared shingle against every item of its size, without fingerprints.
 ORACLE = r"""
 WITH i AS (
   SELECT item_id, w, len(w) AS size
@@ -221,12 +221,17 @@ d AS (
 dsh AS (
   SELECT doc_id, n, pos - 1 AS pos, array_to_string(w[pos : pos + 4], ' ') AS g
   FROM (SELECT *, unnest(range(1, n - 3)) AS pos FROM d)),
+fit AS (
+  SELECT DISTINCT doc_id, size, greatest(least(dsh.pos - ish.at, n - size), 0) AS start, 1 AS aligned FROM dsh JOIN ish USING (g)),
+hits AS (
+  SELECT doc_id, n, size, pos, g FROM dsh JOIN (SELECT DISTINCT size, g FROM ish) USING (g)),
+near AS (
+  SELECT doc_id, size FROM hits GROUP BY doc_id, n, size HAVING 175 * count(*) >= 75 * (least(n, size) + size - 8)),
 win AS (
-  SELECT DISTINCT doc_id, n, size, greatest(least(dsh.pos - ish.at, n - size), 0) AS start FROM dsh JOIN ish USING (g)),
-wsh AS (
-  SELECT win.doc_id, win.n, win.size, win.start, dsh.g, count(*) AS c
-  FROM win JOIN dsh ON dsh.doc_id = win.doc_id AND dsh.pos BETWEEN win.start AND win.start + least(win.size, win.n) - 5
-  GROUP BY ALL),
+  SELECT doc_id, n, size, g,
+         unnest(range(greatest(pos - least(n, size) + 5, 0), least(pos, greatest(n - size, 0)) + 1)) AS start
+  FROM hits SEMI JOIN near USING (doc_id, size)),
+wsh AS (SELECT doc_id, n, size, start, g, count(*) AS c FROM win GROUP BY ALL),
 ic AS (SELECT item_id, size, g, count(*) AS c FROM ish GROUP BY ALL),
 k AS (
   SELECT w.doc_id, ic.item_id, w.size, w.start, sum(least(w.c, ic.c)) AS k, least(w.size, w.n) + w.size - 8 AS total
@@ -234,5 +239,6 @@ k AS (
 hit AS (
   SELECT *, k::DOUBLE / (total - k)::DOUBLE AS similarity FROM k WHERE 100 * k >= 75 * (total - k))
 SELECT doc_id, item_id, similarity, CAST(start AS INTEGER) AS start_word, CAST(size AS INTEGER) AS n_words
-FROM hit QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+FROM hit LEFT JOIN fit USING (doc_id, size, start)
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, coalesce(aligned, 0) DESC, start) = 1
 """
