@@ -43,6 +43,7 @@ OWN = 96  # classes of a single word
 CLASSES = OWN + SHAPES
 FREQUENT = 1 << 20
 SHARD = 500_000
+TASKS = 10_000  # of a round, at most: shards are few bytes and much work, so their number is not left to their bytes
 HELD = 1 << 20  # distinct words that a task holds before it passes them on
 HIDDEN = 24
 REACH = 2  # tokens seen on each side
@@ -236,15 +237,18 @@ def _encoder(shared):
     return encode
 
 
+def shard_count(known: Vocabulary) -> int:
+    return max(1, known.total // (ROUNDS * SHARD))
+
+
 def class_rows(documents: DataFrame, known: Vocabulary) -> DataFrame:
     """``turn, shard, hash, classes``: each document's classes, one byte a token, as a written table."""
     shared = documents.sparkSession.sparkContext.broadcast(known)
     text = text_or_empty()
     rows = documents.select(F.xxhash64("doc_id", text).alias("hash"), text.alias("text"))
     rows = rows.mapInArrow(_encoder(shared), "hash long, classes binary").groupBy("hash").agg(F.first("classes").alias("classes"))
-    shards = max(1, known.total // (ROUNDS * SHARD))
     turn = F.pmod("hash", F.lit(ROUNDS)).alias("turn")
-    shard = F.pmod(F.xxhash64("hash"), F.lit(shards)).alias("shard")
+    shard = F.pmod(F.xxhash64("hash"), F.lit(shard_count(known))).alias("shard")
     return written(rows.select(turn, shard, "hash", "classes"), "lm-classes")
 
 
@@ -272,9 +276,10 @@ def trained(documents: DataFrame, known: Vocabulary) -> list[np.ndarray]:
     spark = documents.sparkSession
     weights = initial()
     rows = class_rows(documents, known)
+    tasks = min(shard_count(known), TASKS)
     for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast(weights)
-        part = rows.where(F.col("turn") == turn).groupBy("shard").applyInArrow(_trainer(shared), "place int, value long")
+        part = rows.where(F.col("turn") == turn).repartition(tasks, "shard").groupBy("shard").applyInArrow(_trainer(shared), "place int, value long")
         found = part.groupBy("place").agg(F.sum("value").alias("value"))
         sums = {r["place"]: r["value"] for r in found.collect()}  # one row per weight of the network
         size = sum(w.size for w in weights)
