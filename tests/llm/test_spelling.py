@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from visitflow.llm import spelling
@@ -101,3 +102,29 @@ def test_one_edit_pairs_are_found_in_one_leaf():
     other = sorted({"".join(rnd.choice("abcz") for _ in range(rnd.choice([7, 8, 9]))) for _ in range(300)})
     i, j = spelling.near_in_leaf(words, other)
     assert sorted((other[a], words[b]) for a, b in zip(i, j)) == sorted((a, b) for a in other for b in words if _near(a, b))
+
+
+def test_a_leaf_tests_few_boxes(monkeypatch):
+    """Boxes of neighbouring buckets are tested together, so most are never tested one by one."""
+    rnd = random.Random(4)
+    words = sorted({"".join(rnd.choice("abcdefghijklmnopqrst") for _ in range(9)) for _ in range(6000)})
+    tested, plain = [], spelling._away
+
+    def counted(low, high, code):
+        found = plain(low, high, code)
+        tested.append(found.size)
+        return found
+
+    monkeypatch.setattr(spelling, "_away", counted)
+    i, j = spelling.near_in_leaf(words, words)
+    boxes = len(spelling._buckets(spelling.vectors(spelling.letters(words, 9)), np.arange(len(words))))
+    assert sum(tested) < len(words) * boxes / 2
+    assert all(_near(words[a], words[b]) for a, b in zip(i, j))
+
+
+def test_a_leaf_of_words_that_differ_in_high_counts_alone():
+    words = sorted({"a" * k + "b" * (60 - k) for k in range(4, 57)} | {"a" * k + "c" + "b" * (59 - k) for k in range(4, 56)})
+    other = words[::2] + [w[1:] for w in words[::3]] + [w + "b" for w in words[::5]]
+    assert len(spelling._buckets(spelling.vectors(spelling.letters(words, 60)), np.arange(len(words)))) > 2
+    i, j = spelling.near_in_leaf(words, other)
+    assert sorted((other[a], words[b]) for a, b in zip(i, j)) == sorted((a, b) for a in other for b in words if _near(a, b))

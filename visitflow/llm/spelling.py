@@ -46,6 +46,7 @@ DIMS = 32  # letters share counts modulo this: one edit still moves two of them
 LEAF = 20_000  # words of one leaf of the upper tree
 SAMPLE = 200_000  # words that place the upper tree's cuts
 BUCKET = 32  # words of a bucket inside a leaf
+SPAN = 16  # neighbouring buckets whose boxes are tested as one first
 PARTS = 8  # parts of a leaf's queries
 FLUSH = 500_000  # distinct runs held before they are handed on
 
@@ -165,12 +166,22 @@ class Tree:
             yield np.flatnonzero(away <= radius), leaf
 
 
+def _low_cut(reached: np.ndarray) -> tuple[int, int] | None:
+    """The most even cut at a value of 1 to 3, from the rows that reach these values in each dimension."""
+    right = reached.sum(axis=0, dtype=np.int32)
+    even = np.minimum(right, len(reached) - right)
+    best = int(even.argmax())
+    return (best % DIMS, best // DIMS + 1) if even[best] else None
+
+
 def _buckets(v: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
-    """The leaf's tree goes on down to buckets of at most ``BUCKET`` rows (or of equal vectors)."""
+    """The leaf's tree goes on down to buckets of at most ``BUCKET`` rows (or of equal vectors); neighbours come in a row."""
+    reached = np.concatenate([v >= value for value in (1, 2, 3)], axis=1).view(np.uint8)
     done, open_ = [], [rows]
     while open_:
         part = open_.pop()
-        cut = _best_cut(v[part]) if len(part) > BUCKET else None
+        # nearly all counts are that low; rows that differ in higher ones alone take the search over all values
+        cut = (_low_cut(reached[part]) or _best_cut(v[part])) if len(part) > BUCKET else None
         if cut is None:
             done.extend(part[i : i + BUCKET] for i in range(0, len(part), BUCKET))
         else:
@@ -196,6 +207,11 @@ def one_edit(a: np.ndarray, la: np.ndarray, b: np.ndarray, lb: np.ndarray) -> np
     return found
 
 
+def _away(low: np.ndarray, high: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Lower bound of the distance of a coded vector to a box."""
+    return np.bitwise_count(low & ~code) + np.bitwise_count(code & ~high)
+
+
 def near_in_leaf(points: list[str], queries: list[str]):
     """Pairs (query row, point row) that differ by one edit; the points have one length."""
     if not points or not queries:
@@ -207,18 +223,21 @@ def near_in_leaf(points: list[str], queries: list[str]):
     radius = np.where(ql == len(points[0]), 2, 1)
     p_code, q_code = codes(pv), codes(qv)
     groups = _buckets(pv, np.arange(len(p)))
-    members = np.full((len(groups), BUCKET), -1)
+    members = np.full((-(-len(groups) // SPAN) * SPAN, BUCKET), -1)
     for k, group in enumerate(groups):
         members[k, : len(group)] = group
     held = members >= 0
     # the box of a bucket, in the same code: what all its members hold, and what any of them holds
     low = np.bitwise_and.reduce(np.where(held, p_code[members], ~np.uint64(0)), axis=1)
     high = np.bitwise_or.reduce(np.where(held, p_code[members], np.uint64(0)), axis=1)
+    low, high = low.reshape(-1, SPAN), high.reshape(-1, SPAN)
+    all_low, all_high = np.bitwise_and.reduce(low, axis=1), np.bitwise_or.reduce(high, axis=1)
     of_q, of_p = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for at in range(0, len(q), 256):
-        code, far = q_code[at : at + 256, None], radius[at : at + 256, None]
-        away = np.bitwise_count(low & ~code) + np.bitwise_count(code & ~high)
-        i, box = np.nonzero(away <= far)
+    for at in range(0, len(q), 512):
+        code, far = q_code[at : at + 512, None], radius[at : at + 512, None]
+        i, span = np.nonzero(_away(all_low, all_high, code) <= far)
+        k, place = np.nonzero(_away(low[span], high[span], code[i]) <= far[i])
+        i, box = i[k], span[k] * SPAN + place
         close = (np.bitwise_count(p_code[members[box]] ^ code[i]) <= far[i]) & held[box]
         k, place = np.nonzero(close)
         i, j = at + i[k], members[box[k], place]
