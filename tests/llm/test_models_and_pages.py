@@ -155,6 +155,73 @@ def test_the_model_on_the_driver_is_bounded(spark, labelled, monkeypatch):
             assert [len(x) for x in model] == [300] * 4
 
 
+@pytest.mark.parametrize("broadcast", [0, 10**6])
+def test_every_labelled_document_that_is_not_held_out_trains(spark, monkeypatch, broadcast):
+    """More labelled documents than the old sample held, with ids broadcast or shuffled."""
+    monkeypatch.setattr(toxicity, "BROADCAST_IDS", broadcast)
+    held = [zlib.crc32(str(i).encode()) % 3 == 1 for i in range(11_000)]
+    docs = spark.range(11_000).selectExpr("id doc_id", "concat('word ', id) text").unionByName(
+        spark.createDataFrame([(None, "no id"), (3, "word again"), (20_000, "no label")], DOCS)
+    )
+    labels = spark.range(11_000).selectExpr("id doc_id", "cast(id % 3 = 0 as int) toxic")
+    got = toxicity.training_rows(docs, labels).groupBy("toxic").count().collect()
+    want = {t: sum(not h and int(i % 3 == 0) == t for i, h in enumerate(held)) for t in (0, 1)}
+    want[1] += not held[3]
+    assert {r.toxic: r["count"] for r in got} == want and want[1] > 2000 and want[0] > 4000
+
+
+def test_counts_do_not_depend_on_what_a_task_holds(monkeypatch):
+    rnd = random.Random(5)
+    texts = [" ".join(_prose(rnd, 40)) for _ in range(60)]
+    kinds = [(rnd.randrange(2), rnd.randrange(2)) for _ in texts]
+    batches = [
+        pa.RecordBatch.from_pydict({"toxic": [t for t, _ in kinds[i : i + 7]], "fold": [f for _, f in kinds[i : i + 7]], "text": texts[i : i + 7]})
+        for i in range(0, 60, 7)
+    ]
+
+    def counted():
+        total = {}
+        for rows in (b.to_pylist() for b in toxicity._count_grams(iter(batches))):
+            for r in rows:
+                old = total.get(r["gram"], [0] * 4)
+                total[r["gram"]] = [a + r[f"n{t}{f}"] for a, (t, f) in zip(old, toxicity.KINDS)]
+        return total
+
+    want = {}
+    for kind, text in zip(kinds, texts):
+        data = np.frombuffer(text.encode(), np.uint8)
+        for g in toxicity.running(data, np.array([0, len(data)]))[0].tolist():
+            want.setdefault(g, [0] * 4)[toxicity.KINDS.index(kind)] += 1
+    assert counted() == want
+    for held in (1, 900):
+        monkeypatch.setattr(toxicity, "HELD", held)
+        assert counted() == want
+
+
+def test_rare_strings_stay_in_a_model_of_all_documents(spark):
+    """A quarter million strings and more, each twice: the model holds all of them."""
+    rnd = random.Random(6)
+    words = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(40_000)]
+    rows = [(i, 0, i % 2, " ".join(words[i // 2 * 1000 : (i // 2 + 1) * 1000])) for i in range(80)] + [(80, 1, 0, "scumbag scumbag"), (81, 1, 1, "scumbag scumbag")]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, toxic int, fold int, text string"))[0]
+    grams = set()
+    for text in {r[3] for r in rows}:
+        data = np.frombuffer(text.encode(), np.uint8)
+        grams |= set(toxicity._keyed(toxicity.running(data, np.array([0, len(data)]))[0], toxicity.ORDER).tolist())
+    assert len(grams) > 250_000 and grams <= set(model[0].tolist())
+
+
+def test_the_curve_is_a_ridge_regression_of_all_points(spark):
+    rng = np.random.default_rng(3)
+    y = (rng.random(4000) < 0.1).astype(float)
+    for shift in (1.5, 40.0):  # overlapping, and apart
+        x = rng.normal(size=4000) + shift * y
+        a, b = toxicity.fit_logistic(spark.createDataFrame(pd.DataFrame({"x": x, "y": y})))
+        p = 1 / (1 + np.exp(-(a * x + b)))
+        slopes = np.array([(p - y) @ x + 1e-3 * a, (p - y).sum() + 1e-3 * b])
+        assert np.abs(slopes).max() < 1e-5 and a > 0
+
+
 # ---------------------------------------------------------------- LM scoring
 
 

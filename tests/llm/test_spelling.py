@@ -104,22 +104,16 @@ def test_one_edit_pairs_are_found_in_one_leaf():
     assert sorted((other[a], words[b]) for a, b in zip(i, j)) == sorted((a, b) for a in other for b in words if _near(a, b))
 
 
-def test_a_leaf_tests_few_boxes(monkeypatch):
-    """Boxes of neighbouring buckets are tested together, so most are never tested one by one."""
+def test_a_leaf_is_cut_without_a_search_by_dimension(monkeypatch):
+    """The search over each dimension's values, which took most of a leaf's time, is for high counts alone."""
     rnd = random.Random(4)
-    words = sorted({"".join(rnd.choice("abcdefghijklmnopqrst") for _ in range(9)) for _ in range(6000)})
-    tested, plain = [], spelling._away
-
-    def counted(low, high, code):
-        found = plain(low, high, code)
-        tested.append(found.size)
-        return found
-
-    monkeypatch.setattr(spelling, "_away", counted)
-    i, j = spelling.near_in_leaf(words, words)
-    boxes = len(spelling._buckets(spelling.vectors(spelling.letters(words, 9)), np.arange(len(words))))
-    assert sum(tested) < len(words) * boxes / 2
-    assert all(_near(words[a], words[b]) for a, b in zip(i, j))
+    words = sorted({"".join(rnd.choice("abcdefghijklmnopqrst") for _ in range(9)) for _ in range(3000)})
+    searched, search = [], spelling._best_cut
+    monkeypatch.setattr(spelling, "_best_cut", lambda v: searched.append(len(v)) or search(v))
+    groups = spelling._buckets(spelling.vectors(spelling.letters(words, 9)), np.arange(len(words)))
+    assert not searched
+    assert sorted(np.concatenate(groups).tolist()) == list(range(len(words)))
+    assert max(map(len, groups)) <= spelling.BUCKET and len(groups) < 4 * len(words) / spelling.BUCKET
 
 
 def test_a_leaf_of_words_that_differ_in_high_counts_alone():
